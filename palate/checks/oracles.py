@@ -1,4 +1,7 @@
-"""The same queries in plain SQL, written the direct way, for an independent engine to confirm."""
+"""The same queries in plain SQL, written the direct way, for an independent engine to confirm.
+
+Rounded values carry the same 1e-9 as in :func:`palate.checks.queries.tidy`.
+"""
 
 from __future__ import annotations
 
@@ -91,7 +94,7 @@ def _sliced(cells: str, low: int, high: int) -> str:
 
 def _slices(low: int, high: int) -> str:
     return f"""
-    SELECT slice, max(n) AS users, round(avg(r2), 6) AS r2, NOT (avg(r2) < -0.05) AS passed
+    SELECT slice, max(n) AS users, round(avg(r2) + 1e-9, 6) AS r2, NOT (avg(r2) < -0.05) AS passed
     FROM (SELECT slice, genre, count(*) AS n, {_R2} AS r2 FROM ({_sliced("cells", low, high)}) GROUP BY 1, 2)
     GROUP BY 1"""
 
@@ -116,7 +119,7 @@ def _psi(baseline: str, current: str) -> str:
 
 def _values(features: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{f}' AS key, round(CAST({f} AS DOUBLE), 6) AS v FROM {features} WHERE {f} IS NOT NULL"
+        f"SELECT '{f}' AS key, round(CAST({f} AS DOUBLE) + 1e-9, 6) AS v FROM {features} WHERE {f} IS NOT NULL"
         for f in GENRE_FEATURES
     )
 
@@ -208,18 +211,18 @@ _RELATIONS = {
 }
 
 _ROUNDED_GENRE = ", ".join(
-    f if f in ("genre_watch_count", "genre_tag_count") else f"round({f}, 6) AS {f}" for f in GENRE_FEATURES
+    f if f in ("genre_watch_count", "genre_tag_count") else f"round({f} + 1e-9, 6) AS {f}" for f in GENRE_FEATURES
 )
 _ROUNDED_PROFILE = ", ".join(
-    f if f in ("total_ratings", "distinct_genres") else f"round({f}, 6) AS {f}" for f in PROFILE_FEATURES
+    f if f in ("total_ratings", "distinct_genres") else f"round({f} + 1e-9, 6) AS {f}" for f in PROFILE_FEATURES
 )
 _RATING_COLUMNS = 'userId, movieId, rating, ts AS "timestamp"'
 
 
 def _wide_features(genres) -> str:
-    profile = ", ".join(f"round(coalesce(max(CAST({f} AS DOUBLE)), 0.0), 6) AS {f}" for f in PROFILE_FEATURES)
+    profile = ", ".join(f"round(coalesce(max(CAST({f} AS DOUBLE)), 0.0) + 1e-9, 6) AS {f}" for f in PROFILE_FEATURES)
     cells = ", ".join(
-        f"round(coalesce(avg(CASE WHEN genre = '{g}' THEN CAST({f} AS DOUBLE) END), 0.0), 6) AS {f}_{g}"
+        f"round(coalesce(avg(CASE WHEN genre = '{g}' THEN CAST({f} AS DOUBLE) END), 0.0) + 1e-9, 6) AS {f}_{g}"
         for f in GENRE_FEATURES
         for g in sorted(genres)
     )
@@ -253,7 +256,7 @@ _QUERIES = {
     "clean_ratings": f"SELECT {_RATING_COLUMNS} FROM clean",
     "explode_genres": "SELECT movieId, title, genre FROM exploded",
     "variant_filter": "SELECT movieId, title, genre FROM kept",
-    "genome_agg": "SELECT movieId, genre, round(avg_genome_relevance, 6) AS avg_genome_relevance FROM genome",
+    "genome_agg": "SELECT movieId, genre, round(avg_genome_relevance + 1e-9, 6) AS avg_genome_relevance FROM genome",
     "holdout_split": f"""
     SELECT {_RATING_COLUMNS}, 'training' AS side FROM training
     UNION ALL SELECT {_RATING_COLUMNS}, 'holdout' FROM holdout""",
@@ -276,16 +279,16 @@ _QUERIES = {
     UNION ALL
     SELECT userId, {_ROUNDED_PROFILE}, profile_timestamp FROM ({_profile("training")})
     WHERE userId NOT IN (SELECT userId FROM ({_profile("sampled")}))""",
-    "training_labels": "SELECT userId, genre, round(label, 6) AS label, split_flag FROM labels",
-    "training_labels_nokids": "SELECT userId, genre, round(label, 6) AS label, split_flag FROM labels_kept",
+    "training_labels": "SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag FROM labels",
+    "training_labels_nokids": "SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag FROM labels_kept",
     "feature_user_labels": f"""
-    SELECT userId, genre, round(label, 6) AS label, split_flag FROM labels
+    SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag FROM labels
     WHERE split_flag IN ('train', 'val') AND userId IN (SELECT userId FROM ({_profile("sampled")}))""",
     "training_set": f"""
-    SELECT userId, genre, round(label, 6) AS label, split_flag, {_ROUNDED_GENRE}, feature_timestamp,
+    SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag, {_ROUNDED_GENRE}, feature_timestamp,
            {_ROUNDED_PROFILE}, profile_timestamp FROM training_rows""",
     "holdout_cells": """
-    SELECT userId, genre, round(avg(rating), 6) AS label FROM holdout JOIN exploded USING (movieId)
+    SELECT userId, genre, round(avg(rating) + 1e-9, 6) AS label FROM holdout JOIN exploded USING (movieId)
     WHERE userId IN (SELECT userId FROM profiles) GROUP BY 1, 2""",
     "holdout_metadata": """
     SELECT (SELECT count(*) FROM (SELECT DISTINCT userId, genre FROM holdout JOIN exploded USING (movieId)))
@@ -295,7 +298,7 @@ _QUERIES = {
     FROM holdout JOIN exploded USING (movieId)""",
     "pivot_labels": "SELECT userId, "
     + ", ".join(
-        f"round(coalesce(avg(CASE WHEN genre = '{g}' THEN label END), 0.0), 6) AS {g}" for g in GENRES
+        f"round(coalesce(avg(CASE WHEN genre = '{g}' THEN label END), 0.0) + 1e-9, 6) AS {g}" for g in GENRES
     )
     + " FROM labels WHERE split_flag = 'train' GROUP BY 1",
     "pivot_features": f"SELECT {_wide_features(GENRES)} FROM training_rows WHERE split_flag = 'train' GROUP BY 1",
@@ -303,28 +306,28 @@ _QUERIES = {
     SELECT {_wide_features(KEPT)} FROM (
       SELECT g.*, {", ".join(PROFILE_FEATURES)} FROM user_genre g LEFT JOIN profiles p ON p.userId = g.userId
       WHERE genre IN {_in(KEPT)}) GROUP BY 1""",
-    "prediction_cells": "SELECT userId, genre, round(y, 6) AS y, round(p, 6) AS p, round(champion, 6) AS champion FROM cells",
+    "prediction_cells": "SELECT userId, genre, round(y + 1e-9, 6) AS y, round(p + 1e-9, 6) AS p, round(champion + 1e-9, 6) AS champion FROM cells",
     "metrics_overall": f"""
-    SELECT round((SELECT sqrt(avg((y - p) * (y - p))) FROM cells), 6) AS rmse_overall,
-           round((SELECT avg(r2) FROM (SELECT genre, {_R2} AS r2 FROM cells GROUP BY 1)), 6) AS r2_overall""",
-    "metrics_per_genre": "SELECT genre, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse FROM cells GROUP BY 1",
+    SELECT round((SELECT sqrt(avg((y - p) * (y - p))) FROM cells) + 1e-9, 6) AS rmse_overall,
+           round((SELECT avg(r2) FROM (SELECT genre, {_R2} AS r2 FROM cells GROUP BY 1)) + 1e-9, 6) AS r2_overall""",
+    "metrics_per_genre": "SELECT genre, round(sqrt(avg((y - p) * (y - p))) + 1e-9, 6) AS rmse FROM cells GROUP BY 1",
     "champion_check": """
-    SELECT round(a, 6) AS challenger_rmse, round(b, 6) AS champion_rmse, a <= b AS passed
+    SELECT round(a + 1e-9, 6) AS challenger_rmse, round(b + 1e-9, 6) AS champion_rmse, a <= b AS passed
     FROM (SELECT sqrt(avg((y - p) * (y - p))) AS a, sqrt(avg((y - champion) * (y - champion))) AS b FROM cells)""",
     "smoke_test": "SELECT count(*) AS predictions, count(p) AS usable, count(p) > 0 AS passed FROM cells",
     "activity_slices": _slices(LOW, HIGH),
     "activity_slices_default": _slices(50, 200),
     "validation_report": """
-    SELECT variant, "check", round(value, 6) AS value, round(CAST("limit" AS DOUBLE), 6) AS "limit", passed FROM report""",
+    SELECT variant, "check", round(value + 1e-9, 6) AS value, round(CAST("limit" AS DOUBLE) + 1e-9, 6) AS "limit", passed FROM report""",
     "variant_status": "SELECT * FROM status",
     "promotion_gate": """
     SELECT count(*) FILTER (status = 'PASSED') AS variants_passed, count(*) FILTER (status = 'PASSED') = 2 AS promoted
     FROM status""",
-    "psi_by_feature": "SELECT key AS feature, round(psi, 6) AS psi, psi > 0.2 AS drifted FROM drift",
-    "drift_log": "SELECT '{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18, 6)) AS VARCHAR), ','"
+    "psi_by_feature": "SELECT key AS feature, round(psi + 1e-9, 6) AS psi, psi > 0.2 AS drifted FROM drift",
+    "drift_log": "SELECT '{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18,6)) AS VARCHAR), ','"
     f" ORDER BY list_position([{_in(GENRE_FEATURES)[1:-1]}], key)) || '}}' AS feature_psi,"
     " CAST('NaN' AS DOUBLE) AS prediction_psi, bool_or(psi > 0.2) AS drift_detected FROM drift",
-    "psi_by_event_type": f"SELECT key, round(psi, 6) AS psi FROM ({_psi('early_events', 'late_events')})",
+    "psi_by_event_type": f"SELECT key, round(psi + 1e-9, 6) AS psi FROM ({_psi('early_events', 'late_events')})",
     "table_counts": _count_rows(_COUNTS),
 }
 
