@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,27 +134,31 @@ def order_statistics(
     return found
 
 
-def interpolated_quantiles(counts: DataFrame, probabilities: Sequence[float]) -> dict[str, list[float]]:
+@dataclass(frozen=True)
+class ValueRange:
+    """How many values a key has, and their ends."""
+
+    n: int
+    lo: float
+    hi: float
+
+
+def interpolated_quantiles(
+    counts: DataFrame, ranges: Mapping[str, ValueRange], probabilities: Sequence[float]
+) -> dict[str, list[float]]:
     """Linearly interpolated quantiles per key of ``counts(key, value, n)``, exact like a full sort."""
-    totals = {
-        row.key: row
-        for row in counts.groupBy("key")
-        .agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .collect()
-    }
-    positions = {key: [(row.n - 1) * p for p in probabilities] for key, row in totals.items()}
+    positions = {key: [(r.n - 1) * p for p in probabilities] for key, r in ranges.items()}
     ranks = {
-        key: {r for at in places for r in (math.floor(at) + 1, min(math.floor(at) + 2, totals[key].n))}
+        key: {rank for at in places for rank in (math.floor(at) + 1, min(math.floor(at) + 2, ranges[key].n))}
         for key, places in positions.items()
     }
-    values = order_statistics(counts, ranks, {key: (row.lo, row.hi) for key, row in totals.items()})
+    values = order_statistics(counts, ranks, {key: (r.lo, r.hi) for key, r in ranges.items()})
 
     def interpolate(key: str, at: float) -> float:
         base = math.floor(at)
-        low, high = values[key][base + 1], values[key][min(base + 2, totals[key].n)]
+        low, high = values[key][base + 1], values[key][min(base + 2, ranges[key].n)]
         part = at - base
-        if part < 0.5:
-            return low + (high - low) * part
-        return high - (high - low) * (1 - part)
+        # Measured from the nearer end, which keeps equal neighbours exactly equal.
+        return low + (high - low) * part if part < 0.5 else high - (high - low) * (1 - part)
 
     return {key: [interpolate(key, at) for at in places] for key, places in positions.items()}

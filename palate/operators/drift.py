@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.functions.quantiles import interpolated_quantiles
+from palate.functions.quantiles import ValueRange, interpolated_quantiles
 from palate.settings import GENRE_FEATURES, PSI_BINS, PSI_FLOOR, PSI_LIMIT
 from palate.sources.scratch import stage
 
@@ -39,14 +39,23 @@ def psi(baseline: DataFrame, current: DataFrame, bins: int = PSI_BINS, min_rows:
     """
     counts = stage(_compare_counts(baseline, current), "value-counts")
     spark = counts.sparkSession
-    eligible = [
-        row.key
-        for row in counts.groupBy("key").agg(F.sum("base").alias("base"), F.sum("now").alias("now")).collect()
-        if row.base > min_rows and row.now > min_rows
-    ]
-    of_baseline = counts.where(F.col("key").isin(*eligible) & (F.col("base") > 0))
+    in_baseline = F.when(F.col("base") > 0, F.col("value"))
+    sizes = (
+        counts.groupBy("key")
+        .agg(
+            F.sum("base").alias("base"),
+            F.sum("now").alias("now"),
+            F.min(in_baseline).alias("lo"),
+            F.max(in_baseline).alias("hi"),
+        )
+        .where((F.col("base") > min_rows) & (F.col("now") > min_rows))
+        .collect()
+    )
+    ranges = {row.key: ValueRange(row.base, row.lo, row.hi) for row in sizes}
     quantiles = interpolated_quantiles(
-        of_baseline.select("key", "value", F.col("base").alias("n")), [i / bins for i in range(bins + 1)]
+        counts.where(F.col("base") > 0).select("key", "value", F.col("base").alias("n")),
+        ranges,
+        [i / bins for i in range(bins + 1)],
     )
     edges = {key: sorted(set(points)) for key, points in quantiles.items()}
     usable = [(key, e[0], e[-1] + 1e-6, e[1:-1]) for key, e in edges.items() if len(e) > 2]
@@ -75,7 +84,7 @@ def psi(baseline: DataFrame, current: DataFrame, bins: int = PSI_BINS, min_rows:
         .groupBy("key")
         .agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
     )
-    keys = spark.createDataFrame([(key,) for key in eligible], "key STRING")
+    keys = spark.createDataFrame([(key,) for key in ranges], "key STRING")
     return keys.join(shifts, "key", "left").select("key", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 

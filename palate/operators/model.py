@@ -50,7 +50,7 @@ def _assemble(matrix: DataFrame, genres: Sequence[str], keep: Sequence[str]) ->
 
 
 def fit_multi_output(
-    matrix: DataFrame, labels: DataFrame, genres: Sequence[str], params: BoostingParams, concurrent_fits: int = 4
+    matrix: DataFrame, labels: DataFrame, genres: Sequence[str], params: BoostingParams, concurrent_fits: int = 8
 ) -> MultiOutputModel:
     """Fit one regressor per genre on the rows both wide tables have.
 
