@@ -6,10 +6,12 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.functions.expressions import epoch
+from palate.functions.local import COUNT, NUMBER, TEXT, local_frame
 from palate.settings import SECONDS_PER_DAY
 
 
@@ -66,6 +68,17 @@ def time_quantiles(events: DataFrame, probabilities: Sequence[float], column: st
     )
 
 
+_CELL = {"key": TEXT, "lo": NUMBER, "hi": NUMBER, "pending": pa.list_(pa.struct({"rank": COUNT, "left": COUNT}))}
+
+
+def _close_finished(cells: list[tuple], found: dict[str, dict[int, float]]) -> list[tuple]:
+    """Note the ranks of cells that hold a single value; return the others."""
+    for key, lo, hi, pending in cells:
+        if lo == hi:
+            found[key].update({entry["rank"]: lo for entry in pending})
+    return [cell for cell in cells if cell[1] != cell[2]]
+
+
 def order_statistics(
     counts: DataFrame,
     ranks: Mapping[str, Iterable[int]],
@@ -81,23 +94,15 @@ def order_statistics(
     result is exact whatever the distribution. Only the surviving intervals, at most one per rank, reach
     the driver.
     """
-    spark = counts.sparkSession
     found: dict[str, dict[int, float]] = {key: {} for key in ranks}
     open_cells = []
     for key, wanted in ranks.items():
-        lo, hi = bounds[key]
-        pending = [(rank, rank) for rank in sorted(set(wanted))]
-        if not pending:
-            continue
-        if lo == hi:
-            found[key].update({rank: lo for rank, _ in pending})
-        else:
-            open_cells.append((key, lo, hi, pending))
+        pending = [{"rank": rank, "left": rank} for rank in sorted(set(wanted))]
+        open_cells.append((key, *bounds[key], pending))
+    open_cells = _close_finished(open_cells, found)
 
     while open_cells:
-        cells = spark.createDataFrame(
-            open_cells, "key STRING, lo DOUBLE, hi DOUBLE, pending ARRAY<STRUCT<rank: BIGINT, left: BIGINT>>"
-        )
+        cells = local_frame(counts.sparkSession, _CELL, open_cells)
         slot = F.least(
             F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(fan_out)),
             F.lit(fan_out - 1),
@@ -125,12 +130,9 @@ def order_statistics(
             .where(F.size("pending") > 0)
             .collect()
         )
-        open_cells = []
-        for hit in hits:
-            if hit.slot_lo == hit.slot_hi:
-                found[hit.key].update({r.rank: hit.slot_lo for r in hit.pending})
-            else:
-                open_cells.append((hit.key, hit.slot_lo, hit.slot_hi, [(r.rank, r.left) for r in hit.pending]))
+        open_cells = _close_finished(
+            [(h.key, h.slot_lo, h.slot_hi, [r.asDict() for r in h.pending]) for h in hits], found
+        )
     return found
 
 

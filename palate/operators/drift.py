@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palate.functions.local import NUMBER, NUMBERS, TEXT, local_frame
 from palate.functions.quantiles import ValueRange, interpolated_quantiles
 from palate.settings import GENRE_FEATURES, PSI_BINS, PSI_FLOOR, PSI_LIMIT
 from palate.sources.scratch import stage
@@ -59,7 +60,7 @@ def psi(baseline: DataFrame, current: DataFrame, bins: int = PSI_BINS, min_rows:
     )
     edges = {key: sorted(set(points)) for key, points in quantiles.items()}
     usable = [(key, e[0], e[-1] + 1e-6, e[1:-1]) for key, e in edges.items() if len(e) > 2]
-    layout = spark.createDataFrame(usable, "key STRING, low DOUBLE, high DOUBLE, inner ARRAY<DOUBLE>")
+    layout = local_frame(spark, {"key": TEXT, "low": NUMBER, "high": NUMBER, "inner": NUMBERS}, usable)
 
     # At most one row per key and `bins` per row, so both broadcasts are bounded by the feature list.
     above = [F.coalesce((F.col("value") >= F.get("inner", F.lit(i))).cast("int"), F.lit(0)) for i in range(bins - 1)]
@@ -84,7 +85,7 @@ def psi(baseline: DataFrame, current: DataFrame, bins: int = PSI_BINS, min_rows:
         .groupBy("key")
         .agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
     )
-    keys = spark.createDataFrame([(key,) for key in ranges], "key STRING")
+    keys = local_frame(spark, {"key": TEXT}, [(key,) for key in ranges])
     return keys.join(shifts, "key", "left").select("key", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 

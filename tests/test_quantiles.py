@@ -1,0 +1,66 @@
+import math
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from palate.functions.quantiles import ValueRange, interpolated_quantiles, order_statistics, time_quantiles
+
+QUICK = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def smallest_reaching(values, p):
+    values = sorted(values)
+    return values[max(1, math.ceil(p * len(values))) - 1]
+
+
+def times(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "t BIGINT").select(F.timestamp_seconds("t").alias("timestamp"))
+
+
+@QUICK
+@given(st.lists(st.integers(-200_000, 400_000), min_size=1, max_size=60))
+def test_time_quantiles_match_sorting(spark, values):
+    probabilities = [0.0, 0.3, 0.6, 0.8, 1.0]
+    rows = {r.position: r for r in time_quantiles(times(spark, values), probabilities).collect()}
+    assert [rows[i].epoch for i in range(5)] == [smallest_reaching(values, p) for p in probabilities]
+    assert {(r.row_count, r.min_epoch, r.max_epoch) for r in rows.values()} == {(len(values), min(values), max(values))}
+
+
+def test_time_quantiles_agree_with_spark_on_a_hot_second(spark):
+    values = [500] * 400 + list(range(0, 3_000_000, 5_000))
+    expected = times(spark, values).select(F.unix_seconds("timestamp").alias("t")).approxQuantile("t", [0.2, 0.6, 0.8], 0.0)
+    found = {r.position: r.epoch for r in time_quantiles(times(spark, values), [0.2, 0.6, 0.8]).collect()}
+    assert [found[i] for i in range(3)] == expected
+
+
+def test_no_events_give_no_quantiles(spark):
+    assert time_quantiles(times(spark, []), [0.5]).collect() == []
+
+
+def counts(spark, by_key):
+    rows = [(k, float(v), 1) for k, values in by_key.items() for v in values]
+    df = spark.createDataFrame(rows, "key STRING, value DOUBLE, n BIGINT")
+    return df.groupBy("key", "value").agg(F.sum("n").alias("n"))
+
+
+@QUICK
+@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=40), st.lists(st.sampled_from([0.0, 0.5, 1.0]), min_size=1, max_size=40))
+def test_interpolated_quantiles_match_numpy(spark, spread, tied):
+    by_key = {"spread": spread, "tied": tied}
+    ranges = {k: ValueRange(len(v), min(v), max(v)) for k, v in by_key.items()}
+    probabilities = [i / 10 for i in range(11)]
+    found = interpolated_quantiles(counts(spark, by_key), ranges, probabilities)
+    for key, values in by_key.items():
+        np.testing.assert_allclose(found[key], np.percentile(values, np.linspace(0, 100, 11)), rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.parametrize("fan_out", [2, 3, 4096])
+def test_order_statistics_with_outliers_and_few_slots(spark, fan_out):
+    values = sorted([1e-9 * i for i in range(50)] + [1e12, -1e15] + [7.0] * 30)
+    found = order_statistics(
+        counts(spark, {"k": values}), {"k": range(1, len(values) + 1, 3)}, {"k": (values[0], values[-1])}, fan_out
+    )
+    assert found["k"] == {rank: values[rank - 1] for rank in range(1, len(values) + 1, 3)}
