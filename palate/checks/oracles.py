@@ -20,7 +20,7 @@ _SAMPLED = (
 )
 
 
-def _user_genre(ratings: str) -> str:
+def _user_genre(ratings: str, tags: str = "tags") -> str:
     return f"""
     SELECT b.userId, b.genre, genre_avg_rating, genre_watch_count, genre_recency_score,
            genre_watch_count / total AS genre_share, genre_diversity_index, genre_avg_genome_relevance,
@@ -40,7 +40,7 @@ def _user_genre(ratings: str) -> str:
             FROM {ratings} JOIN exploded USING (movieId) GROUP BY 1, 2)
       GROUP BY 1) s ON b.userId = s.userId
     LEFT JOIN (SELECT userId, genre, count(DISTINCT tag) AS tag_count
-               FROM tags JOIN exploded USING (movieId) GROUP BY 1, 2) t
+               FROM {tags} JOIN exploded USING (movieId) GROUP BY 1, 2) t
       ON b.userId = t.userId AND b.genre = t.genre"""
 
 
@@ -164,6 +164,8 @@ _RELATIONS = {
     "training": "SELECT clean.* FROM clean, bounds WHERE ts <= holdout_boundary_ts",
     "holdout": "SELECT clean.* FROM clean, bounds WHERE ts > holdout_boundary_ts",
     "sampled": f"SELECT * FROM clean WHERE {_SAMPLED}",
+    "training_sample": f"SELECT * FROM training WHERE {_SAMPLED}",
+    "tag_sample": f"SELECT * FROM tags WHERE {_SAMPLED}",
     "user_genre": _user_genre("clean"),
     "profiles": _profile("clean"),
     "labels": _labels("exploded"),
@@ -229,6 +231,11 @@ def _wide_features(genres) -> str:
     return f"userId, {profile}, {cells}"
 
 
+_DRIFT_LOG = (
+    "'{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18,6)) AS VARCHAR), ','"
+    f" ORDER BY list_position([{_in(GENRE_FEATURES)[1:-1]}], key)) || '}}' AS feature_psi,"
+    " CAST('NaN' AS DOUBLE) AS prediction_psi, bool_or(psi > 0.2) AS drift_detected"
+)
 _COUNTS = {
     "silver.ratings_clean": "clean",
     "silver.movies_genre_exploded": "exploded",
@@ -279,6 +286,10 @@ _QUERIES = {
     UNION ALL
     SELECT userId, {_ROUNDED_PROFILE}, profile_timestamp FROM ({_profile("training")})
     WHERE userId NOT IN (SELECT userId FROM ({_profile("sampled")}))""",
+    "built_user_genre": f"""
+    SELECT userId, genre, {_ROUNDED_GENRE}, feature_timestamp FROM ({_user_genre("training_sample", "tag_sample")})""",
+    "built_boundaries": """
+    SELECT quantile_disc(ts, 0.6) AS train_boundary_ts, quantile_disc(ts, 0.8) AS holdout_boundary_ts FROM training""",
     "training_labels": "SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag FROM labels",
     "training_labels_nokids": "SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag FROM labels_kept",
     "feature_user_labels": f"""
@@ -324,9 +335,10 @@ _QUERIES = {
     SELECT count(*) FILTER (status = 'PASSED') AS variants_passed, count(*) FILTER (status = 'PASSED') = 2 AS promoted
     FROM status""",
     "psi_by_feature": "SELECT key AS feature, round(psi + 1e-9, 6) AS psi, psi > 0.2 AS drifted FROM drift",
-    "drift_log": "SELECT '{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18,6)) AS VARCHAR), ','"
-    f" ORDER BY list_position([{_in(GENRE_FEATURES)[1:-1]}], key)) || '}}' AS feature_psi,"
-    " CAST('NaN' AS DOUBLE) AS prediction_psi, bool_or(psi > 0.2) AS drift_detected FROM drift",
+    "drift_log": f"SELECT {_DRIFT_LOG} FROM drift",
+    "drift_check": f"""
+    SELECT 'checks' AS catalog, {_DRIFT_LOG} FROM drift
+    UNION ALL SELECT 'checks', '{{}}', CAST('NaN' AS DOUBLE), false""",
     "psi_by_event_type": f"SELECT key, round(psi + 1e-9, 6) AS psi FROM ({_psi('early_events', 'late_events')})",
     "table_counts": _count_rows(_COUNTS),
 }

@@ -11,8 +11,10 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from palate import schemas, settings
 from palate.checks.testbed import GENRES, KEPT, Testbed
+from palate.functions.local import COUNT, local_frame
 from palate.operators import drift, features, labels, matrix, metrics, model, quality, silver, validation
-from palate.plans.training import fit_and_evaluate
+from palate.plans import bootstrap, serving
+from palate.plans.training import fit_and_evaluate, read_split_boundaries
 from palate.settings import BoostingParams
 from palate.sources import csv
 from palate.sources.scratch import new_dir, stage
@@ -184,6 +186,27 @@ def upsert_features(bed: Testbed) -> DataFrame:
     return store.read(settings.USER_PROFILE_FEATURES)
 
 
+def _built(bed: Testbed, fraction: float) -> TableStore:
+    store = _store(bed)
+    for table in ("ratings", "movies", "tags", "genome_scores", "genome_tags"):
+        store.overwrite(f"bronze.{table}", getattr(bed, table))
+    bootstrap.build_silver(store)
+    bootstrap.build_features(store, fraction)
+    return store
+
+
+@query
+def built_user_genre(bed: Testbed) -> DataFrame:
+    return _built(bed, settings.SAMPLE_FRACTION_DEV).read(settings.USER_GENRE_FEATURES)
+
+
+@query
+def built_boundaries(bed: Testbed) -> DataFrame:
+    train, holdout = read_split_boundaries(_built(bed, settings.SAMPLE_FRACTION_DEV))
+    columns = {"train_boundary_ts": COUNT, "holdout_boundary_ts": COUNT}
+    return local_frame(bed.spark, columns, [(train, holdout)])
+
+
 # --- labels ---------------------------------------------------------------------------------------
 
 
@@ -345,6 +368,15 @@ def drift_log(bed: Testbed) -> DataFrame:
     return drift.drift_summary(drift.drift_report(*_feature_versions(bed)))
 
 
+@query
+def drift_check(bed: Testbed) -> DataFrame:
+    store = _store(bed)
+    for version in _feature_versions(bed):
+        store.overwrite(settings.USER_GENRE_FEATURES, version)
+        log = serving.drift_check(store, "checks")
+    return log.drop("timestamp")
+
+
 @query
 def psi_by_event_type(bed: Testbed) -> DataFrame:
     earlier, later = silver.split_holdout(bed.events, 0.5)

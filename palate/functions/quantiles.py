@@ -55,15 +55,16 @@ def time_quantiles(events: DataFrame, probabilities: Sequence[float], column: st
         )
     )
 
-    # One row per probability, so the broadcast side is bounded by the argument list.
-    in_day = (
+    # One row per probability, so the broadcast side is bounded by the argument list, and only the wanted
+    # days are counted by second.
+    by_second = (
         seconds.select("epoch", day)
-        .groupBy("day", "epoch")
-        .agg(F.count(F.lit(1)).alias("n"))
         .join(F.broadcast(wanted_days), "day")
+        .groupBy("position", "epoch", "rank_in_day", "row_count", "min_epoch", "max_epoch")
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("through", F.sum("n").over(Window.partitionBy("position").orderBy("epoch")))
     )
-    return in_day.where(F.col("rank_in_day").between(F.col("through") - F.col("n") + 1, F.col("through"))).select(
+    return by_second.where(F.col("rank_in_day").between(F.col("through") - F.col("n") + 1, F.col("through"))).select(
         "position", "epoch", "row_count", "min_epoch", "max_epoch"
     )
 

@@ -31,7 +31,10 @@ def user_genre_features(
     """The seven features of every (user, genre) the user has rated."""
     decay = Decay(decay_per_day)
     genres = exploded.select("movieId", "genre")
-    described = genres.join(genome, ["movieId", "genre"], "left")
+    # One relevance per movie and genre by construction: counts stay right whatever comes in, and the
+    # optimizer knows that the join adds no rows, so it can tell whether the result is small enough to broadcast.
+    relevance = genome.groupBy("movieId", "genre").agg(F.avg("avg_genome_relevance").alias("relevance"))
+    described = genres.join(relevance, ["movieId", "genre"], "left")
     seconds = epoch()
 
     # The outer join keeps ratings of movies without genres as a null genre: they still move the time the
@@ -43,8 +46,8 @@ def user_genre_features(
             F.count(F.lit(1)).alias("watched"),
             F.sum("rating").alias("rating_sum"),
             F.sum(F.col("rating") * decay.within_era(seconds)).alias("decayed_sum"),
-            F.sum("avg_genome_relevance").alias("relevance_sum"),
-            F.count("avg_genome_relevance").alias("relevance_count"),
+            F.sum("relevance").alias("relevance_sum"),
+            F.count("relevance").alias("relevance_count"),
             F.max("timestamp").alias("last_rated"),
         )
     )
