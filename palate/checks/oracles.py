@@ -191,7 +191,7 @@ _RELATIONS = {
             SELECT variant, slice, genre, {_R2} AS r2 FROM sliced_cells GROUP BY 1, 2, 3) GROUP BY 1, 2)
           GROUP BY 1) s ON s.variant = w.variant""",
     "report": """
-    SELECT variant, 'smoke_test' AS "check", CAST(usable AS DOUBLE) AS value, 1.0 AS "limit", usable >= 1 AS passed
+    SELECT variant, 'smoke_test' AS check_name, CAST(usable AS DOUBLE) AS value, 1.0 AS threshold, usable >= 1 AS passed
     FROM summary
     UNION ALL SELECT variant, 'rmse', rmse, 1.5, rmse < 1.5 FROM summary
     UNION ALL SELECT variant, 'r2', r2, 0.05, r2 > 0.05 FROM summary
@@ -329,7 +329,7 @@ _QUERIES = {
     "activity_slices": _slices(LOW, HIGH),
     "activity_slices_default": _slices(50, 200),
     "validation_report": """
-    SELECT variant, "check", round(value + 1e-9, 6) AS value, round(CAST("limit" AS DOUBLE) + 1e-9, 6) AS "limit", passed FROM report""",
+    SELECT variant, check_name, round(value + 1e-9, 6) AS value, round(CAST(threshold AS DOUBLE) + 1e-9, 6) AS threshold, passed FROM report""",
     "variant_status": "SELECT * FROM status",
     "promotion_gate": """
     SELECT count(*) FILTER (status = 'PASSED') AS variants_passed, count(*) FILTER (status = 'PASSED') = 2 AS promoted

@@ -12,7 +12,7 @@ from palate.settings import GENRE_RMSE_LIMIT, R2_LIMIT, RMSE_LIMIT, SLICE_R2_LIM
 
 
 def validation_report(cells: DataFrame) -> DataFrame:
-    """One row per variant and check: value, limit and whether it passed (null when skipped).
+    """One row per variant and check: value, threshold and whether it passed (null when skipped).
 
     ``cells`` holds ``variant, genre, slice, y, p, champion``; ``champion`` is null where there is none.
     Grouping sets give the sums per genre, over all users and per activity slice, in a single pass; the
@@ -54,7 +54,7 @@ def validation_report(cells: DataFrame) -> DataFrame:
 
     def check(name: str, value: str, limit: Column, passed: Column) -> Column:
         return F.struct(
-            F.lit(name).alias("check"), F.col(value).alias("value"), limit.alias("limit"), passed.alias("passed")
+            F.lit(name).alias("check_name"), F.col(value).alias("value"), limit.alias("threshold"), passed.alias("passed")
         )
 
     # Comparisons are written so that an undefined R² passes and an undefined RMSE fails.

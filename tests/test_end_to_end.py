@@ -91,7 +91,7 @@ def test_validation_promotion_and_scoring(built, models):
     store, _ = built
     candidates = {GENERAL: (models[GENERAL][0], models[GENERAL][0]), NOKIDS: (models[NOKIDS][0], None)}
     report = training.validate(store, candidates)
-    found = {(r.variant, r.check): r for r in report.collect()}
+    found = {(r.variant, r.check_name): r for r in report.collect()}
     assert len(found) == 12
     assert found["general", "champion"].passed is True
     assert found["nokids", "champion"].passed is None

@@ -101,7 +101,7 @@ def with_variant(cells, champion=None, slices="medium"):
 
 
 def outcome(report):
-    return {r.check: r.passed for r in report.collect()}
+    return {r.check_name: r.passed for r in report.collect()}
 
 
 def test_good_predictions_pass_every_check(frames):
@@ -181,7 +181,7 @@ def test_activity_slices_and_their_limits(frames):
 
 def report_of(spark, **variants):
     rows = [(v, "rmse", passed) for v, checks in variants.items() for passed in checks]
-    return spark.createDataFrame(rows, "variant STRING, check STRING, passed BOOLEAN")
+    return spark.createDataFrame(rows, "variant STRING, check_name STRING, passed BOOLEAN")
 
 
 @pytest.mark.parametrize(
