@@ -98,8 +98,11 @@ def order_statistics(
     found: dict[str, dict[int, float]] = {key: {} for key in ranks}
     open_cells = []
     for key, wanted in ranks.items():
+        lo, hi = bounds[key]
+        if not math.isfinite(hi - lo):
+            raise ValueError(f"values of {key} must span a finite range")
         pending = [{"rank": rank, "left": rank} for rank in sorted(set(wanted))]
-        open_cells.append((key, *bounds[key], pending))
+        open_cells.append((key, lo, hi, pending))
     open_cells = _close_finished(open_cells, found)
 
     while open_cells:

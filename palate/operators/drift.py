@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palate.functions.local import NUMBER, NUMBERS, TEXT, local_frame
+from palate.functions.local import COUNT, NUMBER, NUMBERS, TEXT, local_frame
 from palate.functions.quantiles import ValueRange, interpolated_quantiles
 from palate.settings import GENRE_FEATURES, PSI_BINS, PSI_FLOOR, PSI_LIMIT
-from palate.sources.scratch import stage
+from palate.sources.scratch import staged
 
 
 def feature_values(df: DataFrame, features: Sequence[str] = GENRE_FEATURES) -> DataFrame:
@@ -36,57 +36,68 @@ def psi(baseline: DataFrame, current: DataFrame, bins: int = PSI_BINS, min_rows:
     side are left out of the result.
 
     Both sides shrink to counts per distinct value in one shuffle, which splits by value and so has no
-    hot key; quantiles and histogram work on those counts.
+    hot key; quantiles and histogram work on those counts, and only bins come back.
     """
-    counts = stage(_compare_counts(baseline, current), "value-counts")
-    spark = counts.sparkSession
-    in_baseline = F.when(F.col("base") > 0, F.col("value"))
-    sizes = (
-        counts.groupBy("key")
-        .agg(
-            F.sum("base").alias("base"),
-            F.sum("now").alias("now"),
-            F.min(in_baseline).alias("lo"),
-            F.max(in_baseline).alias("hi"),
+    with staged(_compare_counts(baseline, current), "value-counts") as counts:
+        in_baseline = F.when(F.col("base") > 0, F.col("value"))
+        sizes = (
+            counts.groupBy("key")
+            .agg(
+                F.sum("base").alias("base"),
+                F.sum("now").alias("now"),
+                F.min(in_baseline).alias("lo"),
+                F.max(in_baseline).alias("hi"),
+            )
+            .where((F.col("base") > min_rows) & (F.col("now") > min_rows))
+            .collect()
         )
-        .where((F.col("base") > min_rows) & (F.col("now") > min_rows))
-        .collect()
-    )
-    ranges = {row.key: ValueRange(row.base, row.lo, row.hi) for row in sizes}
-    quantiles = interpolated_quantiles(
-        counts.where(F.col("base") > 0).select("key", "value", F.col("base").alias("n")),
-        ranges,
-        [i / bins for i in range(bins + 1)],
-    )
-    edges = {key: sorted(set(points)) for key, points in quantiles.items()}
-    usable = [(key, e[0], e[-1] + 1e-6, e[1:-1]) for key, e in edges.items() if len(e) > 2]
-    layout = local_frame(spark, {"key": TEXT, "low": NUMBER, "high": NUMBER, "inner": NUMBERS}, usable)
+        ranges = {row.key: ValueRange(row.base, row.lo, row.hi) for row in sizes}
+        quantiles = interpolated_quantiles(
+            counts.where(F.col("base") > 0).select("key", "value", F.col("base").alias("n")),
+            ranges,
+            [i / bins for i in range(bins + 1)],
+        )
+        edges = {key: sorted(set(points)) for key, points in quantiles.items()}
+        binned = _histogram(counts, {key: e for key, e in edges.items() if len(e) > 2}, bins)
+    return _index(baseline.sparkSession, list(ranges), binned)
 
-    # At most one row per key and `bins` per row, so both broadcasts are bounded by the feature list.
+
+def _histogram(counts: DataFrame, edges: dict[str, list[float]], bins: int) -> list[tuple]:
+    """``(key, base, now)`` of every bin, empty ones included: at most ``bins`` rows per key."""
+    layout = local_frame(
+        counts.sparkSession,
+        {"key": TEXT, "low": NUMBER, "high": NUMBER, "inner": NUMBERS},
+        [(key, e[0], e[-1] + 1e-6, e[1:-1]) for key, e in edges.items()],
+    )
     above = [F.coalesce((F.col("value") >= F.get("inner", F.lit(i))).cast("int"), F.lit(0)) for i in range(bins - 1)]
-    histogram = (
+    filled = (
         counts.join(F.broadcast(layout), "key")
         .where(F.col("value").between(F.col("low"), F.col("high")))
-        .groupBy("key", sum(above[1:], above[0]).alias("bin"))
+        .groupBy("key", sum(above, F.lit(0)).alias("bin"))
         .agg(F.sum("base").alias("base"), F.sum("now").alias("now"))
     )
-    every_bin = layout.select(
-        "key", F.explode(F.sequence(F.lit(0), F.size("inner"))).alias("bin"), (F.size("inner") + 1).alias("bins")
-    )
+    found = {(row.key, row.bin): (row.base, row.now) for row in filled.collect()}
+    return [(key, *found.get((key, i), (0, 0))) for key, e in edges.items() for i in range(len(e) - 1)]
+
+
+def _index(spark: SparkSession, keys: list[str], binned: list[tuple]) -> DataFrame:
+    """The index per key from its bins, 0 for a key without."""
     of_key = Window.partitionBy("key")
 
-    def proportion(side: str):
-        filled = F.coalesce(F.col(side), F.lit(0))
-        return (filled + F.lit(PSI_FLOOR)) / (F.sum(filled).over(of_key) + F.col("bins") * F.lit(PSI_FLOOR))
+    def proportion(side: str) -> Column:
+        return (F.col(side) + F.lit(PSI_FLOOR)) / (
+            F.sum(side).over(of_key) + F.count(F.lit(1)).over(of_key) * F.lit(PSI_FLOOR)
+        )
 
+    shift = (F.col("now") - F.col("base")) * F.ln(F.col("now") / F.col("base"))
     shifts = (
-        every_bin.join(histogram, ["key", "bin"], "left")
-        .select("key", proportion("base").alias("p"), proportion("now").alias("q"))
+        local_frame(spark, {"key": TEXT, "base": COUNT, "now": COUNT}, binned)
+        .select("key", proportion("base").alias("base"), proportion("now").alias("now"))
         .groupBy("key")
-        .agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
+        .agg(F.sum(shift).alias("psi"))
     )
-    keys = local_frame(spark, {"key": TEXT}, [(key,) for key in ranges])
-    return keys.join(shifts, "key", "left").select("key", F.coalesce("psi", F.lit(0.0)).alias("psi"))
+    every_key = local_frame(spark, {"key": TEXT}, [(key,) for key in keys])
+    return every_key.join(shifts, "key", "left").select("key", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 
 def drift_report(

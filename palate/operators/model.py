@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from palate.operators.matrix import feature_columns, pivot_features
 from palate.settings import BoostingParams
-from palate.sources.scratch import ensure_checkpoint_dir, stage
+from palate.sources.scratch import ensure_checkpoint_dir, staged
 
 _FEATURES = "features"
 
@@ -60,22 +60,23 @@ def fit_multi_output(
     ordered = tuple(sorted(genres))
     targets = [f"target_{g}" for g in ordered]
     joined = matrix.join(labels.select("userId", *[F.col(f"`{g}`").alias(t) for g, t in zip(ordered, targets)]), "userId")
-    examples = stage(_assemble(joined, ordered, targets), "examples")
-    ensure_checkpoint_dir(examples.sparkSession)
-
-    def fit(target: str) -> GBTRegressionModel:
-        return GBTRegressor(
-            featuresCol=_FEATURES,
-            labelCol=target,
-            maxIter=params.trees,
-            stepSize=params.learning_rate,
-            maxDepth=params.depth,
-            minInstancesPerNode=params.min_rows_per_leaf,
-            seed=params.seed,
-        ).fit(examples.select(_FEATURES, target))
-
-    with ThreadPoolExecutor(concurrent_fits) as pool:
-        return MultiOutputModel(ordered, dict(zip(ordered, pool.map(fit, targets))))
+    ensure_checkpoint_dir(joined.sparkSession)
+
+    with staged(_assemble(joined, ordered, targets), "examples") as examples:
+
+        def fit(target: str) -> GBTRegressionModel:
+            return GBTRegressor(
+                featuresCol=_FEATURES,
+                labelCol=target,
+                maxIter=params.trees,
+                stepSize=params.learning_rate,
+                maxDepth=params.depth,
+                minInstancesPerNode=params.min_rows_per_leaf,
+                seed=params.seed,
+            ).fit(examples.select(_FEATURES, target))
+
+        with ThreadPoolExecutor(concurrent_fits) as pool:
+            return MultiOutputModel(ordered, dict(zip(ordered, pool.map(fit, targets))))
 
 
 def scoring_matrix(user_genre: DataFrame, profiles: DataFrame, genres: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from palate.operators.features import sample_users, user_genre_features, user_pr
 from palate.operators.labels import split_boundaries
 from palate.operators.silver import aggregate_genome, clean_ratings, explode_genres, filter_variant, split_holdout
 from palate.sources.csv import ingest_missing
-from palate.sources.scratch import stage
+from palate.sources.scratch import staged
 from palate.sources.tables import TableStore
 from palate.streaming.replay import restart
 
@@ -26,11 +26,11 @@ def build_silver(store: TableStore, holdout_quantile: float = settings.HOLDOUT_Q
         settings.GENOME_AGG,
         aggregate_genome(store.read("bronze.genome_scores"), store.read("bronze.genome_tags"), exploded),
     )
-    complete = stage(clean_ratings(store.read("bronze.ratings")), "ratings-clean")
-    training, holdout = split_holdout(complete, holdout_quantile)
-    store.overwrite(settings.RATINGS_HOLDOUT, holdout)
-    restart(store)
-    store.overwrite_sliced(settings.RATINGS_CLEAN, training)
+    with staged(clean_ratings(store.read("bronze.ratings")), "ratings-clean") as complete:
+        training, holdout = split_holdout(complete, holdout_quantile)
+        store.overwrite(settings.RATINGS_HOLDOUT, holdout)
+        restart(store)
+        store.overwrite_sliced(settings.RATINGS_CLEAN, training)
 
 
 def build_user_genre_features(store: TableStore, fraction: float = 1.0) -> None:

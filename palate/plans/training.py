@@ -22,7 +22,7 @@ from palate.operators.metrics import metrics_overall, metrics_per_genre, with_ac
 from palate.operators.model import MultiOutputModel, fit_multi_output
 from palate.operators.validation import promotion_gate, validation_report
 from palate.settings import BoostingParams, Variant
-from palate.sources.scratch import stage
+from palate.sources.scratch import stage, staged
 from palate.sources.tables import TableStore
 
 
@@ -38,11 +38,11 @@ def fit_and_evaluate(
     cells: DataFrame, genres: tuple[str, ...], params: BoostingParams
 ) -> tuple[MultiOutputModel, DataFrame, DataFrame]:
     """Fit on the ``train`` cells of a training set; metrics per genre and overall on its ``val`` cells."""
-    staged = stage(cells, "training-cells")
-    train, val = (staged.where(F.col("split_flag") == flag) for flag in ("train", "val"))
-    model = fit_multi_output(pivot_features(train, genres), pivot_labels(train, genres), genres, params)
-    scores = model.predict(pivot_features(val, genres))
-    predicted = stage(prediction_cells(pivot_labels(val, genres), genres, p=scores), "validation-cells")
+    with staged(cells, "training-cells") as rows:
+        train, val = (rows.where(F.col("split_flag") == flag) for flag in ("train", "val"))
+        model = fit_multi_output(pivot_features(train, genres), pivot_labels(train, genres), genres, params)
+        scores = model.predict(pivot_features(val, genres))
+        predicted = stage(prediction_cells(pivot_labels(val, genres), genres, p=scores), "validation-cells")
     return model, metrics_per_genre(predicted), metrics_overall(predicted)
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palate.sources.files import delete
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -23,9 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}"
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete everything this application has staged, once no frame that reads it is needed any more."""
+    delete(spark, _application_dir(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -40,6 +53,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Unlike a cached frame it survives the loss of executors, keeps column pruning and filter pushdown,
     and gives the optimizer real sizes.
     """
+    return _write(df, new_dir(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like :func:`stage`, for work that is finished inside the block; the copy is deleted at its end."""
     path = new_dir(df.sparkSession, label)
+    try:
+        yield _write(df, path)
+    finally:
+        delete(df.sparkSession, path)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palate.sources.files import child_names, delete, exists
+
 _SLICE = "slice"
 
 
@@ -19,17 +21,8 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _fs_path(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
     def _versions(self, name: str) -> list[int]:
-        schema, table = name.split(".")
-        fs, path = self._fs_path(f"{self.root}/{schema}/{table}")
-        if not fs.exists(path):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        names = child_names(self.spark, f"{self.root}/{name.replace('.', '/')}")
         return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
 
     def _version_path(self, name: str, version: int) -> str:
@@ -38,8 +31,7 @@ class TableStore:
     def _current(self, name: str) -> str | None:
         for version in reversed(self._versions(name)):
             path = self._version_path(name, version)
-            fs, marker = self._fs_path(f"{path}/_SUCCESS")
-            if fs.exists(marker):
+            if exists(self.spark, f"{path}/_SUCCESS"):
                 return path
         return None
 
@@ -94,8 +86,7 @@ class TableStore:
             return
         complete = [v for v in self._versions(name) if self._version_path(name, v) <= current]
         for version in complete[: -keep or None]:
-            fs, path = self._fs_path(self._version_path(name, version))
-            fs.delete(path, True)
+            delete(self.spark, self._version_path(name, version))
 
 
 def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

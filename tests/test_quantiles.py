@@ -64,3 +64,8 @@ def test_order_statistics_with_outliers_and_few_slots(spark, fan_out):
         counts(spark, {"k": values}), {"k": range(1, len(values) + 1, 3)}, {"k": (values[0], values[-1])}, fan_out
     )
     assert found["k"] == {rank: values[rank - 1] for rank in range(1, len(values) + 1, 3)}
+
+
+def test_endless_ranges_are_refused(spark):
+    with pytest.raises(ValueError, match="finite"):
+        order_statistics(counts(spark, {"k": [1.0]}), {"k": [1]}, {"k": (0.0, math.inf)})

@@ -4,7 +4,8 @@ from palate.operators.quality import table_counts, table_problems
 from palate.schemas import BRONZE
 from palate.settings import BRONZE_FILES
 from palate.sources import csv
-from palate.sources.scratch import new_dir, stage
+from palate.sources.files import child_names
+from palate.sources.scratch import new_dir, stage, staged
 from palate.sources.tables import merge_rows
 from tests.conftest import rows_of
 
@@ -121,3 +122,10 @@ def test_staged_frames_live_in_the_shared_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or new_dir(spark, "x").startswith(configured)
     assert new_dir(spark, "x") != new_dir(spark, "x")
+
+
+def test_a_staged_block_leaves_nothing_behind(spark):
+    with staged(numbers(spark, (1, "A", 1.0)), "block") as copy:
+        assert rows_of(copy) == [(1, "A", 1.0)]
+    home = new_dir(spark, "x").rsplit("/", 1)[0]
+    assert not [name for name in child_names(spark, home) if name.startswith("block-")]
