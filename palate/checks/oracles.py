@@ -198,7 +198,8 @@ _RELATIONS = {
     UNION ALL SELECT variant, 'champion', rmse, champion, rmse <= champion FROM summary
     UNION ALL SELECT variant, 'genre_rmse', worst_genre, 2.0, worst_genre <= 2.0 FROM summary
     UNION ALL SELECT variant, 'slice_r2', worst_slice, -0.05, worst_slice >= -0.05 FROM summary""",
-    "status": "SELECT variant, CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS status FROM report GROUP BY 1",
+    "status": """
+    SELECT variant, CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS status FROM report GROUP BY 1""",
     "arrived": "SELECT * FROM holdout WHERE ts <= (SELECT min(ts) FROM holdout) + 150 * 86400",
     "later_ratings": "SELECT * FROM training UNION ALL SELECT * FROM arrived",
     "base_features": _user_genre("training"),
@@ -317,7 +318,9 @@ _QUERIES = {
     SELECT {_wide_features(KEPT)} FROM (
       SELECT g.*, {", ".join(PROFILE_FEATURES)} FROM user_genre g LEFT JOIN profiles p ON p.userId = g.userId
       WHERE genre IN {_in(KEPT)}) GROUP BY 1""",
-    "prediction_cells": "SELECT userId, genre, round(y + 1e-9, 6) AS y, round(p + 1e-9, 6) AS p, round(champion + 1e-9, 6) AS champion FROM cells",
+    "prediction_cells": """
+    SELECT userId, genre, round(y + 1e-9, 6) AS y, round(p + 1e-9, 6) AS p, round(champion + 1e-9, 6) AS champion
+    FROM cells""",
     "metrics_overall": f"""
     SELECT round((SELECT sqrt(avg((y - p) * (y - p))) FROM cells) + 1e-9, 6) AS rmse_overall,
            round((SELECT avg(r2) FROM (SELECT genre, {_R2} AS r2 FROM cells GROUP BY 1)) + 1e-9, 6) AS r2_overall""",
@@ -329,7 +332,8 @@ _QUERIES = {
     "activity_slices": _slices(LOW, HIGH),
     "activity_slices_default": _slices(50, 200),
     "validation_report": """
-    SELECT variant, check_name, round(value + 1e-9, 6) AS value, round(CAST(threshold AS DOUBLE) + 1e-9, 6) AS threshold, passed FROM report""",
+    SELECT variant, check_name, round(value + 1e-9, 6) AS value,
+           round(CAST(threshold AS DOUBLE) + 1e-9, 6) AS threshold, passed FROM report""",
     "variant_status": "SELECT * FROM status",
     "promotion_gate": """
     SELECT count(*) FILTER (status = 'PASSED') AS variants_passed, count(*) FILTER (status = 'PASSED') = 2 AS promoted

@@ -228,8 +228,7 @@ def feature_user_labels(bed: Testbed) -> DataFrame:
 
 
 def _training_set(bed: Testbed) -> DataFrame:
-    wanted = labels.train_val_only(labels.restrict_to_feature_users(bed.labels, bed.profiles))
-    return labels.training_set(wanted, bed.user_genre, bed.profiles)
+    return labels.training_set(labels.train_val_only(bed.labels), bed.user_genre, bed.profiles)
 
 
 @query

@@ -74,7 +74,8 @@ class Testbed:
 
     @cached_property
     def movies(self) -> DataFrame:
-        listed = F.when(F.col("p_size") == 50, settings.NO_GENRES).otherwise(F.replace("p_name", F.lit(" "), F.lit("|")))
+        words = F.replace("p_name", F.lit(" "), F.lit("|"))
+        listed = F.when(F.col("p_size") == 50, settings.NO_GENRES).otherwise(words)
         return self.table("part").select(
             F.col("p_partkey").alias("movieId"), F.col("p_name").alias("title"), listed.alias("genres")
         )

@@ -58,8 +58,8 @@ def restrict_to_feature_users(labels: DataFrame, profiles: DataFrame) -> DataFra
 def lookup_features(rows: DataFrame, user_genre: DataFrame, profiles: DataFrame) -> DataFrame:
     """Attach both feature tables to (user, genre) rows; what is missing stays null.
 
-    The tables hold one current row per key, so this is not a point-in-time lookup. Profiles come first:
-    rows that were just restricted to the users with a profile are still partitioned for that join.
+    The tables hold one current row per key, so this is not a point-in-time lookup. Profiles come first, so
+    that the wider features of the user and genre are moved once.
     """
     return rows.join(profiles, "userId", "left").join(user_genre, ["userId", "genre"], "left")
 

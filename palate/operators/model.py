@@ -59,7 +59,8 @@ def fit_multi_output(
     """
     ordered = tuple(sorted(genres))
     targets = [f"target_{g}" for g in ordered]
-    joined = matrix.join(labels.select("userId", *[F.col(f"`{g}`").alias(t) for g, t in zip(ordered, targets)]), "userId")
+    renamed = labels.select("userId", *[F.col(f"`{g}`").alias(t) for g, t in zip(ordered, targets)])
+    joined = matrix.join(renamed, "userId")
     ensure_checkpoint_dir(joined.sparkSession)
 
     with staged(_assemble(joined, ordered, targets), "examples") as examples:

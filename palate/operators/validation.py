@@ -54,7 +54,10 @@ def validation_report(cells: DataFrame) -> DataFrame:
 
     def check(name: str, value: str, limit: Column, passed: Column) -> Column:
         return F.struct(
-            F.lit(name).alias("check_name"), F.col(value).alias("value"), limit.alias("threshold"), passed.alias("passed")
+            F.lit(name).alias("check_name"),
+            F.col(value).alias("value"),
+            limit.alias("threshold"),
+            passed.alias("passed"),
         )
 
     # Comparisons are written so that an undefined R² passes and an undefined RMSE fails.

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from palate import settings
 from palate.operators.labels import (
     holdout_cells,
-    lookup_features,
-    restrict_to_feature_users,
     train_val_only,
     training_labels,
     training_set,
@@ -50,14 +48,14 @@ def train_variant(
     store: TableStore, variant: Variant, params: BoostingParams
 ) -> tuple[MultiOutputModel, DataFrame, DataFrame]:
     """Model of a variant, with its metrics per genre and overall on the validation split."""
-    profiles = store.read(settings.USER_PROFILE_FEATURES)
     labels = training_labels(
         store.read(settings.RATINGS_CLEAN), store.read(variant.exploded_table), *read_split_boundaries(store)
     )
+    # A training set needs a profile, so it is already restricted to users that have features.
     cells = training_set(
-        train_val_only(restrict_to_feature_users(labels, profiles)),
+        train_val_only(labels),
         store.read(settings.USER_GENRE_FEATURES),
-        profiles,
+        store.read(settings.USER_PROFILE_FEATURES),
     )
     return fit_and_evaluate(cells, variant.genres, params)
 
@@ -66,20 +64,20 @@ def evaluation_cells(
     store: TableStore, variant: Variant, challenger: MultiOutputModel, champion: MultiOutputModel | None
 ) -> DataFrame:
     """Predictions of challenger and champion on the same test cells, with the user's activity slice."""
-    ratings, profiles = store.read(settings.RATINGS_CLEAN), store.read(settings.USER_PROFILE_FEATURES)
-    boundary = read_split_boundaries(store)[1]
-    labels = restrict_to_feature_users(
-        holdout_cells(ratings, store.read(variant.exploded_table), boundary), profiles
+    ratings = store.read(settings.RATINGS_CLEAN)
+    labels = holdout_cells(ratings, store.read(variant.exploded_table), read_split_boundaries(store)[1])
+    cells = training_set(
+        labels, store.read(settings.USER_GENRE_FEATURES), store.read(settings.USER_PROFILE_FEATURES)
     )
-    rows = stage(lookup_features(labels, store.read(settings.USER_GENRE_FEATURES), profiles), "test-cells")
+    rows = stage(cells, "test-cells")
     matrix, truth = pivot_features(rows, variant.genres), pivot_labels(rows, variant.genres)
     predictions = {"p": challenger.predict(matrix)}
     if champion is not None:
         predictions["champion"] = champion.predict(matrix)
-    cells = prediction_cells(truth, variant.genres, **predictions)
+    predicted = prediction_cells(truth, variant.genres, **predictions)
     if champion is None:
-        cells = cells.withColumn("champion", F.lit(None).cast("double"))
-    return with_activity(cells, ratings).withColumn("variant", F.lit(variant.name))
+        predicted = predicted.withColumn("champion", F.lit(None).cast("double"))
+    return with_activity(predicted, ratings).withColumn("variant", F.lit(variant.name))
 
 
 def validate(
