@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
 from palate import schemas, settings
-from palate.checks.testbed import GENRES, KEPT, Testbed
+from palate.checks.testbed import EVENT_TYPES, GENRES, KEPT, Testbed
 from palate.functions.local import COUNT, local_frame
 from palate.operators import drift, features, labels, matrix, metrics, model, quality, silver, validation
 from palate.plans import bootstrap, serving
@@ -379,7 +379,7 @@ def drift_check(bed: Testbed) -> DataFrame:
 @query
 def psi_by_event_type(bed: Testbed) -> DataFrame:
     earlier, later = silver.split_holdout(bed.events, 0.5)
-    return drift.psi(earlier, later)
+    return drift.psi(earlier, later, EVENT_TYPES)
 
 
 # --- models ---------------------------------------------------------------------------------------

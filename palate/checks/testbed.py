@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from palate import settings
 from palate.operators import features, labels, silver
 
-# The words that make up part names, used as genres, and the excluded ones.
+# The words that make up part names, used as genres, the excluded ones, and the event types.
 ADJECTIVES = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
 NOUNS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
 GENRES = tuple(sorted(ADJECTIVES + NOUNS))
 EXCLUDED = ("cold", "old", "rod")
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 KEPT = tuple(g for g in GENRES if g not in EXCLUDED)
 
 

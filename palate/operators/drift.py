@@ -28,17 +28,21 @@ def _compare_counts(baseline: DataFrame, current: DataFrame) -> DataFrame:
     return sides.groupBy("key", "value").agg(F.sum("base").alias("base"), F.sum("now").alias("now"))
 
 
-def psi(baseline: DataFrame, current: DataFrame, bins: int = PSI_BINS, min_rows: int = 0) -> DataFrame:
-    """Population stability index per key of two ``(key, value)`` frames.
+def psi(
+    baseline: DataFrame, current: DataFrame, keys: Sequence[str], bins: int = PSI_BINS, min_rows: int = 0
+) -> DataFrame:
+    """Population stability index of two ``(key, value)`` frames, for each of the given keys.
 
     Bins are the baseline's interpolated quantiles, equal edges merged; fewer than two bins make the index
     0. Values outside the baseline's range are left out. Keys with ``min_rows`` values or fewer on either
     side are left out of the result.
 
     Both sides shrink to counts per distinct value in one shuffle, which splits by value and so has no
-    hot key; quantiles and histogram work on those counts, and only bins come back.
+    hot key; quantiles and histogram work on those counts. What comes back, or is broadcast, is bounded by the
+    number of keys times the number of bins.
     """
-    with staged(_compare_counts(baseline, current), "value-counts") as counts:
+    wanted = F.col("key").isin(*keys)
+    with staged(_compare_counts(baseline.where(wanted), current.where(wanted)), "value-counts") as counts:
         in_baseline = F.when(F.col("base") > 0, F.col("value"))
         sizes = (
             counts.groupBy("key")
@@ -108,7 +112,8 @@ def drift_report(
     limit: float = PSI_LIMIT,
 ) -> DataFrame:
     """PSI and verdict per feature that has more than ``bins`` values on both sides."""
-    return psi(feature_values(baseline, features), feature_values(current, features), bins, min_rows=bins).select(
+    index = psi(feature_values(baseline, features), feature_values(current, features), features, bins, min_rows=bins)
+    return index.select(
         F.col("key").alias("feature"), F.round("psi", 6).alias("psi"), (F.col("psi") > limit).alias("drifted")
     )
 

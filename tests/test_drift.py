@@ -44,7 +44,9 @@ def cases():
 
 def test_psi_matches_the_array_computation(spark):
     data = cases()
-    found = drift.psi(frame(spark, **{k: b for k, (b, _) in data.items()}), frame(spark, **{k: c for k, (_, c) in data.items()}))
+    base = frame(spark, other=[1.0], **{k: b for k, (b, _) in data.items()})
+    now = frame(spark, other=[2.0], **{k: c for k, (_, c) in data.items()})
+    found = drift.psi(base, now, list(data))
     values = dict(rows_of(found))
     assert values.keys() == data.keys()
     for key, (base, now) in data.items():
@@ -53,7 +55,7 @@ def test_psi_matches_the_array_computation(spark):
 
 
 def test_nothing_to_compare(spark):
-    assert drift.psi(frame(spark, a=[1.0]), frame(spark, b=[1.0])).collect() == []
+    assert drift.psi(frame(spark, a=[1.0]), frame(spark, b=[1.0]), ["a", "b"]).collect() == []
 
 
 def features(spark, n, shift, nulls=0):
