@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palate.llm import html_blocks
+from palate.llm import html_blocks, repair
 from palate.llm.common import table
 
 
+def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = repair.Settings(public_tokenizers.path("word_bpe_49k.json"))
+    return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
+
+
 def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
@@ -17,6 +23,7 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op5_repair_shards,
         op10_html_blocks,
     )
 }
