@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import palate.llm
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from palate.sources.scratch import stage as _stage
 #: Characters of a word; everything else separates words.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Functions of this folder travel to executors with their code, so nothing needs to be installed there.
+cloudpickle.register_pickle_by_value(palate.llm)
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palate.llm import html_blocks, repair
+from palate.llm import html_blocks, quality_rules, repair
 from palate.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
@@ -24,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op5_repair_shards,
+        op9_quality_rules,
         op10_html_blocks,
     )
 }
