@@ -221,11 +221,12 @@ class Learner:
 
 
 def learn(counts: DataFrame, labels: DataFrame, learner: Learner) -> list[Rule]:
-    """The decision list for ``labels(doc_id, quality)``; 0 is low quality."""
+    """The decision list for ``labels(doc_id, quality)``, 0 being low quality, behind the base rules."""
     known = labels.where(F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 0).alias("low"))
     own = features()
     rows = (
-        counts.join(known, "doc_id")
+        counts.where(~base_failed())
+        .join(known, "doc_id")
         .select("low", *(column.alias(name) for name, column in own.items()), F.xxhash64("doc_id").alias("order"))
         .orderBy("order", "low", *own)
         .limit(learner.max_labelled)
