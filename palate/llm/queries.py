@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, quality_rules, repair
+from palate.llm import html_blocks, language_masks, quality_rules, repair
 from palate.llm.common import table
 
 
+def op2_language_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_masks.held_out())
+    model = language_masks.train(docs.where(~F.col("held_out")))
+    return language_masks.predict(docs, model, carry=("doc_id", "held_out"))
+
+
 def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = repair.Settings(public_tokenizers.path("word_bpe_49k.json"))
     return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
@@ -27,6 +34,7 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_language_masks,
         op5_repair_shards,
         op9_quality_rules,
         op10_html_blocks,
