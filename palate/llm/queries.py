@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, language_masks, quality_rules, repair
+from palate.llm import html_blocks, language_masks, mixing, quality_rules, repair
 from palate.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
 
 
+def op6_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.summary(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_language_masks,
         op5_repair_shards,
+        op6_hypergeometric_mix,
         op9_quality_rules,
         op10_html_blocks,
     )
