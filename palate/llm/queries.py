@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, language_masks, mixing, quality_rules, repair
+from palate.llm import html_blocks, language_masks, mixing, quality_rules, repair, secret_index
 from palate.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.summary(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_index.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,9 +45,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_masks,
         op5_repair_shards,
         op6_hypergeometric_mix,
+        op8_secret_index,
         op9_quality_rules,
         op10_html_blocks,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_secret_index": secret_index.oracle_sql()}
