@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, language_masks, mixing, quality_rules, repair, secret_index
+from palate.llm import html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index
 from palate.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_language_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_masks.predict(docs, model, carry=("doc_id", "held_out"))
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.components(table(spark, sf_dir, "documents"))
+
+
 def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = repair.Settings(public_tokenizers.path("word_bpe_49k.json"))
     return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_language_masks,
+        op3_near_dups,
         op5_repair_shards,
         op6_hypergeometric_mix,
         op8_secret_index,
