@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index
+from palate.llm import html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index, suffix_dedup
 from palate.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op6_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.summary(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_index.scan(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_near_dups,
         op5_repair_shards,
         op6_hypergeometric_mix,
+        op7_suffix_dedup,
         op8_secret_index,
         op9_quality_rules,
         op10_html_blocks,

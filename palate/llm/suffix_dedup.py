@@ -7,7 +7,9 @@ alone after a digit is dropped. Digits are taken so that few suffixes have to be
    windows share theirs, so a run of windows is one row. Grams that occur once are dropped, with all their windows.
 2. The second digit is the whole stretch of bytes that a run covers. Runs of one gram with equal stretches are
    repeated in all their windows.
-3. The last digit, only for grams with several stretches, is the window itself. Groups of two or more are repeated.
+3. For grams with several stretches, windows are taken by ``block`` neighbours that stand at the same distances from
+   the gram. The third digit is what all windows of a block share; the fourth is the stretch the block covers.
+4. The last digit, only where blocks share the third digit and differ in the fourth, is the window itself.
 
 Equal windows have equal digits, so the groups that are left are exactly the repeated windows. Digits travel as
 64-bit hashes. Every count is summed before it is shuffled, and rows come back to their counts by joins that may
@@ -35,6 +37,7 @@ from palate.llm.common import map_batches, stage
 class Settings:
     length: int = 200
     gram: int = 40
+    block: int = 16
     piece: int = 1 << 20
 
 
@@ -98,7 +101,7 @@ def _pieces(texts: Sequence[bytes], settings: Settings) -> Iterator[tuple[np.nda
 
 
 def _runs(data: np.ndarray, ends: np.ndarray, settings: Settings) -> tuple[np.ndarray, ...]:
-    """``part, first window, last window, gram hash, stretch hash`` of each run of windows with one minimizer."""
+    """``part, first, last window, anchor, gram hash, stretch hash`` of each run of windows with one minimizer."""
     hasher = _Hasher(data)
     grams = hasher.every(settings.gram)
     keys = ((grams >> _PLACE_BITS) << _PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
@@ -119,7 +122,7 @@ def _runs(data: np.ndarray, ends: np.ndarray, settings: Settings) -> tuple[np.nd
     anchor = anchors[first]
     stretch = hasher.some(first, last + settings.length)
     stretch = _mix(stretch + (last - first).astype(np.uint64) * _FACTOR) + (anchor - first).astype(np.uint64)
-    return part[first], first, last, grams[anchor], _mix(stretch)
+    return part[first], first, last, anchor, grams[anchor], _mix(stretch)
 
 
 def _key() -> Column:
@@ -128,7 +131,10 @@ def _key() -> Column:
 
 
 _RUNS = pa.schema(
-    [("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("gram", pa.int64()), ("stretch", pa.int64())]
+    [
+        ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("anchor", pa.int32()),
+        ("gram", pa.int64()), ("stretch", pa.int64()),
+    ]
 )
 
 
@@ -140,12 +146,13 @@ def runs(docs: DataFrame, settings: Settings) -> DataFrame:
             texts = [text.encode("utf-8", "surrogatepass") for text in batch["text"]]
             keys = np.array(batch["key"], np.int64)
             for data, whose, at, ends in _pieces(texts, settings):
-                part, first, last, gram, stretch = _runs(data, ends, settings)
+                part, first, last, anchor, gram, stretch = _runs(data, ends, settings)
                 begins = np.append(0, ends[:-1])
                 yield {
                     "key": keys[np.array(whose)[part]],
                     "start": first - begins[part] + at[part],
                     "windows": last - first + 1,
+                    "anchor": anchor - begins[part] + at[part],
                     "gram": gram.view(np.int64),
                     "stretch": stretch.view(np.int64),
                 }
@@ -154,70 +161,142 @@ def runs(docs: DataFrame, settings: Settings) -> DataFrame:
     return map_batches(long_enough.select(_key().alias("key"), "text"), ["key", "text"], run, _RUNS, rows=256)
 
 
+def _with_runs(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """``key, text, runs`` of the texts that hold one of the wanted runs; equal texts once."""
+    columns = [F.col(c) for c in wanted.columns if c != "key"]
+    per_text = wanted.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("runs"))
+    texts = docs.where(F.octet_length("text") >= settings.length).select(_key().alias("key"), "text")
+    return texts.join(per_text, "key").dropDuplicates(["key"])
+
+
+def _hashed(batch: dict[str, list], length: int) -> Iterator[tuple[int, list[dict], int, _Hasher]]:
+    """Of each text, up to 4096 of its runs at a time, and a hasher of the bytes around them that begin at an offset."""
+    for key, text, own in zip(batch["key"], batch["text"], batch["runs"], strict=True):
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        own = sorted(own, key=lambda r: r["start"])
+        for at in range(0, len(own), 4096):
+            few = own[at : at + 4096]
+            low = few[0]["start"]
+            high = max(r["start"] + r["windows"] for r in few) + length
+            yield key, few, low, _Hasher(data[low:high])
+
+
+def _column(rows: list[dict], name: str) -> np.ndarray:
+    return np.array([r[name] for r in rows])
+
+
+def _spread(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(sizes)
+    return np.repeat(firsts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+_BLOCKS = pa.schema(
+    [
+        ("shared", pa.int64()), ("stretch", pa.int64()), ("key", pa.int64()), ("start", pa.int32()),
+        ("windows", pa.int32()), ("alone", pa.bool_()),
+    ]
+)
+
+
+def _blocks(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """The third and fourth digit of every block of the wanted runs (``key, start, windows, anchor, alone``)."""
+    size, length = settings.block, settings.length
+
+    def run(parts: Iterator[dict[str, list]]) -> Iterator[dict]:
+        for batch in parts:
+            for key, few, low, hasher in _hashed(batch, length):
+                first, windows, anchor = (_column(few, c) for c in ("start", "windows", "anchor"))
+                # Blocks by distance of a window's start from the anchor, farthest first.
+                far, near = (anchor - first) // size, (anchor - first - windows + 1) // size
+                counts = far - near + 1
+                which = np.repeat(np.arange(len(few)), counts)
+                block = far[which] - _spread(np.zeros(len(few), np.int64), counts)
+                nearest = anchor[which] - block * size  # the last start that a full block has
+                start = np.maximum(nearest - size + 1, first[which])
+                last = np.minimum(nearest, (first + windows - 1)[which])
+                shared = hasher.some(nearest - low, nearest - size + 1 + length - low)
+                shared = _mix(shared + block.astype(np.uint64) * _FACTOR)
+                whole = hasher.some(start - low, last + length - low)
+                whole = _mix(_mix(whole + (last - start).astype(np.uint64) * _FACTOR) + (nearest - start).astype(np.uint64))
+                yield {
+                    "shared": shared.view(np.int64),
+                    "stretch": whole.view(np.int64),
+                    "key": np.full(len(start), key),
+                    "start": start,
+                    "windows": last - start + 1,
+                    "alone": _column(few, "alone")[which],
+                }
+
+    return map_batches(_with_runs(docs, wanted, settings), ["key", "text", "runs"], run, _BLOCKS, rows=64)
+
+
 _WINDOWS = pa.schema([("window", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("alone", pa.bool_())])
 
 
 def _windows(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     """The last digit of every window of the wanted runs (``key, start, windows, alone``)."""
-    per_text = wanted.groupBy("key").agg(F.collect_list(F.struct("start", "windows", "alone")).alias("runs"))
-    texts = docs.where(F.octet_length("text") >= settings.length).select(_key().alias("key"), "text")
-    texts = texts.join(per_text, "key").dropDuplicates(["key"])
+    length = settings.length
 
     def run(parts: Iterator[dict[str, list]]) -> Iterator[dict]:
         for batch in parts:
-            for key, text, own in zip(batch["key"], batch["text"], batch["runs"], strict=True):
-                data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                for at in range(0, len(own), 4096):
-                    few = own[at : at + 4096]
-                    sizes = np.array([r["windows"] for r in few])
-                    starts = np.array([r["start"] for r in few])
-                    ends = np.cumsum(sizes)
-                    place = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
-                    low, high = int(place.min()), int(place.max()) + settings.length
-                    hashed = _Hasher(data[low:high]).some(place - low, place - low + settings.length)
-                    yield {
-                        "window": hashed.view(np.int64),
-                        "key": np.full(len(place), key),
-                        "start": place,
-                        "alone": np.repeat(np.array([r["alone"] for r in few]), sizes),
-                    }
-
-    return map_batches(texts, ["key", "text", "runs"], run, _WINDOWS, rows=64)
+            for key, few, low, hasher in _hashed(batch, length):
+                sizes = _column(few, "windows")
+                place = _spread(_column(few, "start"), sizes)
+                yield {
+                    "window": hasher.some(place - low, place - low + length).view(np.int64),
+                    "key": np.full(len(place), key),
+                    "start": place,
+                    "alone": np.repeat(_column(few, "alone"), sizes),
+                }
 
+    return map_batches(_with_runs(docs, wanted, settings), ["key", "text", "runs"], run, _WINDOWS, rows=64)
 
-def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``key, start, end`` of stretches whose windows all occur elsewhere; together they hold all such windows."""
-    found = stage(runs(docs, settings), "suffix-runs")
-    grams = (
-        found.groupBy("gram")
+
+def _radix_pass(rows: DataFrame, digit: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """Drop rows that stand alone in a digit, and tell the others by their ``stretch``.
+
+    First come rows that are repeated as a whole; second, for digits with several stretches, one row per stretch,
+    ``alone`` if nothing equals it so far. ``rows`` has ``key, start, windows, stretch`` and may have ``alone``.
+    """
+    alone = F.col("alone") if "alone" in rows.columns else F.lit(True)
+    rows = rows.withColumn("alone", alone)
+    digits = (
+        rows.groupBy(digit)
         .agg(F.count(F.lit(1)).alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
         .where("n > 1")
-        .select("gram", (F.col("low") != F.col("high")).alias("mixed"))
+        .select(digit, (F.col("low") != F.col("high")).alias("mixed"))
     )
-    again = stage(found.join(grams, "gram"), "suffix-again")
-    plain = again.where("not mixed").select("key", "start", "windows")
+    again = stage(rows.join(digits, digit), f"{label}-again")
+    plain = again.where("not mixed and alone").select("key", "start", "windows")
     mixed = again.where("mixed")
+    carried = [c for c in rows.columns if c not in ("stretch", "alone", digit)]
     stretches = stage(
-        mixed.groupBy("gram", "stretch").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "start", "windows")).alias("first")
+        mixed.groupBy(digit, "stretch").agg(
+            F.count(F.lit(1)).alias("n"), F.bool_and("alone").alias("alone"), F.min(F.struct(*carried)).alias("first")
         ),
-        "suffix-stretches",
-    )
-    equal = mixed.join(stretches.where("n > 1").select("gram", "stretch"), ["gram", "stretch"])
-    whole = plain.unionByName(equal.select("key", "start", "windows")).select(
-        "key", "start", (F.col("start") + F.col("windows") + settings.length - 1).alias("end")
+        f"{label}-stretches",
     )
-    wanted = stretches.select("first.*", (F.col("n") == 1).alias("alone"))
-    windows = stage(_windows(docs, wanted, settings), "suffix-windows")
+    equal = mixed.where("alone").join(stretches.where("n > 1").select(digit, "stretch"), [digit, "stretch"])
+    whole = plain.unionByName(equal.select("key", "start", "windows"))
+    left = stretches.select("first.*", (F.col("alone") & (F.col("n") == 1)).alias("alone"))
+    return whole, left
+
+
+def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``key, start, end`` of stretches whose windows all occur elsewhere; together they hold all such windows."""
+    by_run, left = _radix_pass(stage(runs(docs, settings), "suffix-runs"), "gram", "suffix-run")
+    by_block, left = _radix_pass(stage(_blocks(docs, left, settings), "suffix-blocks"), "shared", "suffix-block")
+    windows = stage(_windows(docs, left, settings), "suffix-windows")
     twice = (
         windows.groupBy("window")
         .agg(F.count(F.lit(1)).alias("n"), F.bool_or("alone").alias("open"))
         .where("n > 1 and open")
         .select("window")
     )
-    single = windows.where("alone").join(twice, "window")
-    single = single.select("key", "start", (F.col("start") + settings.length).alias("end"))
-    return stage(whole.unionByName(single).distinct(), "suffix-repeats")
+    single = windows.where("alone").join(twice, "window").select("key", "start", F.lit(1).alias("windows"))
+    found = by_run.select("key", "start", "windows").unionByName(by_block).unionByName(single)
+    end = F.col("start") + F.col("windows") + settings.length - 1
+    return stage(found.select("key", "start", end.alias("end")).distinct(), "suffix-repeats")
 
 
 _RESULT = pa.schema(
