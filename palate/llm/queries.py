@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index, suffix_dedup
+from palate.llm import html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index, suffix_dedup, voronoi_knn
 from palate.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.components(table(spark, sf_dir, "documents"))
 
 
+def op4_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = repair.Settings(public_tokenizers.path("word_bpe_49k.json"))
     return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_language_masks,
         op3_near_dups,
+        op4_voronoi_knn,
         op5_repair_shards,
         op6_hypergeometric_mix,
         op7_suffix_dedup,
@@ -61,4 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op8_secret_index": secret_index.oracle_sql()}
+ORACLES: dict[str, str] = {
+    "op4_voronoi_knn": voronoi_knn.ORACLE_SQL,
+    "op8_secret_index": secret_index.oracle_sql(),
+}
