@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index, suffix_dedup, voronoi_knn
+from palate.llm import bestfit, html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index, suffix_dedup, voronoi_knn
 from palate.llm.common import table
 
 
+def op1_bestfit_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"))
+
+
 def op2_language_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_masks.held_out())
     model = language_masks.train(docs.where(~F.col("held_out")))
@@ -54,6 +58,7 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_bestfit_bins,
         op2_language_masks,
         op3_near_dups,
         op4_voronoi_knn,
