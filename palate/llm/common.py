@@ -39,6 +39,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
             conf.set(_CLEANUP, before)
 
 
+def plain_names(docs: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all other columns renamed, so that no name can clash, and what each column is called now."""
+    names = {c: c if c in needed else f"extra_{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[_quoted(c).alias(name) for c, name in names.items()]), names
+
+
+def own_names(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Undo :func:`plain_names`; columns that were added since are dropped."""
+    return docs.select(*[F.col(name).alias(c) for c, name in names.items()])
+
+
+def _quoted(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def map_batches(
     df: DataFrame,
     columns: Sequence[str],

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.llm.common import map_batches, unit_hash
+from palate.llm.common import map_batches, own_names, plain_names, unit_hash
 
 UNKNOWN = "und"
 _SMALL = 0x3000  # signs below it are looked up in a table
@@ -195,6 +195,14 @@ def predict(docs: DataFrame, model: Filter, carry: Sequence[str] = ("doc_id",))
     return map_batches(docs, columns, run, schema, rows=256)
 
 
+def keep_known(docs: DataFrame, model: Filter, least_coverage: float) -> DataFrame:
+    """Rows whose language is found and knows enough of the text; ``lang`` becomes that language."""
+    plain, names = plain_names(docs, ["text", "lang"])
+    found = predict(plain, model, carry=plain.columns)
+    known = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("coverage") >= least_coverage))
+    return own_names(known.withColumn("lang", F.col("lang_pred")), names)
+
+
 def _arrow_type(df: DataFrame, column: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.llm.common import WORD, stage
+from palate.llm.common import WORD, own_names, plain_names, stage
 
 _NONE = "cast(array() as array<bigint>)"
 _MIX = "__mix"  # everything that is added to documents sits in one struct of this name
@@ -280,7 +280,7 @@ def assign(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.col("__place").alias("place"),
         F.slice("__plan.shards", F.lit(1), copies).alias("shards"),
     )
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias(_MIX))
+    return joined.select(*docs.columns, mixed.alias(_MIX))
 
 
 def summary(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -297,9 +297,9 @@ def summary(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def draw(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The mixture: each row as often as it is taken, shard by shard, in random order within a shard."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    docs, names = plain_names(docs, ["doc_id", "text", "source"])
     found = assign(docs, settings).select(
-        *columns, F.col(f"{_MIX}.place").alias("__at"), F.posexplode(f"{_MIX}.shards").alias("__turn", "__shard")
+        *docs.columns, F.col(f"{_MIX}.place").alias("__at"), F.posexplode(f"{_MIX}.shards").alias("__turn", "__shard")
     )
     order = F.xxhash64("__at", "__turn", F.lit(settings.seed + 1))
-    return found.repartition("__shard").sortWithinPartitions("__shard", order).select(*columns)
+    return own_names(found.repartition("__shard").sortWithinPartitions("__shard", order), names)

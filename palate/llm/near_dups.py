@@ -1,6 +1,6 @@
 """Near-duplicate documents by bottom-k sketches, inverted lists and exact verification.
 
-A document is the set of its distinct two-word shingles, as 64-bit hashes. One hash function orders all shingles,
+A document is the set of its distinct word shingles, as 64-bit hashes. One hash function orders all shingles,
 and the ``k`` smallest of a set are its sketch. Documents with equal sets are one class from then on.
 
 * **Inverted lists.** A list holds the classes that retain one value. Of two sets that are similar enough, at least
@@ -41,7 +41,7 @@ from palate.llm.components import connected_components
 class Settings:
     """Sets are linked from ``percent`` similarity on; shingles have ``words`` words."""
 
-    words: int = 2
+    words: int = 5
     percent: int = 80
     k: int = 48
     least_shared: int = 20
@@ -398,6 +398,13 @@ def classes_of(found: DataFrame) -> DataFrame:
     )
 
 
+def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` whose document is the first of its group."""
+    groups = components(docs, settings)
+    kept = stage(groups.where("kept").select("doc_id").distinct(), "kept")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+
+
 def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     docs = docs.select("doc_id", "text")

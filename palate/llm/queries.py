@@ -23,7 +23,7 @@ def op2_language_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.components(table(spark, sf_dir, "documents"))
+    return near_dups.components(table(spark, sf_dir, "documents"), near_dups.Settings(words=2))
 
 
 def op4_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

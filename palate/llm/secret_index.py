@@ -28,7 +28,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palate.llm.common import stage
+from palate.llm.common import own_names, plain_names, stage
 
 
 @dataclass(frozen=True)
@@ -241,7 +241,7 @@ def find(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, broadcast_rows: i
         if frozenset() not in trigram_clauses(rule.pattern):
             spans = F.when(F.col("__rules").bitwiseAND(F.lit(1 << i)) != 0, spans).otherwise(none)
         parts.append(F.coalesce(spans, none))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.array_sort(F.concat(*parts)).alias("spans"))
+    return joined.select(*docs.columns, F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def _written(spans: Column) -> Column:
@@ -264,6 +264,7 @@ def scan(docs: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
 
 def mask(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, sign: str = "█") -> DataFrame:
     """``docs`` with every character of a span replaced by ``sign``; all columns are kept."""
+    docs, names = plain_names(docs, ["doc_id", "text"])
     found = find(docs, rules)
 
     def step(state: Column, span: Column) -> Column:
@@ -281,7 +282,7 @@ def mask(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, sign: str = "█"
         lambda state: F.concat(state["out"], F.substr(F.col("text"), state["at"] + 1, F.char_length("text"))),
     )
     text = F.when(F.size("spans") > 0, masked).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return own_names(found.withColumn("text", text), names)
 
 
 def oracle_sql() -> str:
