@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from palate.llm.common import map_batches, stage
 
 _MAGIC = b"RPG1"
-_HEADER = struct.Struct("<4s5QB")
+_HEADER = "<4s5QB"
 _SPLIT = "<|startoftext|>"
 _TAILS = frozenset(".,")
 
@@ -239,7 +239,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
 def pack(doc_ids: Sequence[int | None], sizes: np.ndarray, ids: np.ndarray, base: int, settings: Settings) -> bytes:
     rules, symbols = compress(ids, base, settings.rounds, settings.min_count)
     width = 2 if base + len(rules) <= 1 << 16 else 4
-    head = _HEADER.pack(_MAGIC, len(doc_ids), len(rules), len(symbols), len(ids), base, width)
+    head = struct.pack(_HEADER, _MAGIC, len(doc_ids), len(rules), len(symbols), len(ids), base, width)
     return b"".join(
         (
             head,
@@ -257,10 +257,10 @@ class Shard:
     """Random access to one shard file."""
 
     def __init__(self, data: bytes):
-        magic, n_docs, n_rules, n_symbols, self.n_ids, self.base, width = _HEADER.unpack_from(data)
+        magic, n_docs, n_rules, n_symbols, self.n_ids, self.base, width = struct.unpack_from(_HEADER, data)
         if magic != _MAGIC:
             raise ValueError("not a shard")
-        at = _HEADER.size
+        at = struct.calcsize(_HEADER)
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -337,7 +337,7 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
         if doc_ids:
             yield close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=128), "token-shards")
 
 
