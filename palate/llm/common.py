@@ -57,18 +57,23 @@ def _quoted(column: str) -> Column:
 def map_batches(
     df: DataFrame,
     columns: Sequence[str],
-    fn: Callable[[Iterator[dict[str, list]]], Iterator[dict]],
+    fn: Callable[[Iterator[dict]], Iterator[dict]],
     schema: pa.Schema,
     rows: int = 512,
+    arrow: bool = False,
 ) -> DataFrame:
-    """Run ``fn`` over an iterator of column dictionaries of at most ``rows`` rows each; it yields the same of ``schema``."""
+    """Run ``fn`` over an iterator of column dictionaries of at most ``rows`` rows each; it yields the same of ``schema``.
+
+    Columns come as lists, or with ``arrow`` as Arrow arrays.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[dict[str, list]]:
             for batch in batches:
                 for at in range(0, batch.num_rows, rows):
                     piece = batch.slice(at, rows)
-                    yield {name: piece.column(i).to_pylist() for i, name in enumerate(columns)}
+                    own = {name: piece.column(i) for i, name in enumerate(columns)}
+                    yield own if arrow else {name: column.to_pylist() for name, column in own.items()}
 
         for out in fn(parts()):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,20 +123,21 @@ class WordTokenizer:
         self._lengths[codes] = lengths
         self._ids = np.concatenate([self._ids, ids])
 
-    def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, and how many each text has."""
-        words: list[str] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if text:
-                own = _lowered(text).replace("\n", " ").split(" ")
-                sizes[i] = len(own)
-                words += own
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row, and how many each text has; null is empty."""
         if len(self._codes) > self._limit:
             self._reset()
-        codes = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
+        texts = pc.fill_null(texts, "")
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # may hold special tokens, which are in lower case
+            texts = pc.ascii_lower(texts)
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        numbered = words.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        codes = np.fromiter(map(self._codes.__getitem__, distinct), np.int64, len(distinct))
         if self._codes.new:
             self._learn()
+        codes = codes[numbered.indices.to_numpy()]
         lengths = self._lengths[codes]
         before = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(sizes))]
         return self._ids[_spans(self._starts[codes], lengths)], np.diff(before)
@@ -149,17 +151,6 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return at
 
 
-def _lowered(text: str) -> str:
-    """In lower case where the tokenizer would give the same ids, so that more words are alike."""
-    if "<|" in text:
-        return text
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
-
-
 class _Codes(dict):
     """Numbers words as they come; ``new`` lists those that nothing is known of yet."""
 
@@ -307,7 +298,7 @@ _SHARDS = pa.schema(
 def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
     """One row per shard file, in a table of the shared folder; ``range`` and ``shard`` number them in order."""
 
-    def run(parts: Iterator[dict[str, list]]) -> Iterator[dict]:
+    def run(parts: Iterator[dict[str, pa.Array]]) -> Iterator[dict]:
         tokenizer = WordTokenizer(settings.tokenizer, settings.cached_words)
         part_id = TaskContext.get().partitionId()
         doc_ids: list[int | None] = []
@@ -326,7 +317,7 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
             tokens, counts = tokenizer.encode(part["text"])
             ends = np.cumsum(counts)
             tokens = np.insert(tokens, ends, settings.end_id)
-            doc_ids += part["doc_id"]
+            doc_ids += part["doc_id"].to_pylist()
             sizes.append(counts + 1)
             ids.append(tokens)
             held += len(tokens)
@@ -338,7 +329,7 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
             yield close()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=128), "token-shards")
+    return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=512, arrow=True), "token-shards")
 
 
 _DOCUMENTS = pa.schema(

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from palate.llm import repair
@@ -27,7 +28,7 @@ def test_words_give_the_ids_of_whole_texts(tokenizer):
     ]
     words = repair.WordTokenizer(PATH, 5)
     for _ in range(3):
-        ids, counts = words.encode(texts)
+        ids, counts = words.encode(pa.array(texts))
         for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
             assert own.tolist() == ids_of(tokenizer, text), text
 
