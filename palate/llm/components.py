@@ -8,32 +8,37 @@ from pyspark.sql import functions as F
 from palate.llm.common import stage
 
 
+_ROWS_PER_TASK = 500_000
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``id, component`` of every id in ``links(a, b)``; the component is its smallest id.
 
     Large-star and small-star steps take turns until nothing changes: each hangs the neighbours of a node on the
     smallest of them, so links never multiply and the number of turns grows with the logarithm of the graph. The
-    smallest neighbour is summed before it is shuffled, and the join that brings it back may be split by key.
+    smallest neighbour is summed before it is shuffled, and the join that brings it back may be split by key. Tasks
+    are as many as the links need, which are far fewer than documents.
     """
     edges = stage(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
-        )
-        after = stage(small.where("u <> v").distinct(), "links")
-        if _digest(after) == _digest(edges):
+    before = _digest(edges)
+    tasks = 1 + 2 * before[0] // _ROWS_PER_TASK
+    while before[0]:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).coalesce(tasks)
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stage(large.coalesce(tasks), "links")
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(tasks)
+        edges = stage(small.where("u <> v").distinct().coalesce(tasks), "links")
+        after = _digest(edges)
+        if after == before:
             break
-        edges = after
-    return after.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        after.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+        before = after
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+        edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct().coalesce(tasks)
     )
 
 

@@ -11,7 +11,7 @@ and the ``k`` smallest of a set are its sketch. Documents with equal sets are on
   classes to components, whose members need no test among each other; a second round takes its pivot from the
   component that is most frequent in the list.
 * **The rest, exactly.** In lists that still hold several components, members outside the most frequent one are
-  sent to every block of members with which they share a list. A block is a bounded number of classes and queries.
+  sent to every block of members of similar size with which they share a list. Blocks have a bounded size.
 * **Tests.** Sizes, then the estimate from the sketch of the union, then the Jaccard similarity of the full sets,
   which are computed anew from the texts concerned. Links inside a component are not repeated.
 
@@ -46,7 +46,7 @@ class Settings:
     k: int = 48
     least_shared: int = 20
     rounds: int = 2
-    block: int = 128
+    block: int = 256
     queries: int = 1024
     broadcast_rows: int = 500_000
 
@@ -358,20 +358,28 @@ def _close_in_block(frame: pd.DataFrame, settings: Settings) -> pd.DataFrame:
 
 
 def _left_over(lists: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Jobs for all pairs of different components that still share one of ``lists(value, id, component)``."""
+    """Jobs for all pairs of different components that still share one of ``lists(value, id, n, component)``.
+
+    Blocks hold sets of one size class; similar sets are in the same or in neighbouring classes.
+    """
     per_component = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("members"))
     mixed = per_component.groupBy("value").agg(
         F.max(F.struct("members", "component")).alias("top"), F.count(F.lit(1)).alias("components")
     )
     mixed = mixed.where("components > 1").select("value", F.col("top.component").alias("main"))
-    lists = stage(lists.join(mixed, "value"), "mixed-lists")
-    members = stage(lists.select("id", "component").distinct(), "mixed-members")
-    blocks = _blocks(members, settings)
-    block = _block_of("id", blocks).alias("block")
+    size_class = F.floor(F.log("n") / math.log(100 / settings.percent)).cast("int")
+    lists = stage(lists.join(mixed, "value").withColumn("class", size_class), "mixed-lists")
+    members = stage(lists.select("id", "component", "class").distinct(), "mixed-members")
+    sizes = {row["class"]: row["count"] for row in members.groupBy("class").count().collect()}
+    if not sizes:
+        return lists.sparkSession.createDataFrame([], _JOB)
+    blocks = F.create_map(*[F.lit(x) for own, n in sizes.items() for x in (own, math.ceil(n / settings.block))])
+    block = (F.col("class").cast("long") * (1 << 32) + F.pmod(F.xxhash64("id"), blocks[F.col("class")])).alias("block")
+    near = F.explode(F.array(*[F.col("class") + i for i in (-1, 0, 1)])).alias("class")
     routes = (
         lists.where("component <> main")
-        .select("value", "id", "component")
-        .join(lists.select("value", block).distinct(), "value")
+        .select("value", "id", "component", near)
+        .join(lists.select("value", "class", block).distinct(), ["value", "class"])
         .select("block", "id", "component")
         .distinct()
         .withColumn("is_query", F.lit(True))
@@ -383,9 +391,8 @@ def _left_over(lists: DataFrame, classes: DataFrame, settings: Settings) -> Data
     own = F.array(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)))
     every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
     rows = rows.withColumn("part", F.explode(F.when(F.col("is_query"), own).otherwise(every)))
-    jobs = rows.groupBy("block", "part").applyInPandas(lambda f: _close_in_block(f, settings), _JOB)
-    queries = jobs.where("others is not null")
-    return queries.unionByName(jobs.where("others is null").distinct())
+    jobs = stage(rows.groupBy("block", "part").applyInPandas(lambda f: _close_in_block(f, settings), _JOB), "close")
+    return jobs.where("others is not null").unionByName(jobs.where("others is null").distinct())
 
 
 def classes_of(found: DataFrame) -> DataFrame:
@@ -420,7 +427,7 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         # A pivot has met all of its list.
         lists = lists.join(pivots, ["value", "id"], "left_anti")
         lists = stage(lists, "lists-left")
-    jobs = _left_over(_with_component(lists, joined).drop("n"), classes, settings)
+    jobs = _left_over(_with_component(lists, joined), classes, settings)
     links = links.unionByName(_verify(jobs, docs, classes, joined, settings))
     joined = stage(connected_components(links), "components")
     named = classes.select("n", "h1", "h2", "id").join(joined, "id", "left")
