@@ -151,6 +151,16 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return at
 
 
+def _shared_tokenizer(path: str, cached_words: int) -> WordTokenizer:
+    """The tokenizer of this worker process, which keeps the words it has met for the tasks that follow."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_word_tokenizers", {})
+    if (path, cached_words) not in held:
+        held[path, cached_words] = WordTokenizer(path, cached_words)
+    return held[path, cached_words]
+
+
 class _Codes(dict):
     """Numbers words as they come; ``new`` lists those that nothing is known of yet."""
 
@@ -299,7 +309,7 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
     """One row per shard file, in a table of the shared folder; ``range`` and ``shard`` number them in order."""
 
     def run(parts: Iterator[dict[str, pa.Array]]) -> Iterator[dict]:
-        tokenizer = WordTokenizer(settings.tokenizer, settings.cached_words)
+        tokenizer = _shared_tokenizer(settings.tokenizer, settings.cached_words)
         part_id = TaskContext.get().partitionId()
         doc_ids: list[int | None] = []
         sizes: list[np.ndarray] = []
