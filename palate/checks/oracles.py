@@ -119,7 +119,7 @@ def _psi(baseline: str, current: str) -> str:
 
 def _values(features: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{f}' AS key, round(CAST({f} AS DOUBLE) + 1e-9, 6) AS v FROM {features} WHERE {f} IS NOT NULL"
+        f"SELECT '{f}' AS key, CAST({f} AS DOUBLE) AS v FROM {features} WHERE {f} IS NOT NULL"
         for f in GENRE_FEATURES
     )
 
@@ -233,7 +233,7 @@ def _wide_features(genres) -> str:
 
 
 _DRIFT_LOG = (
-    "'{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18,6)) AS VARCHAR), ','"
+    "'{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18,3)) AS VARCHAR), ','"
     f" ORDER BY list_position([{_in(GENRE_FEATURES)[1:-1]}], key)) || '}}' AS feature_psi,"
     " CAST('NaN' AS DOUBLE) AS prediction_psi, bool_or(psi > 0.2) AS drift_detected"
 )
@@ -254,6 +254,15 @@ def _count_rows(tables) -> str:
     )
 
 
+#: What one leaf predicts per genre: the mean over the users of the training rows, 0 where one has no label.
+_MEANS = """
+    SELECT g.genre, coalesce(sum(label), 0.0)
+             / (SELECT count(DISTINCT userId) FROM training_rows WHERE split_flag = 'train') AS p
+    FROM (SELECT unnest([{genres}]) AS genre) g
+    LEFT JOIN (SELECT * FROM training_rows WHERE split_flag = 'train') t ON t.genre = g.genre GROUP BY 1""".format(
+    genres=_in(GENRES)[1:-1]
+)
+
 _QUERIES = {
     "ingest_csv": f"SELECT {_RATING_COLUMNS} FROM ratings",
     "ingest_all": _count_rows({t: t for t in _BRONZE}),
@@ -289,6 +298,10 @@ _QUERIES = {
     WHERE userId NOT IN (SELECT userId FROM ({_profile("sampled")}))""",
     "built_user_genre": f"""
     SELECT userId, genre, {_ROUNDED_GENRE}, feature_timestamp FROM ({_user_genre("training_sample", "tag_sample")})""",
+    "built_profiles": f"""
+    SELECT userId, {_ROUNDED_PROFILE}, profile_timestamp FROM ({_profile("training")})""",
+    "built_user_genre_full": f"""
+    SELECT userId, genre, {_ROUNDED_GENRE}, feature_timestamp FROM ({_user_genre("training")})""",
     "built_boundaries": """
     SELECT quantile_disc(ts, 0.6) AS train_boundary_ts, quantile_disc(ts, 0.8) AS holdout_boundary_ts FROM training""",
     "training_labels": "SELECT userId, genre, round(label + 1e-9, 6) AS label, split_flag FROM labels",
@@ -328,6 +341,24 @@ _QUERIES = {
     "champion_check": """
     SELECT round(a + 1e-9, 6) AS challenger_rmse, round(b + 1e-9, 6) AS champion_rmse, a <= b AS passed
     FROM (SELECT sqrt(avg((y - p) * (y - p))) AS a, sqrt(avg((y - champion) * (y - champion))) AS b FROM cells)""",
+    "champion_check_gaps": f"""
+    SELECT round(sqrt(avg((y - p) * (y - p))) + 1e-9, 6) AS challenger_rmse,
+           CASE WHEN count(*) FILTER (genre = '{GENRES[0]}') > 0 THEN CAST('NaN' AS DOUBLE)
+                ELSE round(sqrt(avg((y - champion) * (y - champion))) + 1e-9, 6) END AS champion_rmse,
+           count(*) FILTER (genre = '{GENRES[0]}') = 0
+             AND sqrt(avg((y - p) * (y - p))) <= sqrt(avg((y - champion) * (y - champion))) AS passed
+    FROM cells""",
+    "mean_model_metrics": f"""
+    SELECT genre, round(sqrt((sum((y - p) * (y - p)) + (n - count(y)) * p * p) / n) + 1e-9, 6) AS rmse FROM (
+      SELECT m.genre, p, label AS y, (SELECT count(DISTINCT userId) FROM training_rows WHERE split_flag = 'val') AS n
+      FROM ({_MEANS}) m LEFT JOIN (SELECT * FROM training_rows WHERE split_flag = 'val') v ON v.genre = m.genre)
+    GROUP BY genre, p, n""",
+    "mean_model_scores": "SELECT userId, " + ", ".join(
+        f"round((SELECT p FROM ({_MEANS}) WHERE genre = '{g}') + 1e-9, 6) AS {g}" for g in sorted(GENRES)
+    ) + f" FROM (SELECT DISTINCT userId FROM user_genre WHERE genre IN {_in(GENRES)})",
+    "table_problems": """
+    SELECT 'bronze.links' AS table_name, 'missing columns title' AS problem
+    UNION ALL SELECT 'bronze.nothing', 'empty'""",
     "smoke_test": "SELECT count(*) AS predictions, count(p) AS usable, count(p) > 0 AS passed FROM cells",
     "activity_slices": _slices(LOW, HIGH),
     "activity_slices_default": _slices(50, 200),
@@ -338,7 +369,7 @@ _QUERIES = {
     "promotion_gate": """
     SELECT count(*) FILTER (status = 'PASSED') AS variants_passed, count(*) FILTER (status = 'PASSED') = 2 AS promoted
     FROM status""",
-    "psi_by_feature": "SELECT key AS feature, round(psi + 1e-9, 6) AS psi, psi > 0.2 AS drifted FROM drift",
+    "psi_by_feature": "SELECT key AS feature, round(psi + 1e-9, 3) AS psi, psi > 0.2 AS drifted FROM drift",
     "drift_log": f"SELECT {_DRIFT_LOG} FROM drift",
     "drift_check": f"""
     SELECT 'checks' AS catalog, {_DRIFT_LOG} FROM drift

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from palate import settings
 from palate.operators import features, labels, silver
+from palate.sources.scratch import stage
 
 # The words that make up part names, used as genres, the excluded ones, and the event types.
 ADJECTIVES = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
@@ -102,9 +103,14 @@ class Testbed:
             (key * 2 + 1).alias("tmdbId"),
         )
 
+    @property
+    def clean_once(self) -> DataFrame:
+        """For queries that read the clean ratings a single time."""
+        return silver.clean_ratings(self.ratings)
+
     @cached_property
     def clean(self) -> DataFrame:
-        return silver.clean_ratings(self.ratings)
+        return stage(self.clean_once, "clean")
 
     @cached_property
     def exploded(self) -> DataFrame:
@@ -130,8 +136,8 @@ class Testbed:
     def boundaries(self) -> DataFrame:
         return labels.split_boundaries(self.clean)
 
-    def boundary(self, name: str):
-        return self.boundaries.select(name).scalar()
+    def boundary(self, name: str) -> int:
+        return self.boundaries.first()[name]
 
     @cached_property
     def labels(self) -> DataFrame:

@@ -12,61 +12,26 @@ from pyspark.sql import functions as F
 
 from palate.functions.expressions import epoch
 from palate.functions.local import COUNT, NUMBER, TEXT, local_frame
-from palate.settings import SECONDS_PER_DAY
 
 
 def time_quantiles(events: DataFrame, probabilities: Sequence[float], column: str = "timestamp") -> DataFrame:
     """Smallest time at or below which at least ``p`` of the rows lie, for each ``p``.
 
-    Two counting passes. Rows per day locate the day that holds each quantile, rows per second of those
-    days locate the second. The running sums see one row per calendar day and at most 86,400 rows per
-    quantile, however many events there are; both counts combine on the map side.
+    One pass for the count and the ends, then :func:`order_statistics` narrows an interval of seconds per
+    probability. No task sees more than the slots of one interval, whatever the unit or spread of the times.
 
     Returns ``(position, epoch, row_count, min_epoch, max_epoch)``, one row per probability, none if
     there are no events.
     """
     seconds = events.select(epoch(column).alias("epoch")).where(F.col("epoch").isNotNull())
-    day = F.floor(F.col("epoch") / F.lit(SECONDS_PER_DAY)).alias("day")
-
-    everything = Window.partitionBy()
-    days = (
-        seconds.groupBy(day)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("epoch").alias("first"), F.max("epoch").alias("last"))
-        .select(
-            "day",
-            "n",
-            F.sum("n").over(Window.orderBy("day")).alias("through"),
-            F.sum("n").over(everything).alias("row_count"),
-            F.min("first").over(everything).alias("min_epoch"),
-            F.max("last").over(everything).alias("max_epoch"),
-        )
-    )
-    wanted_days = (
-        days.select("*", F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("position", "p"))
-        .withColumn("rank", F.greatest(F.ceil(F.col("p") * F.col("row_count")), F.lit(1)))
-        .where(F.col("rank").between(F.col("through") - F.col("n") + 1, F.col("through")))
-        .select(
-            "day",
-            "position",
-            (F.col("rank") - F.col("through") + F.col("n")).alias("rank_in_day"),
-            "row_count",
-            "min_epoch",
-            "max_epoch",
-        )
-    )
-
-    # One row per probability, so the broadcast side is bounded by the argument list, and only the wanted
-    # days are counted by second.
-    by_second = (
-        seconds.select("epoch", day)
-        .join(F.broadcast(wanted_days), "day")
-        .groupBy("position", "epoch", "rank_in_day", "row_count", "min_epoch", "max_epoch")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("through", F.sum("n").over(Window.partitionBy("position").orderBy("epoch")))
-    )
-    return by_second.where(F.col("rank_in_day").between(F.col("through") - F.col("n") + 1, F.col("through"))).select(
-        "position", "epoch", "row_count", "min_epoch", "max_epoch"
-    )
+    n, lo, hi = seconds.agg(F.count(F.lit(1)), F.min("epoch"), F.max("epoch")).first()
+    ranks = [max(math.ceil(p * n), 1) for p in probabilities]
+    # Seconds are far below 2**53, so doubles hold them exactly.
+    counts = seconds.select(F.lit("all").alias("key"), F.col("epoch").cast("double").alias("value"), F.lit(1).alias("n"))
+    found = order_statistics(counts, {"all": ranks}, {"all": (float(lo), float(hi))})["all"] if n else {}
+    rows = [(i, int(found[rank]), n, lo, hi) for i, rank in enumerate(ranks)] if n else []
+    columns = dict.fromkeys(("position", "epoch", "row_count", "min_epoch", "max_epoch"), COUNT)
+    return local_frame(events.sparkSession, columns, rows)
 
 
 _CELL = {"key": TEXT, "lo": NUMBER, "hi": NUMBER, "pending": pa.list_(pa.struct({"rank": COUNT, "left": COUNT}))}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,6 +38,8 @@ def psi(
     0. Values outside the baseline's range are left out. Keys with ``min_rows`` values or fewer on either
     side are left out of the result.
 
+    A key with infinite values, or a range that a double cannot hold, has no bins: its index is null.
+
     Both sides shrink to counts per distinct value in one shuffle, which splits by value and so has no
     hot key; quantiles and histogram work on those counts. What comes back, or is broadcast, is bounded by the
     number of keys times the number of bins.
@@ -55,7 +58,7 @@ def psi(
             .where((F.col("base") > min_rows) & (F.col("now") > min_rows))
             .collect()
         )
-        ranges = {row.key: ValueRange(row.base, row.lo, row.hi) for row in sizes}
+        ranges = {row.key: ValueRange(row.base, row.lo, row.hi) for row in sizes if math.isfinite(row.hi - row.lo)}
         quantiles = interpolated_quantiles(
             counts.where(F.col("base") > 0).select("key", "value", F.col("base").alias("n")),
             ranges,
@@ -63,7 +66,10 @@ def psi(
         )
         edges = {key: sorted(set(points)) for key, points in quantiles.items()}
         binned = _histogram(counts, {key: e for key, e in edges.items() if len(e) > 2}, bins)
-    return _index(baseline.sparkSession, list(ranges), binned)
+    endless = [row.key for row in sizes if row.key not in ranges]
+    index = _index(baseline.sparkSession, list(ranges), binned)
+    nothing = local_frame(baseline.sparkSession, {"key": TEXT}, [(key,) for key in endless])
+    return index.unionByName(nothing.withColumn("psi", F.lit(None).cast("double")))
 
 
 def _histogram(counts: DataFrame, edges: dict[str, list[float]], bins: int) -> list[tuple]:
@@ -111,10 +117,10 @@ def drift_report(
     bins: int = PSI_BINS,
     limit: float = PSI_LIMIT,
 ) -> DataFrame:
-    """PSI and verdict per feature that has more than ``bins`` values on both sides."""
+    """PSI and verdict per feature that has more than ``bins`` values on both sides; no index counts as drift."""
     index = psi(feature_values(baseline, features), feature_values(current, features), features, bins, min_rows=bins)
     return index.select(
-        F.col("key").alias("feature"), F.round("psi", 6).alias("psi"), (F.col("psi") > limit).alias("drifted")
+        F.col("key").alias("feature"), F.round("psi", 6).alias("psi"), F.coalesce(F.col("psi") > limit, F.lit(True)).alias("drifted")
     )
 
 

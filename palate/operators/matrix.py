@@ -15,7 +15,8 @@ def pivot_labels(cells: DataFrame, genres: Iterable[str], value: str = "label")
 
     Users whose cells are all in other genres keep an all-zero row.
     """
-    return cells.groupBy("userId").pivot("genre", sorted(genres)).agg(F.avg(value)).na.fill(0.0)
+    by_user = cells.select("userId", "genre", value).repartition("userId")
+    return by_user.groupBy("userId").pivot("genre", sorted(genres)).agg(F.avg(value)).na.fill(0.0)
 
 
 def feature_columns(genres: Iterable[str]) -> list[str]:
@@ -29,11 +30,13 @@ def pivot_features(cells: DataFrame, genres: Iterable[str]) -> DataFrame:
 
     The columns depend on ``genres`` alone: a genre nobody has is a column of zeros, a genre that is not
     listed gets none, so training and scoring always agree. Profile values repeat on all cells of a user
-    and therefore join the grouping key.
+    and therefore join the grouping key. Cells are dealt by user once, before the two aggregates of a pivot, so the
+    wide rows are not shuffled.
     """
     ordered = sorted(genres)
+    by_user = cells.select("userId", "genre", *PROFILE_FEATURES, *GENRE_FEATURES).repartition("userId")
     wide = (
-        cells.groupBy("userId", *PROFILE_FEATURES)
+        by_user.groupBy("userId", *PROFILE_FEATURES)
         .pivot("genre", ordered)
         .agg(*[F.avg(feature).alias(feature) for feature in GENRE_FEATURES])
     )

@@ -15,6 +15,11 @@ def squared_error(prediction: str = "p") -> Column:
     return F.sum(F.pow(F.col("y") - F.coalesce(F.col(prediction), F.lit(_NAN)), F.lit(2.0)))
 
 
+def at_most(value: Column, limit: Column) -> Column:
+    """``value <= limit`` where NaN on either side fails; null where there is no limit."""
+    return F.when(limit.isNotNull(), ~F.isnan(value) & ~F.isnan(limit) & (value <= limit))
+
+
 def label_spread() -> Column:
     """Sum of squared distances of the labels from their mean."""
     return F.var_pop("y") * F.count("y")
@@ -48,13 +53,14 @@ def metrics_overall(cells: DataFrame) -> DataFrame:
 def compare_champion(cells: DataFrame) -> DataFrame:
     """One row: RMSE of ``p`` and of ``champion`` on the same cells; only a strictly worse ``p`` fails.
 
-    Without any champion prediction the comparison is skipped: its RMSE and the verdict are null.
+    Without any champion prediction the comparison is skipped: its RMSE and the verdict are null. A missing
+    prediction of either side makes its RMSE NaN, and the challenger fails.
     """
     count, challenger = F.count(F.lit(1)), F.col("challenger_rmse")
     champion = F.when(F.count("champion") > 0, F.sqrt(squared_error("champion") / count))
     return cells.agg(
         F.sqrt(squared_error() / count).alias("challenger_rmse"), champion.alias("champion_rmse")
-    ).withColumn("passed", challenger <= F.col("champion_rmse"))
+    ).withColumn("passed", at_most(challenger, F.col("champion_rmse")))
 
 
 def with_activity(
@@ -70,12 +76,16 @@ def with_activity(
 def activity_slices(
     cells: DataFrame, ratings: DataFrame, low: int = LOW_ACTIVITY, high: int = HIGH_ACTIVITY
 ) -> DataFrame:
-    """R² (mean over genres) of each activity slice that has users, and whether it is acceptable."""
+    """R² (mean over genres) of each activity slice that has users, and whether it is acceptable.
+
+    A slice whose R² is undefined for lack of users passes; one with a missing prediction fails.
+    """
     return (
         _per_genre(with_activity(cells, ratings, low, high), "slice")
         .groupBy("slice")
-        .agg(F.max("n").alias("users"), F.avg("r2").alias("r2"))
-        .withColumn("passed", ~(F.col("r2") < SLICE_R2_LIMIT))
+        .agg(F.max("n").alias("users"), F.avg("r2").alias("r2"), F.sum("sse").alias("sse"))
+        .withColumn("passed", ~(F.col("r2") < SLICE_R2_LIMIT) & ~F.isnan("sse"))
+        .drop("sse")
     )
 
 

@@ -73,12 +73,18 @@ def aggregate_genome(scores: DataFrame, tags: DataFrame, exploded: DataFrame) ->
     )
 
 
-def holdout_boundary(ratings: DataFrame, quantile: float = HOLDOUT_QUANTILE) -> Column:
-    """The time quantile as a scalar subquery, ready for a filter."""
-    return time_quantiles(ratings, [quantile]).select("epoch").scalar()
+def holdout_boundary(ratings: DataFrame, quantile: float = HOLDOUT_QUANTILE) -> int | None:
+    """The time quantile in seconds, none if there are no ratings.
+
+    A number, not a subquery: only a literal reaches the scan and lets it skip row groups.
+    """
+    row = time_quantiles(ratings, [quantile]).first()
+    return row.epoch if row else None
 
 
 def split_holdout(ratings: DataFrame, quantile: float = HOLDOUT_QUANTILE) -> tuple[DataFrame, DataFrame]:
     """Ratings up to the time quantile, and those after it. Both are empty if there are none."""
     boundary = holdout_boundary(ratings, quantile)
+    if boundary is None:
+        return ratings.where(F.lit(False)), ratings.where(F.lit(False))
     return ratings.where(at_or_before(boundary)), ratings.where(after(boundary))

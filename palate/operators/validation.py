@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palate.operators.metrics import label_spread, r_squared, squared_error
+from palate.operators.metrics import at_most, label_spread, r_squared, squared_error
 from palate.settings import GENRE_RMSE_LIMIT, R2_LIMIT, RMSE_LIMIT, SLICE_R2_LIMIT
 
 
@@ -50,6 +50,7 @@ def validation_report(cells: DataFrame) -> DataFrame:
         overall(F.col("worst_genre")).alias("worst_genre"),
         overall(F.when(F.col("champion_cells") > 0, F.sqrt(F.col("champion_sse") / F.col("n")))).alias("champion"),
         F.min(F.when(F.col("whole") == 0, F.col("r2"))).alias("worst_slice"),
+        F.bool_or((F.col("whole") == 0) & F.isnan("sse")).alias("broken_slice"),
     )
 
     def check(name: str, value: str, limit: Column, passed: Column) -> Column:
@@ -60,14 +61,19 @@ def validation_report(cells: DataFrame) -> DataFrame:
             passed.alias("passed"),
         )
 
-    # Comparisons are written so that an undefined R² passes and an undefined RMSE fails.
+    # An R² that is undefined for lack of rows passes; a missing prediction makes errors NaN and fails.
     checks = [
         check("smoke_test", "usable", F.lit(1.0), F.col("usable") >= 1),
         check("rmse", "rmse", F.lit(RMSE_LIMIT), F.col("rmse") < RMSE_LIMIT),
-        check("r2", "r2", F.lit(R2_LIMIT), ~(F.col("r2") <= R2_LIMIT)),
-        check("champion", "rmse", F.col("champion"), F.col("rmse") <= F.col("champion")),
+        check("r2", "r2", F.lit(R2_LIMIT), ~(F.col("r2") <= R2_LIMIT) & ~F.isnan("rmse")),
+        check("champion", "rmse", F.col("champion"), at_most(F.col("rmse"), F.col("champion"))),
         check("genre_rmse", "worst_genre", F.lit(GENRE_RMSE_LIMIT), F.col("worst_genre") <= GENRE_RMSE_LIMIT),
-        check("slice_r2", "worst_slice", F.lit(SLICE_R2_LIMIT), ~(F.col("worst_slice") < SLICE_R2_LIMIT)),
+        check(
+            "slice_r2",
+            "worst_slice",
+            F.lit(SLICE_R2_LIMIT),
+            ~(F.col("worst_slice") < SLICE_R2_LIMIT) & ~F.col("broken_slice"),
+        ),
     ]
     return per_variant.select("variant", F.inline(F.array(*checks)))
 

@@ -56,4 +56,9 @@ def build_features(store: TableStore, fraction: float = 1.0) -> None:
     """Refresh both feature tables and the time boundaries of the training splits."""
     build_user_genre_features(store, fraction)
     build_user_profile_features(store, fraction)
+    build_boundaries(store)
+
+
+def build_boundaries(store: TableStore) -> None:
+    """Store the time boundaries of the training splits."""
     store.overwrite(settings.SPLIT_METADATA, split_boundaries(store.read(settings.RATINGS_CLEAN)))

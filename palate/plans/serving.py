@@ -13,7 +13,7 @@ from palate.operators.model import MultiOutputModel, batch_score
 from palate.plans.bootstrap import build_user_genre_features, build_user_profile_features
 from palate.settings import Variant
 from palate.sources.tables import TableStore
-from palate.streaming.replay import NO_HOLDOUT_DATA, advance
+from palate.streaming.replay import NO_HOLDOUT_DATA, advance, moved_through
 
 
 def score_variant(store: TableStore, variant: Variant, model: MultiOutputModel) -> int:
@@ -45,9 +45,22 @@ def drift_check(store: TableStore, catalog: str) -> DataFrame:
 
 
 def simulate_day(store: TableStore, days: int = settings.REPLAY_DAYS, fraction: float = 1.0) -> int | str:
-    """Let the next window of held-out ratings arrive and refresh the features."""
-    moved = advance(store, days)
+    """Let the next window of held-out ratings arrive and refresh the features; returns the window's end.
+
+    How far features reach is stored after they are built. Where they lag behind, an earlier call broke off
+    between its two steps; this call then finishes that one instead of moving a further window.
+    """
+    moved = moved_through(store)
+    if moved is None or moved == _features_through(store):
+        moved = advance(store, days)
     if moved != NO_HOLDOUT_DATA:
         build_user_genre_features(store, fraction)
         build_user_profile_features(store, fraction)
+        reached = store.spark.createDataFrame([(moved,)], "features_through BIGINT")
+        store.overwrite(settings.FEATURES_PROGRESS, reached)
     return moved
+
+
+def _features_through(store: TableStore) -> int | None:
+    row = store.read(settings.FEATURES_PROGRESS).first() if store.exists(settings.FEATURES_PROGRESS) else None
+    return None if row is None else row.features_through

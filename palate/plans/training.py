@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from palate import settings
 from palate.operators.labels import (
     holdout_cells,
+    holdout_metadata,
     train_val_only,
     training_labels,
     training_set,
@@ -47,7 +48,7 @@ def fit_and_evaluate(
 def train_variant(
     store: TableStore, variant: Variant, params: BoostingParams
 ) -> tuple[MultiOutputModel, DataFrame, DataFrame]:
-    """Model of a variant, with its metrics per genre and overall on the validation split."""
+    """Model of a variant, with its metrics per genre and overall on the validation split, which are stored too."""
     labels = training_labels(
         store.read(settings.RATINGS_CLEAN), store.read(variant.exploded_table), *read_split_boundaries(store)
     )
@@ -57,7 +58,12 @@ def train_variant(
         store.read(settings.USER_GENRE_FEATURES),
         store.read(settings.USER_PROFILE_FEATURES),
     )
-    return fit_and_evaluate(cells, variant.genres, params)
+    model, per_genre, overall = fit_and_evaluate(cells, variant.genres, params)
+    errors = per_genre.select("genre", "rmse", F.lit(None).cast("double").alias("r2")).unionByName(
+        overall.select(F.lit(None).cast("string").alias("genre"), F.col("rmse_overall").alias("rmse"), F.col("r2_overall").alias("r2"))
+    )
+    store.overwrite(f"{settings.TRAINING_METRICS}_{variant.name}", errors)
+    return model, per_genre, overall
 
 
 def evaluation_cells(
@@ -70,7 +76,9 @@ def evaluation_cells(
         labels, store.read(settings.USER_GENRE_FEATURES), store.read(settings.USER_PROFILE_FEATURES)
     )
     rows = stage(cells, "test-cells")
-    matrix, truth = pivot_features(rows, variant.genres), pivot_labels(rows, variant.genres)
+    # One matrix for both models; each adds its scores in a pass over what is written.
+    matrix = stage(pivot_features(rows, variant.genres), "test-matrix")
+    truth = pivot_labels(rows, variant.genres)
     predictions = {"p": challenger.predict(matrix)}
     if champion is not None:
         predictions["champion"] = champion.predict(matrix)
@@ -84,9 +92,27 @@ def validate(
     store: TableStore,
     candidates: Mapping[Variant, tuple[MultiOutputModel, MultiOutputModel | None]],
 ) -> DataFrame:
-    """Report on every variant's challenger against its champion, stored and returned."""
+    """Report on every variant's challenger against its champion, stored and returned.
+
+    Stored beside it: each genre's error, and what was held out.
+    """
     cells = [evaluation_cells(store, variant, *models) for variant, models in candidates.items()]
-    return store.overwrite(settings.VALIDATION_REPORT, validation_report(reduce(DataFrame.unionByName, cells)))
+    with staged(reduce(DataFrame.unionByName, cells), "evaluation-cells") as rows:
+        per_genre = [
+            metrics_per_genre(rows.where(F.col("variant") == v.name)).withColumn("variant", F.lit(v.name))
+            for v in candidates
+        ]
+        store.overwrite(settings.GENRE_METRICS, reduce(DataFrame.unionByName, per_genre))
+        ratings, profiles = store.read(settings.RATINGS_CLEAN), store.read(settings.USER_PROFILE_FEATURES)
+        boundary = read_split_boundaries(store)[1]
+        held_out = [
+            holdout_metadata(ratings, store.read(v.exploded_table), profiles, boundary).withColumn(
+                "variant", F.lit(v.name)
+            )
+            for v in candidates
+        ]
+        store.overwrite(settings.HOLDOUT_METADATA, reduce(DataFrame.unionByName, held_out))
+        return store.overwrite(settings.VALIDATION_REPORT, validation_report(rows))
 
 
 def require_promotion(report: DataFrame, variants: tuple[str, ...] = ("general", "nokids")) -> None:

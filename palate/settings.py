@@ -39,6 +39,7 @@ BRONZE_FILES = {
 RATINGS_CLEAN = "silver.ratings_clean"
 RATINGS_HOLDOUT = "silver.ratings_holdout"
 HOLDOUT_PROGRESS = "silver.holdout_progress"
+FEATURES_PROGRESS = "gold.features_progress"
 MOVIES_EXPLODED = "silver.movies_genre_exploded"
 MOVIES_EXPLODED_NOKIDS = "silver.movies_genre_exploded_nokids"
 GENOME_AGG = "silver.genome_genre_agg"
@@ -46,6 +47,9 @@ USER_GENRE_FEATURES = "gold.user_genre_features"
 USER_PROFILE_FEATURES = "gold.user_profile_features"
 SPLIT_METADATA = "ml.split_metadata"
 VALIDATION_REPORT = "ml.validation_report"
+HOLDOUT_METADATA = "ml.holdout_metadata"
+GENRE_METRICS = "ml.genre_metrics"
+TRAINING_METRICS = "ml.training_metrics"
 SCORES_DAILY = "inference.genre_propensity_scores_daily"
 SCORES_DAILY_NOKIDS = "inference.genre_propensity_scores_daily_nokids"
 FEATURE_BASELINE = "inference.feature_baseline"
@@ -112,7 +116,7 @@ NOKIDS = Variant(
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """Boosted-tree settings; ``leaves`` bounds tree size and becomes a depth for Spark ML."""
+    """Boosted-tree settings; ``leaves`` bounds tree size and becomes a depth for Spark ML, 0 for one leaf."""
 
     trees: int
     learning_rate: float
@@ -122,7 +126,7 @@ class BoostingParams:
 
     @property
     def depth(self) -> int:
-        return max(1, math.ceil(math.log2(self.leaves)))
+        return math.ceil(math.log2(self.leaves))
 
 
 BOOSTING_DEV = BoostingParams(trees=200, learning_rate=0.1, leaves=31)

@@ -12,12 +12,16 @@ from palate.sources.tables import TableStore
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV with a header that must name the columns of ``schema`` in order; quotes double inside quotes."""
+    """A CSV with a header that must name the columns of ``schema`` in order; quotes double inside quotes.
+
+    A value that does not fit its column stops the job: as a null it would be lost without a trace.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
+        .option("mode", "FAILFAST")
         .csv(path)
     )
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+_TIMES = "spark.sql.parquet.outputTimestampType"
 
 
 def locate(spark: SparkSession, path: str):
@@ -21,6 +25,23 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", by: Sequence[str] = ()) -> None:
+    """Write a folder whose time columns carry statistics, whatever the session's default is.
+
+    The default 96-bit times have none, so a filter on time could not skip a single row group.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_TIMES, None)
+    conf.set(_TIMES, "TIMESTAMP_MICROS")
+    try:
+        df.write.mode(mode).partitionBy(*by).parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_TIMES)
+        else:
+            conf.set(_TIMES, before)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, at = locate(spark, path)
     fs.delete(at, True)

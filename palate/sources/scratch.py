@@ -4,23 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palate.sources.files import delete
+from palate.sources.files import delete, write_parquet
 
 _local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a single machine."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir`` or set on the context; a temporary one only on a single machine."""
+    context = spark.sparkContext
+    on_cluster = not context.master.startswith("local")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
+        if on_cluster and configured.startswith("file:"):
+            warnings.warn(f"{configured} must be one folder that all executors share", stacklevel=2)
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if on_cluster:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="palate-")
@@ -67,5 +71,5 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
 
 
 def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    write_parquet(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.sources.files import child_names, delete, exists
+from palate.sources.files import child_names, delete, exists, write_parquet
+from palate.sources.scratch import staged
 
 _SLICE = "slice"
 
@@ -46,35 +47,45 @@ class TableStore:
         return df.drop(_SLICE) if _SLICE in df.columns else df
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a new version and make it the current one."""
-        versions = self._versions(name)
-        df.write.parquet(self._version_path(name, versions[-1] + 1 if versions else 1))
+        """Write a new version and make it the current one; the one before stays for those who still read it."""
+        write_parquet(df, self._next_path(name))
+        self.expire(name, keep=2)
         return self.read(name)
 
+    def _next_path(self, name: str) -> str:
+        versions = self._versions(name)
+        return self._version_path(name, versions[-1] + 1 if versions else 1)
+
     def append(self, name: str, df: DataFrame) -> DataFrame:
         path = self._current(name)
         if path is None:
             return self.overwrite(name, df)
-        df.write.mode("append").parquet(path)
+        write_parquet(df, path, "append")
         return self.read(name)
 
     def overwrite_sliced(self, name: str, df: DataFrame) -> DataFrame:
         """Like :meth:`overwrite`, for a table that later grows by :meth:`write_slice`."""
-        versions = self._versions(name)
-        path = self._version_path(name, versions[-1] + 1 if versions else 1)
-        df.withColumn(_SLICE, F.lit(0).cast("long")).write.partitionBy(_SLICE).parquet(path)
+        write_parquet(df.withColumn(_SLICE, F.lit(0).cast("long")), self._next_path(name), by=[_SLICE])
+        self.expire(name, keep=2)
         return self.read(name)
 
     def write_slice(self, name: str, df: DataFrame, slice_id: int) -> DataFrame:
         """Add rows under an id; writing the same id again replaces them, so a retry adds nothing twice."""
-        df.write.mode("overwrite").parquet(f"{self._current(name)}/{_SLICE}={slice_id}")
+        path = self._current(name)
+        if path is None or not any(child.startswith(f"{_SLICE}=") for child in child_names(self.spark, path)):
+            raise LookupError(f"{name} is not a table that grows by slices: write it with overwrite_sliced first")
+        write_parquet(df, f"{path}/{_SLICE}={slice_id}", "overwrite")
         return self.read(name)
 
     def upsert(self, name: str, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Create the table, or replace rows with equal keys, insert new ones and keep the rest."""
+        """Create the table, or replace rows with equal keys, insert new ones and keep the rest.
+
+        A merge reads the updates twice, so they are computed once and written down first.
+        """
         if not self.exists(name):
             return self.overwrite(name, updates)
-        return self.overwrite(name, merge_rows(self.read(name), updates, keys))
+        with staged(updates, "updates") as rows:
+            return self.overwrite(name, merge_rows(self.read(name), rows, keys))
 
     def count(self, name: str) -> int:
         return self.read(name).count()
