@@ -376,12 +376,18 @@ def _left_over(lists: DataFrame, classes: DataFrame, settings: Settings) -> Data
     blocks = F.create_map(*[F.lit(x) for own, n in sizes.items() for x in (own, math.ceil(n / settings.block))])
     block = (F.col("class").cast("long") * (1 << 32) + F.pmod(F.xxhash64("id"), blocks[F.col("class")])).alias("block")
     near = F.explode(F.array(*[F.col("class") + i for i in (-1, 0, 1)])).alias("class")
+    # Lists of one group mostly lead to the same blocks, so a list hands them on as arrays of bounded length, and a
+    # query meets each block once.
+    chunk = F.floor(F.pmod(F.col("block"), F.lit(1 << 32)) / 1024).alias("chunk")
+    places = lists.select("value", "class", block).groupBy("value", "class", chunk)
+    places = places.agg(F.collect_set("block").alias("blocks"))
     routes = (
         lists.where("component <> main")
         .select("value", "id", "component", near)
-        .join(lists.select("value", "class", block).distinct(), ["value", "class"])
-        .select("block", "id", "component")
-        .distinct()
+        .join(places, ["value", "class"])
+        .groupBy("id", "component", "class", "chunk")
+        .agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
+        .select(F.explode("blocks").alias("block"), "id", "component")
         .withColumn("is_query", F.lit(True))
     )
     rows = routes.unionByName(members.select(block, "id", "component", F.lit(False).alias("is_query")))
