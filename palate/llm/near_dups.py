@@ -450,3 +450,30 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
         )
     )
+
+
+#: The same for two-word shingles, by comparing all documents that share one.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS s FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+numbered AS MATERIALIZED (SELECT doc_id, hash(s) AS s FROM shingles),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM numbered a JOIN numbered b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY 1) c ON c.a = d.doc_id"""

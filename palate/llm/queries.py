@@ -72,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_near_dups": near_dups.ORACLE_SQL,
     "op4_voronoi_knn": voronoi_knn.ORACLE_SQL,
+    "op7_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op8_secret_index": secret_index.oracle_sql(),
 }

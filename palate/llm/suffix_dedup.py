@@ -343,3 +343,36 @@ def digest(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             yield dict(zip(_RESULT.names, zip(*rows, strict=True), strict=True))
 
     return map_batches(found, ["doc_id", "text", "spans"], run, _RESULT, rows=256)
+
+
+#: The same for windows of 200 bytes. Texts are cut into pieces first, as taking a part of a long text costs its length.
+ORACLE_SQL = """
+WITH bytes AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+pieces AS (
+  SELECT doc_id, n, p, substr(h, 2 * p + 1, 2 * 327) AS h FROM (
+    SELECT doc_id, n, h, unnest(range(0, n - 199, 128)) AS p FROM bytes WHERE n >= 200)
+),
+windows AS (
+  SELECT doc_id, p + i AS i, md5_number(substr(h, 2 * i + 1, 400)) AS k FROM (
+    SELECT doc_id, p, h, unnest(range(0, least(128, n - 199 - p))) AS i FROM pieces)
+),
+twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+hits AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM windows SEMI JOIN twice USING (k)
+),
+runs AS (
+  SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits
+),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY ALL),
+gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM spans
+),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS front,
+    max(b) AS last, sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)"""
