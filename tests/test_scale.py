@@ -77,6 +77,7 @@ CHEAP = sorted(
     set(QUERIES)
     - {"fit_multi_output", "batch_score", "ingest_csv", "ingest_all", "ingest_missing", "links_text_keys"}
     - {"replay_store", "upsert_features", "built_user_genre", "built_boundaries", "drift_check"}
+    - {"built_user_genre_full", "built_profiles", "mean_model_metrics", "mean_model_scores", "table_problems"}
 )
 
 
