@@ -5,10 +5,10 @@ above three times its source's words stops there, and the rest is shared again b
 
 Documents are dealt by hash into blocks. A source takes every block as often as its target holds its words, and
 then blocks in a permuted order until the target is met; in the block where that happens, documents in hash order
-while they fit, and a few more that fill the gap. That gives each source an exact quota of block draws. A tree over the output shards halves
-the range of shards again and again; at each node the left half gets its size in draws, split over the sources by a
-multivariate hypergeometric draw from the node's quotas. Each shard then owns a disjoint run of every source's
-permuted draws, and its rows are shuffled among themselves.
+while they fit, and a few more that fill the gap. That gives each source an exact quota of block draws. A tree over
+the output shards halves the range of shards again and again; at each node the left half gets its size in draws,
+split over the sources by a multivariate hypergeometric draw from the node's quotas. Each shard then owns a disjoint
+run of every source's permuted draws, and its rows are shuffled among themselves.
 
 Everything is DataFrame and SQL functions. Only hashes and sizes of documents are shuffled, already summed by
 block; a hot source is spread over its blocks. The tree holds sources times shards, whatever the documents. The

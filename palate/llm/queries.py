@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import bestfit, html_blocks, language_masks, mixing, near_dups, quality_rules, repair, secret_index, suffix_dedup, voronoi_knn
+from palate.llm import (
+    bestfit,
+    html_blocks,
+    language_masks,
+    mixing,
+    near_dups,
+    quality_rules,
+    repair,
+    secret_index,
+    suffix_dedup,
+    voronoi_knn,
+)
 from palate.llm.common import table
 
 
@@ -31,6 +41,8 @@ def op4_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     settings = repair.Settings(public_tokenizers.path("word_bpe_49k.json"))
     return repair.read_documents(repair.write_shards(table(spark, sf_dir, "documents"), settings))
 

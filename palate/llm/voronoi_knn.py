@@ -12,8 +12,8 @@ Only pivots and block summaries reach the driver. Pivots are bounded by ``pivots
 the data as any exact join in high dimension needs, so bounds are computed in the cluster, block by block.
 
 Defined results: vectors that are null or hold a null or a number that is not finite take no part; vectors of
-different length are not compared; an empty vector scores 0; a repeated ``vec_id`` is answered per id, and never
-finds itself; components are clipped at +-2**26 so that scores fit; other columns are not read.
+different length are not compared; an empty vector scores 0; equal rows count once; rows of one ``vec_id`` never find
+each other; components are clipped at +-2**26 so that scores fit; other columns are not read.
 """
 
 from __future__ import annotations
@@ -141,7 +141,8 @@ def _needed(queries: DataFrame, data: DataFrame, pivots: dict[int, np.ndarray],
     # The k + 1 best guaranteed vectors may include the query itself.
     best_first = Window.partitionBy("size", "q_cell", "q_part").orderBy(F.desc("low"), "d_cell", "d_part")
     counted = pairs.withColumn("upto", F.sum("d_n").over(best_first.rowsBetween(Window.unboundedPreceding, 0)))
-    floor = F.max(F.when(F.col("upto") >= settings.k + 1, F.col("low"))).over(Window.partitionBy("size", "q_cell", "q_part"))
+    all_pairs = Window.partitionBy("size", "q_cell", "q_part")
+    floor = F.max(F.when(F.col("upto") >= settings.k + 1, F.col("low"))).over(all_pairs)
     return (
         counted.withColumn("floor", floor)
         .where(F.col("floor").isNull() | (F.col("high") >= F.col("floor")))
@@ -210,7 +211,7 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
     """``query_id, rank, vec_id, score``: the best ``k`` of all other vectors for each query."""
     numbers = whole_numbers(vectors, settings)
     pivots = _pivots(numbers, settings)
-    cells = stage(_cells(numbers, pivots), "knn-cells")
+    cells = stage(_cells(numbers, pivots).dropDuplicates(["vec_id", "vector"]), "knn-cells")
     data = stage(_cut(cells, settings.block, "d"), "knn-data")
     queries = stage(_cut(cells.where(is_query), settings.query_block, "q"), "knn-queries")
     wanted = _needed(queries, data, _known(pivots, cells), settings)
@@ -218,7 +219,7 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
         data.drop("d_radius", "d_n"), ["size", "d_cell", "d_part"]
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = _solve(pairs, settings).distinct().withColumn("rank", F.row_number().over(order))
+    found = _solve(pairs, settings).withColumn("rank", F.row_number().over(order))
     return found.where(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score")
 
 

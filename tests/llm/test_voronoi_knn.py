@@ -39,6 +39,12 @@ def test_same_as_brute_force(spark, settings):
     assert sorted(map(tuple, found.collect())) == brute_force(rows, settings)
 
 
+def test_equal_rows_count_once(spark):
+    rows = [(i, [i / 8, 1.0], 1, "") for i in range(12)] + [(11, [11 / 8, 1.0], 1, "again")] * 9
+    found = search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 3 == 0, Settings(k=4, every=3))
+    assert sorted(map(tuple, found.collect())) == brute_force(rows, Settings(k=4, every=3))
+
+
 def test_bounds_leave_out_far_cells(spark):
     from palate.llm import voronoi_knn as v
 
