@@ -21,7 +21,7 @@ from palate.operators.metrics import metrics_overall, metrics_per_genre, with_ac
 from palate.operators.model import MultiOutputModel, fit_multi_output
 from palate.operators.validation import promotion_gate, validation_report
 from palate.settings import BoostingParams, Variant
-from palate.sources.scratch import stage, staged
+from palate.sources.scratch import stage, staged, temporary_stages
 from palate.sources.tables import TableStore
 
 
@@ -58,12 +58,14 @@ def train_variant(
         store.read(settings.USER_GENRE_FEATURES),
         store.read(settings.USER_PROFILE_FEATURES),
     )
-    model, per_genre, overall = fit_and_evaluate(cells, variant.genres, params)
-    errors = per_genre.select("genre", "rmse", F.lit(None).cast("double").alias("r2")).unionByName(
-        overall.select(F.lit(None).cast("string").alias("genre"), F.col("rmse_overall").alias("rmse"), F.col("r2_overall").alias("r2"))
-    )
-    store.overwrite(f"{settings.TRAINING_METRICS}_{variant.name}", errors)
-    return model, per_genre, overall
+    nothing = F.lit(None)
+    with temporary_stages(store.spark):
+        model, per_genre, overall = fit_and_evaluate(cells, variant.genres, params)
+        whole = overall.select(nothing.cast("string").alias("genre"), "rmse_overall", "r2_overall").toDF("genre", "rmse", "r2")
+        errors = per_genre.select("genre", "rmse", nothing.cast("double").alias("r2")).unionByName(whole)
+        stored = store.overwrite(f"{settings.TRAINING_METRICS}_{variant.name}", errors)
+    whole = stored.where("genre IS NULL").select("rmse", "r2").toDF("rmse_overall", "r2_overall")
+    return model, stored.where("genre IS NOT NULL").select("genre", "rmse"), whole
 
 
 def evaluation_cells(
@@ -96,8 +98,9 @@ def validate(
 
     Stored beside it: each genre's error, and what was held out.
     """
-    cells = [evaluation_cells(store, variant, *models) for variant, models in candidates.items()]
-    with staged(reduce(DataFrame.unionByName, cells), "evaluation-cells") as rows:
+    with temporary_stages(store.spark):
+        cells = [evaluation_cells(store, variant, *models) for variant, models in candidates.items()]
+        rows = stage(reduce(DataFrame.unionByName, cells), "evaluation-cells")
         per_genre = [
             metrics_per_genre(rows.where(F.col("variant") == v.name)).withColumn("variant", F.lit(v.name))
             for v in candidates

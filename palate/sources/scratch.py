@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from palate.sources.files import delete, write_parquet
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,7 +58,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Unlike a cached frame it survives the loss of executors, keeps column pruning and filter pushdown,
     and gives the optimizer real sizes.
     """
-    return _write(df, new_dir(df.sparkSession, label))
+    path = new_dir(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append(path)
+    return _write(df, path)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end; results must have been stored elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
 
 
 @contextmanager

@@ -11,6 +11,8 @@ from palate.operators.model import MultiOutputModel
 from palate.plans import bootstrap, serving, training
 from palate.settings import BoostingParams, Variant
 from palate.sources.tables import TableStore
+from palate.sources import scratch
+from palate.sources.files import child_names
 from palate.streaming import replay
 from tests.conftest import rows_of
 
@@ -97,6 +99,13 @@ def test_validation_promotion_and_scoring(built, models):
     assert found["nokids", "champion"].passed is None
     assert found["general", "rmse"].passed is True
     failed = report.withColumn("passed", F.lit(False))
+    # Metrics are kept as tables, and nothing that was staged for them is left.
+    assert {r.variant for r in store.read(settings.HOLDOUT_METADATA).collect()} == {"general", "nokids"}
+    assert store.read(settings.GENRE_METRICS).count() == len(GENRES) + len(GENRES[:2])
+    assert store.read(f"{settings.TRAINING_METRICS}_general").count() == len(GENRES) + 1
+    left = child_names(store.spark, scratch._application_dir(store.spark))
+    assert not [n for n in left if n.startswith(("test-", "validation-cells", "evaluation-cells", "updates"))]
+
     with pytest.raises(RuntimeError, match="nothing is promoted"):
         training.require_promotion(failed)
     training.require_promotion(report.withColumn("passed", F.lit(True)))
