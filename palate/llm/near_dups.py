@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from palate.llm.common import map_batches, stage
 from palate.llm.components import connected_components
+from palate.sources.scratch import staged
 
 
 @dataclass(frozen=True)
@@ -421,8 +422,10 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     docs = docs.select("doc_id", "text")
-    found = stage(signatures(docs, settings), "signatures")
-    classes = stage(classes_of(found), "set-classes")
+    with staged(signatures(docs, settings), "signatures") as signed:
+        # Sketches are kept once per class, not once per document.
+        classes = stage(classes_of(signed), "set-classes")
+        found = stage(signed.drop("sketch"), "digests")
     lists = stage(inverted_lists(classes, settings), "lists")
     links, joined = None, None
     for turn in range(settings.rounds):
@@ -440,8 +443,7 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     named = named.select("n", "h1", "h2", F.coalesce("component", "id").alias("component"))
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (
-        found.drop("sketch")
-        .join(named, ["n", "h1", "h2"], "left")
+        found.join(named, ["n", "h1", "h2"], "left")
         .withColumn("component", F.when(F.col("doc_id").isNotNull(), component))
         .select(
             "doc_id",
