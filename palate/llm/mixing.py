@@ -230,7 +230,9 @@ def plan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     runs = split_quotas(quotas, int(shards), settings)
     # Draw i of a source is the i-th of its blocks in permuted order, counted pass by pass; blocks that the last
     # pass takes are the first of the order, but for empty ones, so positions are numbered anew among the takers.
-    passes = draws.select("source", "block", "position", F.posexplode(F.expr("sequence(1L, draws)")).alias("p", "_"))
+    # Blocks without draws go first: sequence(1, 0) counts down and has two entries.
+    drawn = draws.where("draws > 0")
+    passes = drawn.select("source", "block", "position", F.posexplode(F.expr("sequence(1L, draws)")).alias("p", "_"))
     passes = passes.select("source", "block", F.col("p").cast("long").alias("turn"), "position")
     numbered = passes.withColumn(
         "draw", F.row_number().over(Window.partitionBy("source").orderBy("turn", "position")).cast("long") - 1

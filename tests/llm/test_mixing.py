@@ -97,3 +97,17 @@ def test_edges(docs_of):
     for r in same:
         by_id[r.doc_id].add(r.taken)
     assert len(same) == 3 and len(by_id[1]) == 1
+
+
+def test_blocks_without_words_use_up_no_draws(docs_of):
+    rows = [(i, None, "en", "a") for i in range(600)] + [(1000 + i, "w " * 10, "en", "a") for i in range(40)]
+    rows += [(2000 + i, "x " * 10, "en", "b") for i in range(40)]
+    docs = docs_of(*rows)
+    settings = Settings(block_docs=4)
+    for row in mixing.plan(docs, settings).collect():
+        once_more = row.cut is not None or bool(row.extra)
+        assert len(row.shards) == row.full + once_more
+    found = summary(docs, settings).collect()
+    for low, source in ((0, "a"), (2000, "b")):
+        own = [r for r in found if low <= r.doc_id < low + 2000]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10, source
