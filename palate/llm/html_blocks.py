@@ -2,7 +2,8 @@
 
 A page is cut at block-level tags into a flat list of text blocks. Each block is described by its word count,
 its link density, the same two numbers of the blocks before and after it, and whether an element around it
-names itself content or page furniture. A decision tree, grown here by Gini impurity on the small labelled table
+names itself content or page furniture. The tags article and main win over names, and over elements around them that
+are furniture by name alone; nav, aside, footer, comments and what is hidden stay furniture. A decision tree, grown here by Gini impurity on the small labelled table
 ``LABELLED``, keeps or drops the block. No page depends on another, so there is no shuffle.
 
 Defined results: null or empty html, or a page without content, gives an empty text. Unclosed comments, scripts
@@ -44,6 +45,16 @@ _CONTAINER = frozenset(
 )
 _CONTENT_TAGS = frozenset({"article", "main"})
 _FURNITURE_TAGS = frozenset({"nav", "aside", "footer", "form", "menu", "dialog", "header"})
+#: What an element of these names holds is never content, whatever is inside.
+_STRICT_NAMES = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs aside footer comment comments disqus reply replies respond "
+    "related recommended".split()
+)
+#: A name with one of these parts tells the state of a layout or the topic of a post, not what the element is.
+_STATE_NAMES = frozenset(
+    "no not without with has have is open closed enabled disabled allowed supports tag category cat topic format "
+    "status author".split()
+)
 _CONTENT_NAMES = frozenset("article content main post story entry text".split())
 _FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement banner promo sponsor sponsored nav navbar navigation menu breadcrumb "
@@ -53,7 +64,8 @@ _FURNITURE_NAMES = frozenset(
 )
 
 #: (hint, words, link density, words before, link density before, words after, link density after, is content).
-#: The hint is 1 inside an element that names itself content, -1 inside one that names itself furniture, else 0.
+#: The hint is 1 inside an element that names itself content, -1 inside one that is furniture by its tag or a strict
+#: name, -0.5 inside one that is furniture by other names alone, else 0.
 LABELLED = (
     (1, 12, 0.0, 9, 0.0, 60, 0.0, 1), (1, 60, 0.0, 12, 0.0, 45, 0.0, 1), (1, 45, 0.02, 60, 0.0, 3, 0.0, 1),
     (1, 3, 0.0, 45, 0.0, 80, 0.0, 1), (1, 80, 0.1, 3, 0.0, 14, 0.0, 1), (1, 1, 0.0, 80, 0.1, 1, 0.0, 1),
@@ -73,6 +85,11 @@ LABELLED = (
     (0, 4, 0.0, 3, 1.0, 2, 1.0, 0), (0, 10, 0.9, 4, 0.0, 8, 0.8, 0), (0, 25, 0.8, 10, 0.9, 12, 0.7, 0),
     (0, 7, 0.5, 60, 0.0, 3, 1.0, 0), (0, 6, 0.0, 2, 1.0, 3, 1.0, 0), (0, 8, 0.0, 6, 0.0, 4, 1.0, 0),
     (0, 3, 0.0, 5, 0.0, 4, 0.0, 0), (0, 5, 0.0, 3, 0.0, 0, 0.0, 0), (0, 11, 0.2, 4, 1.0, 0, 0.0, 0),
+    (-0.5, 9, 0.0, 45, 0.0, 60, 0.0, 0), (-0.5, 14, 0.0, 2, 0.0, 2, 0.0, 0), (-0.5, 22, 0.0, 70, 0.0, 50, 0.0, 0),
+    (-0.5, 38, 0.0, 12, 0.0, 25, 0.0, 0), (-0.5, 1, 1.0, 1, 1.0, 1, 1.0, 0), (-0.5, 12, 0.1, 80, 0.0, 0, 0.0, 0),
+    (-0.5, 90, 0.7, 3, 1.0, 30, 0.9, 0), (-0.5, 60, 0.5, 5, 0.0, 4, 1.0, 0), (-0.5, 5, 0.0, 5, 0.0, 5, 0.0, 0),
+    (-0.5, 62, 0.0, 8, 0.0, 65, 0.0, 1), (-0.5, 80, 0.05, 62, 0.0, 5, 0.0, 1), (-0.5, 120, 0.1, 3, 1.0, 3, 1.0, 1),
+    (-0.5, 150, 0.0, 30, 0.0, 90, 0.0, 1), (-0.5, 70, 0.2, 0, 0.0, 0, 0.0, 1), (-0.5, 95, 0.0, 80, 0.0, 70, 0.0, 1),
     (0, 2, 0.0, 4, 0.0, 5, 0.0, 0), (0, 12, 0.6, 8, 0.4, 9, 1.0, 0), (0, 40, 0.7, 4, 1.0, 30, 0.9, 0),
 )
 
@@ -120,25 +137,33 @@ def train(labelled: tuple = LABELLED) -> Tree:
     return grow(data[:, :-1], data[:, -1])
 
 
-def _own_hint(tag: str, attributes: str) -> int:
+def _own_hint(tag: str, attributes: str) -> tuple[float, bool]:
+    """The hint of an element, and whether content names inside it count although it is furniture by name."""
     if _HIDDEN.search(attributes):
-        return -1
-    names = {
-        part
+        return -1, False
+    names = [
+        set(_NAME_PART.findall(name))
         for found in _HINT_ATTRIBUTE.findall(attributes)
-        for part in _NAME_PART.findall("".join(found).lower())
-    }
-    if tag in _FURNITURE_TAGS or names & _FURNITURE_NAMES:
-        return -1
-    return 1 if tag in _CONTENT_TAGS or names & _CONTENT_NAMES else 0
-
-
-def blocks(page: str) -> list[tuple[str, int, int, int]]:
+        for name in "".join(found).lower().split()
+    ]
+    if tag in _CONTENT_TAGS:
+        return (-1, False) if any(len(n) == 1 and n <= _STRICT_NAMES for n in names) else (1, False)
+    names = [n for n in names if len(n) == 1 or not n & _STATE_NAMES]
+    if tag in _FURNITURE_TAGS or any(n & _STRICT_NAMES for n in names):
+        return -1, False
+    furniture = [n for n in names if n & _FURNITURE_NAMES]
+    if furniture:
+        return -0.5, not any(n <= _FURNITURE_NAMES for n in furniture)
+    return (1 if any(n & _CONTENT_NAMES for n in names) else 0), False
+
+
+def blocks(page: str) -> list[tuple[str, int, int, float]]:
     """``(text, words, linked words, hint)`` of each text block, in page order."""
-    found: list[tuple[str, int, int, int]] = []
+    found: list[tuple[str, int, int, float]] = []
     pieces: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, hint of what is inside, whether only a form made it furniture
+    # Tag, hint of what is inside, whether content names inside count although it is furniture (by a form or names).
+    stack: list[tuple[str, float, bool]] = []
     in_link = False
     at = 0
 
@@ -188,16 +213,18 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
                         del stack[depth:]
                         break
             else:
-                outer, by_form = (stack[-1][1], stack[-1][2]) if stack else (0, False)
-                own = _own_hint(tag, match.group(3))
+                outer, open_to_names = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+                own, mixed = _own_hint(tag, match.group(3))
                 if tag == "header" and outer == 1:
                     own = 0  # the heading of the article itself
-                if own < 0:
-                    stack.append((tag, -1, tag == "form" and outer == 0))
-                elif own > 0 and (outer >= 0 or by_form):
+                if own < 0 and (outer > -1 or (own > -1 and open_to_names)):
+                    stack.append((tag, own, mixed or (tag == "form" and outer == 0)))
+                elif own > 0 and (outer >= 0 or open_to_names or (outer > -1 and tag in _CONTENT_TAGS)):
                     stack.append((tag, 1, False))
+                elif own < 0:
+                    stack.append((tag, -1, False))
                 else:
-                    stack.append((tag, outer, by_form))
+                    stack.append((tag, outer, open_to_names))
     close_block()
     return found
 

@@ -69,3 +69,34 @@ def test_rows_are_kept(spark):
     found = sorted((tuple(r) for r in extract(pages).collect()), key=str)
     assert found == sorted([(1, "u", "", 0), (1, "u", "", 0), (None, None, "y", 1)], key=str)
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="layout-with-sidebar"><article>{}</article></div>', '<div class="no-sidebar"><div class="post">{}</div></div>',
+        '<div class="content-sidebar-wrap"><div class="entry">{}</div></div>', '<main class="has-sidebar">{}</main>',
+        '<article class="post tag-search category-social comments-open">{}</article>',
+        '<form><div class="sidebar"><main>{}</main></div></form>', '<div id="search"><article>{}</article></div>',
+    ],
+)
+def test_content_wins_over_names_of_wrappers(page):
+    assert main_text(page.format("<h1>A title</h1><p>Short.</p>"), TREE) == "A title\n\nShort."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="comment-list"><article>{}</article></div>', "<aside><article>{}</article></aside>",
+        '<footer><div class="content">{}</div></footer>', '<article class="comment">{}</article>',
+        '<article><div class="ad"><div class="text">{}</div></div></article>', '<div hidden><main>{}</main></div>',
+    ],
+)
+def test_strict_furniture_stays_furniture(page):
+    assert main_text(page.format("<p>Not for the text.</p>"), TREE) == ""
+
+
+def test_words_and_links_decide_in_furniture_by_name():
+    long = "Plain words follow each other in this paragraph, " * 12
+    page = f'<div class="banner"><p>{long}</p><p>Buy this now, it is cheap.</p><p><a href=1>{long}</a></p></div>'
+    assert main_text(page, TREE) == long.strip()
