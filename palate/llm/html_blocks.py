@@ -7,7 +7,8 @@ are furniture by name alone; nav, aside, footer, comments and what is hidden sta
 ``LABELLED``, keeps or drops the block. No page depends on another, so there is no shuffle.
 
 Defined results: null or empty html, or a page without content, gives an empty text. Unclosed comments, scripts
-and tags end with the page. Repeated page ids are separate rows. Other columns of the table are not read.
+and tags end with the page; an unclosed button, select, svg or the like hides nothing. The content of math and object
+is text like any other. Repeated page ids are separate rows. Other columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -23,13 +24,19 @@ from pyspark.sql import DataFrame
 
 from palate.llm.common import map_batches
 
-_RAW = "script|style|noscript|template|textarea|select|title|svg|iframe|object|math|canvas|button"
+#: Raw text up to the closing tag.
+_RAW = "script|style|textarea|title|iframe"
+#: Their text is not of the page; it is skipped without cutting the block around.
+_SILENT = frozenset("annotation button canvas noscript select svg template".split())
 _ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{_RAW})(?=[\s/>]){_ATTRIBUTES}>|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})>|<[!?][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(?:{_RAW})(?=[\s/>])(?P<raw>{_ATTRIBUTES})>|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})>|<[!?][^>]*>",
     re.S | re.I,
 )
 _RAW_NAME = re.compile(rf"<({_RAW})(?=[\s/>])", re.I)
+#: A start tag closes itself, unless the slash belongs to an unquoted value.
+_SELF_CLOSED = re.compile(r"(?<!=)/\s*\Z")
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]+/\Z""")
 _HINT_ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s/=>]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _NAME_PART = re.compile(r"[a-z]+")
@@ -157,18 +164,39 @@ def _own_hint(tag: str, attributes: str) -> tuple[float, bool]:
     return (1 if any(n & _CONTENT_NAMES for n in names) else 0), False
 
 
+def _closes_itself(attributes: str) -> bool:
+    return bool(_SELF_CLOSED.search(attributes)) and not _UNQUOTED_END.search(attributes)
+
+
+def _has_end(page: str, tag: str, at: int) -> bool | None:
+    """Whether an element whose start tag ends at ``at`` is closed, as those of its kind inside; None: no end follows."""
+    depth, ended = 1, None
+    for found in re.compile(rf"<(/?){tag}(?=[\s/>])({_ATTRIBUTES})>", re.I).finditer(page, at):
+        if found.group(1):
+            depth, ended = depth - 1, False
+        elif tag != "svg" and tag != "template":
+            return False  # cannot hold one of its kind
+        elif not _closes_itself(found.group(2)):
+            depth += 1
+        if depth == 0:
+            return True
+    return ended
+
+
 def blocks(page: str) -> list[tuple[str, int, int, float]]:
     """``(text, words, linked words, hint)`` of each text block, in page order."""
     found: list[tuple[str, int, int, float]] = []
     pieces: list[str] = []
     linked: list[str] = []
-    # Tag, hint of what is inside, whether content names inside count although it is furniture (by a form or names).
-    stack: list[tuple[str, float, bool]] = []
+    # Tag, hint of what is inside, whether content names inside count although it is furniture (by a form or names),
+    # whether its text is skipped.
+    stack: list[tuple[str, float, bool, bool]] = []
+    endless: set[str] = set()  # silent tags that no closing tag follows
     in_link = False
     at = 0
 
     def text_until(end: int) -> None:
-        if end > at:
+        if end > at and not (stack and stack[-1][3]):
             pieces.append(page[at:end])
             if in_link:
                 linked.append(page[at:end])
@@ -182,6 +210,14 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
                 found.append((" ".join(words), len(words), min(links, len(words)), stack[-1][1] if stack else 0))
         pieces, linked = [], []
 
+    def close_element(tag: str) -> None:
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth][0] == tag:
+                if stack[-1][3] and not stack[depth][3]:
+                    close_block()  # a block ends where a silent element was left open in it
+                del stack[depth:]
+                break
+
     length = len(page)
     while at < length:
         match = _MARKUP.search(page, at)
@@ -190,41 +226,52 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
             break
         text_until(match.start())
         at = match.end()
-        tag = match.group(2)
+        tag = match.group(3)
         if tag is None:
             raw = _RAW_NAME.match(match.group())
-            if raw:
+            if raw and not _closes_itself(match.group("raw")):
                 end = re.compile(rf"</{raw.group(1)}\s*>", re.I).search(page, at)
                 at = end.end() if end else length
             continue
-        tag, closing = tag.lower(), bool(match.group(1))
+        tag, closing = tag.lower(), bool(match.group(2))
         if tag == "a":
             in_link = not closing
         elif tag == "br":
             pieces.append(" ")
+        elif tag in _SILENT:
+            if closing:
+                close_element(tag)
+            elif tag not in endless and not _closes_itself(match.group(4)):
+                ended = _has_end(page, tag, at)
+                if ended:
+                    hint, open_to_names = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+                    stack.append((tag, hint, open_to_names, True))
+                elif ended is None:
+                    endless.add(tag)
         elif tag in _BLOCK:
-            close_block()
-            in_link = False
+            silent = bool(stack) and stack[-1][3]
+            if not silent:
+                close_block()
+                in_link = False
             if tag not in _CONTAINER:
                 continue
             if closing:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == tag:
-                        del stack[depth:]
-                        break
+                close_element(tag)
+            elif silent:
+                stack.append((tag, *stack[-1][1:]))
             else:
                 outer, open_to_names = (stack[-1][1], stack[-1][2]) if stack else (0, False)
-                own, mixed = _own_hint(tag, match.group(3))
+                own, mixed = _own_hint(tag, match.group(4))
                 if tag == "header" and outer == 1:
                     own = 0  # the heading of the article itself
                 if own < 0 and (outer > -1 or (own > -1 and open_to_names)):
-                    stack.append((tag, own, mixed or (tag == "form" and outer == 0)))
+                    stack.append((tag, own, mixed or (tag == "form" and outer == 0), False))
                 elif own > 0 and (outer >= 0 or open_to_names or (outer > -1 and tag in _CONTENT_TAGS)):
-                    stack.append((tag, 1, False))
+                    stack.append((tag, 1, False, False))
                 elif own < 0:
-                    stack.append((tag, -1, False))
+                    stack.append((tag, -1, False, False))
                 else:
-                    stack.append((tag, outer, open_to_names))
+                    stack.append((tag, outer, open_to_names, False))
     close_block()
     return found
 

@@ -100,3 +100,20 @@ def test_words_and_links_decide_in_furniture_by_name():
     long = "Plain words follow each other in this paragraph, " * 12
     page = f'<div class="banner"><p>{long}</p><p>Buy this now, it is cheap.</p><p><a href=1>{long}</a></p></div>'
     assert main_text(page, TREE) == long.strip()
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<h1><svg class="icon" /> Head</h1><p>Body</p>', "Head\n\nBody"), ("<p>a <math/> b</p><p>c</p>", "a b\n\nc"),
+        ("<p>a<svg><title>t</title><svg/><text>x</text></svg> b</p>", "a b"), ("<iframe src='x' /><p>a</p>", "a"),
+        ("<p>a <button>b</p><p>c</p>", "a b\n\nc"), ("<p>a <select><option>b</p><p>c</p>", "a\n\nb\n\nc"),
+        ("<p>a <object>b</p><p>c</p>", "a b\n\nc"), ("<noscript><p>c</p>", "c"), ("<svg><p>c</p>", "c"),
+        ("<p>a <button>b<p>c</p><button>d</button></p>", "a b\n\nc"), ("<p>x <math><mi>y</mi></math> <object>z</object></p>", "x y z"),
+        ("<p>a <button><div>b</div></button> <select><option>c</select> d</p>", "a d"),
+        ("<p>a</p><div>b <svg></div><p>c</p></svg><p>d</p>", "a\n\nb\n\nc\n\nd"), ("<noscript><p>n</p></noscript><p>c</p>", "c"),
+        ("<p>a</p><textarea>b</textarea><script src=a/>b</script><p>c</p>", "a\n\nc"),
+    ],
+)
+def test_only_what_is_closed_is_skipped(page, text):
+    assert main_text(f"<article>{page}</article>", TREE) == text
