@@ -52,13 +52,23 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", r"[0-9a-f]{16,}", least=16),
 )
+# A private key goes from BEGIN to END, with no other BEGIN or END between; at most 99 runs of fewer dashes may stand
+# there (headers have some). Without END it goes to the last line of base64, which starts with a run of 16 signs or more
+# after the headers. Only signs are repeated without bound, not groups, which would use up the stack.
+_KEY_BEGIN = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_KEY_TO_END = r"[^-]*(?:-{1,4}[^-][^-]*){0,99}-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_KEY_WITHOUT_END = (
+    r"(?:\r?\n[A-Za-z][A-Za-z-]*:[^\n]*){0,16}(?:\\[rn]|[\x20\t\r\n]){0,16}[A-Za-z0-9+/]{16,}={0,2}"
+    r"(?:(?:\\[rn]|[\r\n])[A-Za-z0-9+/=\r\n\\]*(?:[A-Za-z0-9+/=](?:\r|(?m:$))|[A-Za-z0-9+/=]{16}))?"
+)
+
 #: Fixed: further public token formats.
 MORE = (
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", _KEY_BEGIN + f"(?:{_KEY_TO_END}|{_KEY_WITHOUT_END})?"),
 )
 
 _MOST_STRINGS = 64
