@@ -13,6 +13,7 @@ from palate.llm import (
     language_masks,
     mixing,
     near_dups,
+    periodic_runs,
     quality_rules,
     repair,
     secret_index,
@@ -67,6 +68,11 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.digest(periodic_runs.find(docs, edit=periodic_runs.planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_index,
         op9_quality_rules,
         op10_html_blocks,
+        op12_lyndon_runs,
     )
 }
 
