@@ -13,6 +13,7 @@ from palate.llm import (
     language_masks,
     mixing,
     near_dups,
+    pairwise_quality,
     periodic_runs,
     quality_rules,
     repair,
@@ -68,6 +69,10 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairwise_quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return periodic_runs.digest(periodic_runs.find(docs, edit=periodic_runs.planted))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_index,
         op9_quality_rules,
         op10_html_blocks,
+        op11_pairwise_quality,
         op12_lyndon_runs,
     )
 }
