@@ -19,6 +19,7 @@ from palate.llm import (
     repair,
     secret_index,
     suffix_dedup,
+    va_clustering,
     voronoi_knn,
 )
 from palate.llm.common import table
@@ -78,6 +79,10 @@ def op12_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.find(docs, edit=periodic_runs.planted))
 
 
+def op13_va_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_html_blocks,
         op11_pairwise_quality,
         op12_lyndon_runs,
+        op13_va_centroids,
     )
 }
 
@@ -101,4 +107,5 @@ ORACLES: dict[str, str] = {
     "op4_voronoi_knn": voronoi_knn.ORACLE_SQL,
     "op7_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op8_secret_index": secret_index.oracle_sql(),
+    "op13_va_centroids": va_clustering.oracle_sql(),
 }
