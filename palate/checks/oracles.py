@@ -5,8 +5,9 @@ Rounded values carry the same 1e-9 as in :func:`palate.checks.queries.tidy`.
 
 from __future__ import annotations
 
-from palate.checks.queries import HIGH, LOW
+from palate.checks.queries import HIGH, LOW, SESSION_GAP
 from palate.checks.testbed import EXCLUDED, GENRES, KEPT
+from palate.operators.matrix import feature_columns
 from palate.settings import GENRE_FEATURES, PROFILE_FEATURES, SAMPLE_FRACTION_DEV, SAMPLE_SEED
 
 
@@ -56,13 +57,13 @@ def _profile(ratings: str) -> str:
           GROUP BY 1) g ON u.userId = g.userId"""
 
 
-def _labels(exploded: str) -> str:
+def _labels(exploded: str, ratings: str = "clean", bounds: str = "bounds") -> str:
     return f"""
     SELECT userId, genre, split_flag, avg(rating) AS label
     FROM (SELECT userId, genre, rating,
                  CASE WHEN ts <= train_boundary_ts THEN 'train'
                       WHEN ts <= holdout_boundary_ts THEN 'val' ELSE 'test' END AS split_flag
-          FROM clean JOIN {exploded} USING (movieId), bounds)
+          FROM {ratings} JOIN {exploded} USING (movieId), {bounds})
     GROUP BY 1, 2, 3"""
 
 
@@ -85,11 +86,11 @@ _R2 = """CASE WHEN count(*) < 2 THEN CAST('NaN' AS DOUBLE)
               WHEN sum((y - p) * (y - p)) = 0 THEN 1.0 ELSE 0.0 END"""
 
 
-def _sliced(cells: str, low: int, high: int) -> str:
+def _sliced(cells: str, low: int, high: int, ratings: str = "clean") -> str:
     return f"""
     SELECT c.*, CASE WHEN coalesce(n, 0) < {low} THEN 'low' WHEN coalesce(n, 0) <= {high} THEN 'medium'
                      ELSE 'high' END AS slice
-    FROM {cells} c LEFT JOIN (SELECT userId, count(*) AS n FROM clean GROUP BY 1) a ON a.userId = c.userId"""
+    FROM {cells} c LEFT JOIN (SELECT userId, count(*) AS n FROM {ratings} GROUP BY 1) a ON a.userId = c.userId"""
 
 
 def _slices(low: int, high: int) -> str:
@@ -124,6 +125,43 @@ def _values(features: str) -> str:
     )
 
 
+def _summary(cells: str, sliced: str) -> str:
+    return f"""
+    SELECT w.variant, usable, rmse, champion, r2, worst_genre, worst_slice
+    FROM (SELECT variant, count(p) AS usable, sqrt(avg((y - p) * (y - p))) AS rmse,
+                 sqrt(avg((y - champion) * (y - champion))) AS champion FROM {cells} GROUP BY 1) w
+    JOIN (SELECT variant, avg(r2) AS r2, max(rmse) AS worst_genre FROM (
+            SELECT variant, genre, {_R2} AS r2, sqrt(avg((y - p) * (y - p))) AS rmse FROM {cells} GROUP BY 1, 2)
+          GROUP BY 1) g ON g.variant = w.variant
+    JOIN (SELECT variant, min(r2) AS worst_slice FROM (SELECT variant, slice, avg(r2) AS r2 FROM (
+            SELECT variant, slice, genre, {_R2} AS r2 FROM {sliced} GROUP BY 1, 2, 3) GROUP BY 1, 2)
+          GROUP BY 1) s ON s.variant = w.variant"""
+
+
+def _report(summary: str) -> str:
+    return f"""
+    SELECT variant, 'smoke_test' AS check_name, CAST(usable AS DOUBLE) AS value, 1.0 AS threshold, usable >= 1 AS passed
+    FROM {summary}
+    UNION ALL SELECT variant, 'rmse', rmse, 1.5, rmse < 1.5 FROM {summary}
+    UNION ALL SELECT variant, 'r2', r2, 0.05, r2 > 0.05 FROM {summary}
+    UNION ALL SELECT variant, 'champion', rmse, champion, rmse <= champion FROM {summary}
+    UNION ALL SELECT variant, 'genre_rmse', worst_genre, 2.0, worst_genre <= 2.0 FROM {summary}
+    UNION ALL SELECT variant, 'slice_r2', worst_slice, -0.05, worst_slice >= -0.05 FROM {summary}"""
+
+
+def _constant_cells(labels: str, genres, flag: str) -> str:
+    """Every listed genre of the users of a split beside the genre's training mean."""
+    listed = f"(SELECT unnest([{_in(genres)[1:-1]}]) AS genre)"
+    return f"""
+    SELECT u.userId, g.genre, coalesce(label, 0.0) AS y, p
+    FROM (SELECT DISTINCT userId FROM {labels} WHERE split_flag = '{flag}') u
+    CROSS JOIN (SELECT g.genre, coalesce(sum(label), 0.0)
+                  / (SELECT count(DISTINCT userId) FROM {labels} WHERE split_flag = 'train') AS p
+                FROM {listed} g LEFT JOIN (SELECT * FROM {labels} WHERE split_flag = 'train') t ON t.genre = g.genre
+                GROUP BY 1) g
+    LEFT JOIN (SELECT * FROM {labels} WHERE split_flag = '{flag}') l ON l.userId = u.userId AND l.genre = g.genre"""
+
+
 _STAR_RATINGS = """
     SELECT o_custkey AS userId, l_partkey AS movieId,
            CASE WHEN l_discount = 0.0 THEN NULL
@@ -180,33 +218,52 @@ _RELATIONS = {
     "both_cells": """
     SELECT 'general' AS variant, * FROM cells UNION ALL SELECT 'nokids' AS variant, * FROM cells_kept""",
     "sliced_cells": _sliced("both_cells", LOW, HIGH),
-    "summary": f"""
-    SELECT w.variant, usable, rmse, champion, r2, worst_genre, worst_slice
-    FROM (SELECT variant, count(p) AS usable, sqrt(avg((y - p) * (y - p))) AS rmse,
-                 sqrt(avg((y - champion) * (y - champion))) AS champion FROM both_cells GROUP BY 1) w
-    JOIN (SELECT variant, avg(r2) AS r2, max(rmse) AS worst_genre FROM (
-            SELECT variant, genre, {_R2} AS r2, sqrt(avg((y - p) * (y - p))) AS rmse FROM both_cells GROUP BY 1, 2)
-          GROUP BY 1) g ON g.variant = w.variant
-    JOIN (SELECT variant, min(r2) AS worst_slice FROM (SELECT variant, slice, avg(r2) AS r2 FROM (
-            SELECT variant, slice, genre, {_R2} AS r2 FROM sliced_cells GROUP BY 1, 2, 3) GROUP BY 1, 2)
-          GROUP BY 1) s ON s.variant = w.variant""",
-    "report": """
-    SELECT variant, 'smoke_test' AS check_name, CAST(usable AS DOUBLE) AS value, 1.0 AS threshold, usable >= 1 AS passed
-    FROM summary
-    UNION ALL SELECT variant, 'rmse', rmse, 1.5, rmse < 1.5 FROM summary
-    UNION ALL SELECT variant, 'r2', r2, 0.05, r2 > 0.05 FROM summary
-    UNION ALL SELECT variant, 'champion', rmse, champion, rmse <= champion FROM summary
-    UNION ALL SELECT variant, 'genre_rmse', worst_genre, 2.0, worst_genre <= 2.0 FROM summary
-    UNION ALL SELECT variant, 'slice_r2', worst_slice, -0.05, worst_slice >= -0.05 FROM summary""",
+    "summary": _summary("both_cells", "sliced_cells"),
+    "report": _report("summary"),
     "status": """
     SELECT variant, CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS status FROM report GROUP BY 1""",
     "arrived": "SELECT * FROM holdout WHERE ts <= (SELECT min(ts) FROM holdout) + 150 * 86400",
     "later_ratings": "SELECT * FROM training UNION ALL SELECT * FROM arrived",
+    "store_bounds": """
+    SELECT quantile_disc(ts, 0.6) AS train_boundary_ts, quantile_disc(ts, 0.8) AS holdout_boundary_ts FROM training""",
+    "store_profiles": _profile("training"),
+    "store_labels": f"SELECT * FROM ({_labels('exploded', 'training', 'store_bounds')}) SEMI JOIN store_profiles USING (userId)",
+    "store_labels_kept": f"SELECT * FROM ({_labels('kept', 'training', 'store_bounds')}) SEMI JOIN store_profiles USING (userId)",
+    "store_val": " UNION ALL ".join(
+        f"SELECT '{name}' AS variant, * FROM ({_constant_cells(labels, genres, 'val')})"
+        for name, labels, genres in (("general", "store_labels", GENRES), ("nokids", "store_labels_kept", KEPT))
+    ),
+    "store_test": f"""
+    SELECT 'general' AS variant, *, p AS champion FROM ({_constant_cells("store_labels", GENRES, "test")})
+    UNION ALL SELECT 'nokids', *, NULL FROM ({_constant_cells("store_labels_kept", KEPT, "test")})""",
+    "store_sliced": _sliced("store_test", 50, 200, "training"),
+    "store_summary": _summary("store_test", "store_sliced"),
+    "store_report": _report("store_summary"),
     "base_features": _user_genre("training"),
     "now_features": _user_genre("later_ratings"),
     "base_values": _values("base_features"),
     "now_values": _values("now_features"),
     "drift": f"SELECT * FROM ({_psi('base_values', 'now_values')}) WHERE nb > 10 AND nc > 10",
+    "first_window": "SELECT min(ts) + 30 * 86400 AS w FROM holdout",
+    "second_window": "SELECT min(ts) + 30 * 86400 AS w FROM holdout WHERE ts > (SELECT w FROM first_window)",
+    "third_window": "SELECT min(ts) + 30 * 86400 AS w FROM holdout WHERE ts > (SELECT w FROM second_window)",
+    "three_windows": """
+    SELECT * FROM training UNION ALL SELECT * FROM holdout WHERE ts <= (SELECT w FROM third_window)""",
+    "replayed_features": _user_genre("three_windows"),
+    "replayed_profiles": _profile("three_windows"),
+    "known_days": """
+    SELECT userId, genre, ts // 86400 AS day, count(*) AS n, sum(rating) AS total, max(ts) AS last_rated
+    FROM clean JOIN exploded USING (movieId) GROUP BY 1, 2, 3""",
+    "history": """
+    SELECT userId, genre, sum(n) OVER upto AS watched, sum(total) OVER upto / sum(n) OVER upto AS mean_rating, last_rated,
+           (day + 1) * 86400 AS valid_from, (lead(day) OVER days + 1) * 86400 AS valid_until FROM known_days
+    WINDOW days AS (PARTITION BY userId, genre ORDER BY day),
+           upto AS (PARTITION BY userId, genre ORDER BY day ROWS UNBOUNDED PRECEDING)""",
+    "gaps": "SELECT *, ts // 86400 AS day, ts - lag(ts) OVER (PARTITION BY userId ORDER BY ts) AS gap FROM clean",
+    "active_days": """
+    SELECT userId, day, count(*) AS ratings, max(gap) AS longest_gap, sum(rating) AS total FROM gaps GROUP BY 1, 2""",
+    "user_events": "SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events",
+    "scores": "SELECT userId, genre, round(genre_avg_rating + 1e-9, 6) AS score FROM user_genre",
     "event_values": """
     SELECT event_type AS key, value AS v, CAST(floor(epoch(ts)) AS BIGINT) AS ts FROM events""",
     "early_events": "SELECT key, v FROM event_values WHERE ts <= (SELECT quantile_disc(ts, 0.5) FROM event_values)",
@@ -232,6 +289,38 @@ def _wide_features(genres) -> str:
     return f"userId, {profile}, {cells}"
 
 
+_FEATURE_ORDER = ", ".join(f"'{c}'" for c in feature_columns(GENRES))
+_RELATIONS |= {
+    "boost_matrix": f"SELECT {_wide_features(GENRES)} FROM training_rows WHERE split_flag = 'train' GROUP BY 1",
+    "boost_values": "SELECT * FROM (UNPIVOT boost_matrix ON COLUMNS(* EXCLUDE userId) INTO NAME feature VALUE x)",
+    "boost_cuts": f"""
+    SELECT feature, unnest(list_distinct(list_filter(ranks, lambda c: c < greatest))) AS c FROM (
+      SELECT feature, max(x) AS greatest, quantile_disc(x, [{", ".join(str(i / 64) for i in range(1, 64))}]) AS ranks
+      FROM boost_values GROUP BY 1)""",
+    "boost_binned": """
+    SELECT v.userId, v.feature, c FROM boost_values v ASOF LEFT JOIN boost_cuts k ON v.feature = k.feature AND v.x <= k.c""",
+    "boost_labels": f"""
+    SELECT m.userId, g.genre, CAST(floor(coalesce(label, 0.0) * 1073741824 + 0.5) AS HUGEINT) AS y
+    FROM boost_matrix m CROSS JOIN (SELECT unnest([{_in(GENRES)[1:-1]}]) AS genre) g
+    LEFT JOIN (SELECT * FROM training_rows WHERE split_flag = 'train') t ON t.userId = m.userId AND t.genre = g.genre""",
+    "boost_left": """
+    SELECT userId, genre, y - sum(y) OVER (PARTITION BY genre) // count(*) OVER (PARTITION BY genre) AS r
+    FROM boost_labels""",
+    "boost_sums": """
+    SELECT genre, feature, c, sum(r) AS r, count(*) AS n FROM boost_binned JOIN boost_left USING (userId) GROUP BY 1, 2, 3""",
+    "boost_upto": """
+    SELECT genre, feature, c, sum(r) OVER upto AS s, sum(n) OVER upto AS n, sum(r) OVER every AS total, sum(n) OVER every AS rows
+    FROM boost_sums
+    WINDOW upto AS (PARTITION BY genre, feature ORDER BY c NULLS LAST), every AS (PARTITION BY genre, feature)""",
+    "boost_best": f"""
+    SELECT *, CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n
+              + CAST(total - s AS DOUBLE) * CAST(total - s AS DOUBLE) / (rows - n) AS worth
+    FROM boost_upto WHERE c IS NOT NULL AND n >= 20 AND rows - n >= 20
+      AND worth > CAST(total AS DOUBLE) * CAST(total AS DOUBLE) / rows * (1 + 1e-12)
+    QUALIFY row_number() OVER (PARTITION BY genre
+                               ORDER BY worth DESC, list_position([{_FEATURE_ORDER}], feature), c) = 1""",
+}
+
 _DRIFT_LOG = (
     "'{' || string_agg('\"' || key || '\":' || CAST(CAST(psi AS DECIMAL(18,3)) AS VARCHAR), ','"
     f" ORDER BY list_position([{_in(GENRE_FEATURES)[1:-1]}], key)) || '}}' AS feature_psi,"
@@ -356,6 +445,18 @@ _QUERIES = {
     "mean_model_scores": "SELECT userId, " + ", ".join(
         f"round((SELECT p FROM ({_MEANS}) WHERE genre = '{g}') + 1e-9, 6) AS {g}" for g in sorted(GENRES)
     ) + f" FROM (SELECT DISTINCT userId FROM user_genre WHERE genre IN {_in(GENRES)})",
+    "boosted_split": """
+    SELECT genre, feature, round(c + 1e-9, 6) AS threshold, round(floor(0.1 * s / n + 0.5) / 1073741824 + 1e-9, 6) AS low_gain,
+           round(floor(0.1 * (total - s) / (rows - n) + 0.5) / 1073741824 + 1e-9, 6) AS high_gain FROM boost_best""",
+    "trained_metrics": f"""
+    SELECT variant, genre, round(sqrt(avg((y - p) * (y - p))) + 1e-9, 6) AS rmse, NULL AS r2 FROM store_val GROUP BY 1, 2
+    UNION ALL
+    SELECT variant, NULL, (SELECT round(sqrt(avg((y - p) * (y - p))) + 1e-9, 6) FROM store_val w WHERE w.variant = g.variant),
+           round(avg(r2) + 1e-9, 6)
+    FROM (SELECT variant, genre, {_R2} AS r2 FROM store_val GROUP BY 1, 2) g GROUP BY 1""",
+    "validated_store": """
+    SELECT variant, check_name, round(value + 1e-9, 6) AS value,
+           round(CAST(threshold AS DOUBLE) + 1e-9, 6) AS threshold, passed FROM store_report""",
     "table_problems": """
     SELECT 'bronze.links' AS table_name, 'missing columns title' AS problem
     UNION ALL SELECT 'bronze.nothing', 'empty'""",
@@ -369,6 +470,49 @@ _QUERIES = {
     "promotion_gate": """
     SELECT count(*) FILTER (status = 'PASSED') AS variants_passed, count(*) FILTER (status = 'PASSED') = 2 AS promoted
     FROM status""",
+    "training_set_asof": """
+    SELECT l.userId, movieId, l.genre, label, rated_at, CAST(watched AS BIGINT) AS watched,
+           round(mean_rating + 1e-9, 6) AS mean_rating, last_rated
+    FROM (SELECT userId, movieId, genre, rating AS label, ts AS rated_at FROM clean JOIN exploded USING (movieId), bounds
+          WHERE ts > train_boundary_ts) l
+    ASOF LEFT JOIN history h ON l.userId = h.userId AND l.genre = h.genre AND l.rated_at >= h.valid_from""",
+    "ratings_in_versions": """
+    SELECT c.userId, e.genre, c.movieId, c.ts AS rated_at, CAST(watched AS BIGINT) AS watched,
+           round(mean_rating + 1e-9, 6) AS mean_rating, valid_from, valid_until
+    FROM clean c JOIN exploded e USING (movieId)
+    JOIN history h ON h.userId = c.userId AND h.genre = e.genre AND c.ts >= valid_from
+      AND (c.ts < valid_until OR valid_until IS NULL)""",
+    "moving_means": """
+    SELECT userId, day, ratings, longest_gap, CAST(sum(ratings) OVER month AS BIGINT) AS ratings_in_window,
+           round(sum(total) OVER month / sum(ratings) OVER month + 1e-9, 6) AS mean_in_window FROM active_days
+    WINDOW month AS (PARTITION BY userId ORDER BY day RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+    "event_sessions": f"""
+    SELECT user_id, min(s) AS started, max(s) AS ended, count(*) AS events FROM (
+      SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS number FROM (
+        SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY user_id ORDER BY s) > {SESSION_GAP} THEN 1 ELSE 0 END AS opens
+        FROM user_events))
+    GROUP BY user_id, number""",
+    "incremental_features": f"SELECT userId, genre, {_ROUNDED_GENRE}, feature_timestamp FROM replayed_features",
+    "incremental_profiles": f"SELECT userId, {_ROUNDED_PROFILE}, profile_timestamp FROM replayed_profiles",
+    "score_ranks": """
+    SELECT *, rank() OVER (ORDER BY score DESC) AS rank, dense_rank() OVER (ORDER BY score DESC) AS dense_rank FROM scores""",
+    "score_leaders": """
+    SELECT *, rank() OVER (ORDER BY score DESC) AS rank, dense_rank() OVER (ORDER BY score DESC) AS dense_rank FROM scores
+    QUALIFY rank <= 100""",
+    "best_genres": """
+    SELECT *, rank() OVER (PARTITION BY userId ORDER BY score DESC) AS group_rank FROM scores QUALIFY group_rank <= 3""",
+    "feature_diff": f"""
+    SELECT coalesce(a.userId, b.userId) AS userId, coalesce(a.genre, b.genre) AS genre,
+           CASE WHEN b.userId IS NULL THEN 'added' WHEN a.userId IS NULL THEN 'removed' ELSE 'changed' END AS change,
+           CASE WHEN a.userId IS NOT NULL AND b.userId IS NOT NULL THEN concat_ws(',', {", ".join(
+               f"CASE WHEN a.{f} IS DISTINCT FROM b.{f} THEN '{f}' END" for f in (*GENRE_FEATURES, "feature_timestamp")
+           )}) END AS changed_columns,
+           CAST(b.userId IS NOT NULL AS BIGINT) AS rows_before, CAST(a.userId IS NOT NULL AS BIGINT) AS rows_after
+    FROM (SELECT userId, genre, {_ROUNDED_GENRE}, feature_timestamp FROM base_features) b
+    FULL JOIN (SELECT userId, genre, {_ROUNDED_GENRE}, feature_timestamp FROM now_features) a
+      ON a.userId = b.userId AND a.genre = b.genre
+    WHERE a.userId IS NULL OR b.userId IS NULL OR {" OR ".join(
+        f"a.{f} IS DISTINCT FROM b.{f}" for f in (*GENRE_FEATURES, "feature_timestamp"))}""",
     "psi_by_feature": "SELECT key AS feature, round(psi + 1e-9, 3) AS psi, psi > 0.2 AS drifted FROM drift",
     "drift_log": f"SELECT {_DRIFT_LOG} FROM drift",
     "drift_check": f"""

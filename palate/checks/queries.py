@@ -10,12 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
 from palate import schemas, settings
-from palate.checks.testbed import EVENT_TYPES, GENRES, KEPT, Testbed
+from palate.checks.testbed import EVENT_TYPES, GENRES, KEPT, Testbed, wall_clock_seconds
 from palate.functions.local import COUNT, TEXT, local_frame
-from palate.operators import drift, features, labels, matrix, metrics, model, quality, silver, validation
-from palate.plans import bootstrap, serving
-from palate.plans.training import fit_and_evaluate, read_split_boundaries
-from palate.settings import BoostingParams
+from palate.operators import (
+    diff,
+    drift,
+    features,
+    labels,
+    matrix,
+    metrics,
+    model,
+    quality,
+    ranking,
+    silver,
+    temporal,
+    validation,
+)
+from palate.plans import bootstrap, incremental, serving
+from palate.plans.training import fit_and_evaluate, read_split_boundaries, train_variant, validate
+from palate.settings import BoostingParams, Variant
 from palate.sources import csv
 from palate.sources.scratch import new_dir, stage
 from palate.sources.tables import TableStore
@@ -26,8 +39,9 @@ QUERIES: dict[str, Query] = {}
 
 # Slice limits that fill all three slices at the small test scales, where no user reaches 200 ratings.
 LOW, HIGH = 30, 45
-# The full settings fit 16 models of 200 trees, which takes longer than a check may; see the README.
-TREES = BoostingParams(trees=5, learning_rate=0.3, leaves=8)
+SESSION_GAP = 4 * 3600
+TREES = BoostingParams(trees=5, learning_rate=0.1, leaves=31)
+ONE_SPLIT = BoostingParams(trees=1, learning_rate=0.1, leaves=2)
 ONE_LEAF = BoostingParams(trees=1, learning_rate=0.1, leaves=1)
 
 
@@ -360,6 +374,83 @@ def promotion_gate(bed: Testbed) -> DataFrame:
     return validation.promotion_gate(_report(bed), ["general", "nokids"])
 
 
+# --- time -----------------------------------------------------------------------------------------
+
+
+@query
+def training_set_asof(bed: Testbed) -> DataFrame:
+    return temporal.training_set_asof(bed.clean, bed.exploded, bed.boundary("train_boundary_ts"))
+
+
+@query
+def ratings_in_versions(bed: Testbed) -> DataFrame:
+    """Every rating with the version of its user's features that was valid then."""
+    points = bed.clean.join(bed.exploded.select("movieId", "genre"), "movieId")
+    points = points.select("userId", "genre", "movieId", F.unix_seconds("timestamp").alias("rated_at"))
+    versions = temporal.feature_history(bed.clean, bed.exploded).drop("last_rated")
+    return temporal.interval_join(points, versions, ["userId", "genre"], "rated_at", "valid_from", "valid_until")
+
+
+@query
+def moving_means(bed: Testbed) -> DataFrame:
+    return temporal.moving_means(bed.clean)
+
+
+@query
+def event_sessions(bed: Testbed) -> DataFrame:
+    events = bed.table("events").withColumn("at", wall_clock_seconds("ts"))
+    return temporal.sessions(events, "user_id", "at", gap=SESSION_GAP)
+
+
+# --- incremental features -------------------------------------------------------------------------
+
+
+def _replayed(bed: Testbed) -> TableStore:
+    """A store whose features were first built and then brought up to date by three windows."""
+    store = _store(bed)
+    for table in ("ratings", "movies", "tags", "genome_scores", "genome_tags"):
+        store.overwrite(f"bronze.{table}", getattr(bed, table))
+    bootstrap.build_silver(store)
+    incremental.rebuild(store)
+    incremental.simulate_day(store, days=30)
+    incremental.simulate_day(store, days=30)
+    incremental.compact(store)
+    incremental.simulate_day(store, days=30)
+    return store
+
+
+@query
+def incremental_features(bed: Testbed) -> DataFrame:
+    return _replayed(bed).read(settings.USER_GENRE_FEATURES)
+
+
+@query
+def incremental_profiles(bed: Testbed) -> DataFrame:
+    return _replayed(bed).read(settings.USER_PROFILE_FEATURES)
+
+
+# --- order ----------------------------------------------------------------------------------------
+
+
+def _scores(bed: Testbed) -> DataFrame:
+    return stage(tidy(bed.user_genre.select("userId", "genre", F.col("genre_avg_rating").alias("score"))), "scores")
+
+
+@query
+def score_ranks(bed: Testbed) -> DataFrame:
+    return ranking.global_ranks(_scores(bed), "score")
+
+
+@query
+def score_leaders(bed: Testbed) -> DataFrame:
+    return ranking.leaders(_scores(bed), "score", 100)
+
+
+@query
+def best_genres(bed: Testbed) -> DataFrame:
+    return ranking.best_of_group(_scores(bed), "userId", "score", 3)
+
+
 # --- drift ----------------------------------------------------------------------------------------
 
 
@@ -387,6 +478,14 @@ def _three_decimals_of_log() -> Column:
     return F.to_json(F.transform_values(parsed, lambda _, psi: (psi + F.lit(1e-9)).cast("decimal(18,3)")))
 
 
+@query
+def feature_diff(bed: Testbed) -> DataFrame:
+    """What the next 150 days change in the features, to six decimals."""
+    before, after = (tidy(version) for version in _feature_versions(bed))
+    changes = diff.table_diff(before, after, ["userId", "genre"])
+    return changes.withColumn("changed_columns", F.array_join("changed_columns", ","))
+
+
 @query
 def psi_by_feature(bed: Testbed) -> DataFrame:
     return _three_decimals(drift.drift_report(*_feature_versions(bed)))
@@ -446,6 +545,45 @@ def mean_model_scores(bed: Testbed) -> DataFrame:
     return model.batch_score(bed.user_genre, bed.profiles, fitted)
 
 
+@query
+def boosted_split(bed: Testbed) -> DataFrame:
+    """The first split of every genre, on features to six decimals, so that engines see the same ties."""
+    train = stage(_training_set(bed).where(F.col("split_flag") == "train"), "training-cells")
+    rounded = stage(tidy(matrix.pivot_features(train, GENRES)), "rounded-features")
+    fitted = model.fit_multi_output(rounded, matrix.pivot_labels(train, GENRES), GENRES, ONE_SPLIT)
+    gains = fitted.leaves(bed.spark).select("genre", "node", "value")
+    low, high = (gains.select("genre", F.col("node").alias(n), F.col("value").alias(f"{n}_gain")) for n in ("low", "high"))
+    found = fitted.splits(bed.spark).join(low, ["genre", "low"]).join(high, ["genre", "high"])
+    return found.select("genre", "feature", "threshold", "low_gain", "high_gain")
+
+
+def _trained(bed: Testbed) -> tuple[TableStore, dict[Variant, model.MultiOutputModel]]:
+    """A store from bronze to gold, and both variants' models of single leaves."""
+    store = _built(bed, 1.0)
+    store.overwrite(settings.MOVIES_EXPLODED_NOKIDS, bed.exploded_kept)
+    variants = (
+        Variant("general", GENRES, settings.MOVIES_EXPLODED, settings.SCORES_DAILY),
+        Variant("nokids", KEPT, settings.MOVIES_EXPLODED_NOKIDS, settings.SCORES_DAILY_NOKIDS),
+    )
+    return store, {variant: train_variant(store, variant, ONE_LEAF)[0] for variant in variants}
+
+
+@query
+def trained_metrics(bed: Testbed) -> DataFrame:
+    store, models = _trained(bed)
+    stored = [
+        store.read(f"{settings.TRAINING_METRICS}_{v.name}").withColumn("variant", F.lit(v.name)) for v in models
+    ]
+    return reduce(DataFrame.unionByName, stored)
+
+
+@query
+def validated_store(bed: Testbed) -> DataFrame:
+    store, models = _trained(bed)
+    general, nokids = models
+    return validate(store, {general: (models[general], models[general]), nokids: (models[nokids], None)})
+
+
 @query
 def table_problems(bed: Testbed) -> DataFrame:
     tables = {

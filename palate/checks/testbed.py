@@ -27,7 +27,7 @@ COLUMNS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING",
     "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_discount DOUBLE,"
     " l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
-    "events": "ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
 }
 
 

@@ -21,14 +21,10 @@ def sample_users(df: DataFrame, fraction: float, seed: int = SAMPLE_SEED, key: s
     return df if fraction >= 1.0 else df.where(in_sample(key, fraction, seed))
 
 
-def user_genre_features(
-    ratings: DataFrame,
-    exploded: DataFrame,
-    genome: DataFrame,
-    tags: DataFrame,
-    decay_per_day: float = DECAY_PER_DAY,
+def genre_sums(
+    ratings: DataFrame, exploded: DataFrame, genome: DataFrame, decay_per_day: float = DECAY_PER_DAY
 ) -> DataFrame:
-    """The seven features of every (user, genre) the user has rated."""
+    """Sums per (user, genre, era) from which :func:`genre_features` follow; sums of parts add up to those of the whole."""
     decay = Decay(decay_per_day)
     genres = exploded.select("movieId", "genre")
     # One relevance per movie and genre by construction: counts stay right whatever comes in, and the
@@ -39,7 +35,7 @@ def user_genre_features(
 
     # The outer join keeps ratings of movies without genres as a null genre: they still move the time the
     # user was last seen.
-    rated = (
+    return (
         ratings.join(described, "movieId", "left")
         .groupBy("userId", "genre", decay.era(seconds).alias("era"))
         .agg(
@@ -51,9 +47,20 @@ def user_genre_features(
             F.max("timestamp").alias("last_rated"),
         )
     )
-    tagged = tags.join(genres, "movieId").groupBy("userId", "genre").agg(F.count_distinct("tag").alias("tag_count"))
 
-    # Everything below stays in one partitioning by user.
+
+def tag_counts(tags: DataFrame, exploded: DataFrame) -> DataFrame:
+    """How many different tags a user gave to movies of a genre."""
+    tagged = tags.join(exploded.select("movieId", "genre"), "movieId")
+    return tagged.groupBy("userId", "genre").agg(F.count_distinct("tag").alias("tag_count"))
+
+
+def genre_features(rated: DataFrame, tagged: DataFrame, decay_per_day: float = DECAY_PER_DAY) -> DataFrame:
+    """The seven features from sums per (user, genre, era), of one or several parts of the ratings, and tag counts.
+
+    Everything stays in one partitioning by user.
+    """
+    decay = Decay(decay_per_day)
     of_user = Window.partitionBy("userId")
     recency = F.sum(F.col("decayed_sum") * decay.from_era(F.col("era"), F.unix_seconds("user_last")))
     combined = (
@@ -90,6 +97,18 @@ def user_genre_features(
     )
 
 
+def user_genre_features(
+    ratings: DataFrame,
+    exploded: DataFrame,
+    genome: DataFrame,
+    tags: DataFrame,
+    decay_per_day: float = DECAY_PER_DAY,
+) -> DataFrame:
+    """The seven features of every (user, genre) the user has rated."""
+    rated = genre_sums(ratings, exploded, genome, decay_per_day)
+    return genre_features(rated, tag_counts(tags, exploded), decay_per_day)
+
+
 def user_profile_features(ratings: DataFrame, exploded: DataFrame) -> DataFrame:
     """Per-user totals over all ratings, and variety over genres; users without any genre drop out."""
     seconds = epoch()

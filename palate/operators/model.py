@@ -1,21 +1,21 @@
-"""One distributed boosted-tree regressor per genre, on shared features."""
+"""One boosted-tree regressor per genre, on shared features and fitted together."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palate.functions.local import COUNT, NUMBER, NUMBERS, TEXT, local_frame
+from palate.operators.boosting import UNIT, Ensemble, Tree, fit, predict
 from palate.operators.matrix import feature_columns, pivot_features
 from palate.settings import BoostingParams
-from palate.sources.scratch import ensure_checkpoint_dir, staged
+from palate.sources.files import write_parquet
 
-_FEATURES = "features"
+_NODES = pa.list_(COUNT)
 
 
 @dataclass(frozen=True)
@@ -23,61 +23,81 @@ class MultiOutputModel:
     """A regressor per genre; ``genres`` fixes the feature columns and the order of the scores."""
 
     genres: tuple[str, ...]
-    by_genre: Mapping[str, GBTRegressionModel]
+    ensemble: Ensemble
 
     def predict(self, matrix: DataFrame) -> DataFrame:
         """``userId`` plus one score per genre, in one pass over the feature matrix."""
-        scored = _assemble(matrix, self.genres, ["userId"])
-        for genre in self.genres:
-            scored = self.by_genre[genre].setFeaturesCol(_FEATURES).setPredictionCol(genre).transform(scored)
-        return scored.select("userId", *[F.col(f"`{g}`") for g in self.genres])
-
-    def save(self, path: str) -> None:
-        for position, genre in enumerate(self.genres):
-            self.by_genre[genre].write().overwrite().save(f"{path}/{position:03d}")
+        return predict(matrix, "userId", feature_columns(self.genres), self.genres, self.ensemble)
+
+    def splits(self, spark: SparkSession) -> DataFrame:
+        """The inner nodes of all trees: ``round, genre, node, feature, threshold, low, high``.
+
+        Values up to the threshold go to node ``low``, others to ``high``.
+        """
+        columns = feature_columns(self.genres)
+        kinds = {"round": COUNT, "genre": TEXT, "node": COUNT, "feature": TEXT, "threshold": NUMBER}
+        rows = [
+            (number, genre, node, columns[feature], self.ensemble.cuts[feature][tree.bin[node]], left, left + 1)
+            for number, grown in enumerate(self.ensemble.trees)
+            for genre, tree in zip(self.genres, grown, strict=True)
+            for node, (feature, left) in enumerate(zip(tree.feature, tree.left, strict=True))
+            if feature >= 0
+        ]
+        return local_frame(spark, kinds | {"low": COUNT, "high": COUNT}, rows)
+
+    def leaves(self, spark: SparkSession) -> DataFrame:
+        """The leaves of all trees: ``round, genre, node, value``, the value being what a score gains there."""
+        rows = [
+            (number, genre, node, tree.value[node] / UNIT)
+            for number, grown in enumerate(self.ensemble.trees)
+            for genre, tree in zip(self.genres, grown, strict=True)
+            for node, feature in enumerate(tree.feature)
+            if feature < 0
+        ]
+        return local_frame(spark, {"round": COUNT, "genre": TEXT, "node": COUNT, "value": NUMBER}, rows)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write cuts, means and trees as three tables."""
+        cuts = {"position": COUNT, "cuts": NUMBERS}
+        base = {"genre": TEXT, "base": COUNT}
+        trees = {"round": COUNT, "genre": TEXT} | {c: _NODES for c in ("feature", "bin", "left", "value")}
+        rows = [
+            (number, genre, tree.feature, tree.bin, tree.left, tree.value)
+            for number, grown in enumerate(self.ensemble.trees)
+            for genre, tree in zip(self.genres, grown, strict=True)
+        ]
+        tables = {
+            "cuts": local_frame(spark, cuts, list(enumerate(self.ensemble.cuts))),
+            "base": local_frame(spark, base, list(zip(self.genres, self.ensemble.base, strict=True))),
+            "trees": local_frame(spark, trees, rows),
+        }
+        for name, table in tables.items():
+            write_parquet(table, f"{path}/{name}", "overwrite")
 
     @classmethod
-    def load(cls, path: str, genres: Sequence[str]) -> MultiOutputModel:
+    def load(cls, spark: SparkSession, path: str, genres: Sequence[str]) -> MultiOutputModel:
+        """The model that was saved there for just these genres."""
         ordered = tuple(sorted(genres))
-        return cls(
-            ordered, {g: GBTRegressionModel.load(f"{path}/{position:03d}") for position, g in enumerate(ordered)}
-        )
-
-
-def _assemble(matrix: DataFrame, genres: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    assembler = VectorAssembler(inputCols=feature_columns(genres), outputCol=_FEATURES)
-    return assembler.transform(matrix).select(*[F.col(f"`{c}`") for c in keep], _FEATURES)
+        base = {row["genre"]: row["base"] for row in spark.read.parquet(f"{path}/base").collect()}
+        if set(base) != set(ordered):
+            raise ValueError(f"the model at {path} is for {sorted(base)}")
+        cuts = sorted((row["position"], list(row["cuts"])) for row in spark.read.parquet(f"{path}/cuts").collect())
+        rounds: dict[int, dict[str, Tree]] = {}
+        for row in spark.read.parquet(f"{path}/trees").collect():
+            tree = Tree(*(list(row[c]) for c in ("feature", "bin", "left", "value")))
+            rounds.setdefault(row["round"], {})[row["genre"]] = tree
+        trees = [[grown[genre] for genre in ordered] for _, grown in sorted(rounds.items())]
+        return cls(ordered, Ensemble([own for _, own in cuts], [base[genre] for genre in ordered], trees))
 
 
 def fit_multi_output(
-    matrix: DataFrame, labels: DataFrame, genres: Sequence[str], params: BoostingParams, concurrent_fits: int = 4
+    matrix: DataFrame, labels: DataFrame, genres: Sequence[str], params: BoostingParams
 ) -> MultiOutputModel:
-    """Fit one regressor per genre on the rows both wide tables have.
-
-    The assembled matrix is written once and read by every fit. A few fits run at a time, so that the
-    tail of one tree does not leave the cluster idle.
-    """
+    """Fit one regressor per genre on the rows both wide tables have."""
     ordered = tuple(sorted(genres))
     targets = [f"target_{g}" for g in ordered]
     renamed = labels.select("userId", *[F.col(f"`{g}`").alias(t) for g, t in zip(ordered, targets)])
-    joined = matrix.join(renamed, "userId")
-    ensure_checkpoint_dir(joined.sparkSession)
-
-    with staged(_assemble(joined, ordered, targets), "examples") as examples:
-
-        def fit(target: str) -> GBTRegressionModel:
-            return GBTRegressor(
-                featuresCol=_FEATURES,
-                labelCol=target,
-                maxIter=params.trees,
-                stepSize=params.learning_rate,
-                maxDepth=params.depth,
-                minInstancesPerNode=params.min_rows_per_leaf,
-                seed=params.seed,
-            ).fit(examples.select(_FEATURES, target))
-
-        with ThreadPoolExecutor(concurrent_fits) as pool:
-            return MultiOutputModel(ordered, dict(zip(ordered, pool.map(fit, targets))))
+    return MultiOutputModel(ordered, fit(matrix.join(renamed, "userId"), feature_columns(ordered), targets, params))
 
 
 def scoring_matrix(user_genre: DataFrame, profiles: DataFrame, genres: Sequence[str]) -> DataFrame:

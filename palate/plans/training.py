@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate import settings
+from palate.functions.local import NUMBER, TEXT, local_frame
 from palate.operators.labels import (
     holdout_cells,
     holdout_metadata,
@@ -36,13 +37,22 @@ def read_split_boundaries(store: TableStore) -> tuple[int, int]:
 def fit_and_evaluate(
     cells: DataFrame, genres: tuple[str, ...], params: BoostingParams
 ) -> tuple[MultiOutputModel, DataFrame, DataFrame]:
-    """Fit on the ``train`` cells of a training set; metrics per genre and overall on its ``val`` cells."""
+    """Fit on the ``train`` cells of a training set; metrics per genre and overall on its ``val`` cells.
+
+    The metrics are a row per genre and one more, and come computed, so that nothing staged outlives the call.
+    """
+    spark = cells.sparkSession
     with staged(cells, "training-cells") as rows:
         train, val = (rows.where(F.col("split_flag") == flag) for flag in ("train", "val"))
         model = fit_multi_output(pivot_features(train, genres), pivot_labels(train, genres), genres, params)
         scores = model.predict(pivot_features(val, genres))
-        predicted = stage(prediction_cells(pivot_labels(val, genres), genres, p=scores), "validation-cells")
-    return model, metrics_per_genre(predicted), metrics_overall(predicted)
+        with staged(prediction_cells(pivot_labels(val, genres), genres, p=scores), "validation-cells") as predicted:
+            per_genre, overall = metrics_per_genre(predicted).collect(), metrics_overall(predicted).collect()
+    return (
+        model,
+        local_frame(spark, {"genre": TEXT, "rmse": NUMBER}, per_genre),
+        local_frame(spark, {"rmse_overall": NUMBER, "r2_overall": NUMBER}, overall),
+    )
 
 
 def train_variant(

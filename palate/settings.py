@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 # Category vocabulary, file names and table names of the data set.
@@ -45,6 +44,8 @@ MOVIES_EXPLODED_NOKIDS = "silver.movies_genre_exploded_nokids"
 GENOME_AGG = "silver.genome_genre_agg"
 USER_GENRE_FEATURES = "gold.user_genre_features"
 USER_PROFILE_FEATURES = "gold.user_profile_features"
+USER_GENRE_STATE = "gold.user_genre_state"
+USER_STATE = "gold.user_state"
 SPLIT_METADATA = "ml.split_metadata"
 VALIDATION_REPORT = "ml.validation_report"
 HOLDOUT_METADATA = "ml.holdout_metadata"
@@ -116,17 +117,13 @@ NOKIDS = Variant(
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """Boosted-tree settings; ``leaves`` bounds tree size and becomes a depth for Spark ML, 0 for one leaf."""
+    """Boosted-tree settings; ``leaves`` bounds a tree's leaves (1 for the mean alone), ``bins`` a feature's values."""
 
     trees: int
     learning_rate: float
     leaves: int
     min_rows_per_leaf: int = 20
-    seed: int = 42
-
-    @property
-    def depth(self) -> int:
-        return math.ceil(math.log2(self.leaves))
+    bins: int = 64
 
 
 BOOSTING_DEV = BoostingParams(trees=200, learning_rate=0.1, leaves=31)

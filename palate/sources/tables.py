@@ -63,9 +63,9 @@ class TableStore:
         write_parquet(df, path, "append")
         return self.read(name)
 
-    def overwrite_sliced(self, name: str, df: DataFrame) -> DataFrame:
+    def overwrite_sliced(self, name: str, df: DataFrame, slice_id: int = 0) -> DataFrame:
         """Like :meth:`overwrite`, for a table that later grows by :meth:`write_slice`."""
-        write_parquet(df.withColumn(_SLICE, F.lit(0).cast("long")), self._next_path(name), by=[_SLICE])
+        write_parquet(df.withColumn(_SLICE, F.lit(slice_id).cast("long")), self._next_path(name), by=[_SLICE])
         self.expire(name, keep=2)
         return self.read(name)
 
@@ -77,6 +77,20 @@ class TableStore:
         write_parquet(df, f"{path}/{_SLICE}={slice_id}", "overwrite")
         return self.read(name)
 
+    def slices(self, name: str) -> list[int]:
+        """The ids under which a table has grown, ascending; none if there is no such table."""
+        path = self._current(name)
+        prefix = f"{_SLICE}="
+        names = child_names(self.spark, path) if path is not None else []
+        return sorted(int(child.removeprefix(prefix)) for child in names if child.startswith(prefix))
+
+    def read_slice(self, name: str, slice_id: int) -> DataFrame:
+        """The rows of one id; no file of another id is opened."""
+        path = self._current(name)
+        if slice_id not in self.slices(name):
+            raise LookupError(f"table {name} has no slice {slice_id}")
+        return self.spark.read.parquet(path).where(F.col(_SLICE) == slice_id).drop(_SLICE)
+
     def upsert(self, name: str, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Create the table, or replace rows with equal keys, insert new ones and keep the rest.
 

@@ -1,0 +1,134 @@
+import numpy as np
+import pytest
+
+from palate.operators import boosting
+from palate.operators.boosting import UNIT, Ensemble, feature_cuts, fit, predict, to_bins, units
+from palate.settings import BoostingParams
+
+
+def frame_of(spark, values, targets):
+    names = [f"f{i}" for i in range(values.shape[1])] + [f"t{i}" for i in range(targets.shape[1])]
+    rows = [(i, *map(float, v), *map(float, t)) for i, (v, t) in enumerate(zip(values, targets))]
+    return spark.createDataFrame(rows, "userId long, " + ", ".join(f"`{n}` double" for n in names)), names
+
+
+def brute_tree(bins, left_over, params):
+    """Best-first growth, one leaf at a time, over whole numbers; leaf of each row and values."""
+
+    def best(rows):
+        total, n = int(left_over[rows].sum()), len(rows)
+        found = (0.0, None)
+        for f in range(bins.shape[1]):
+            for b in range(params.bins - 1):
+                go = bins[rows, f] <= b
+                nl = int(go.sum())
+                if min(nl, n - nl) < max(params.min_rows_per_leaf, 1):
+                    continue
+                gl = int(left_over[rows[go]].sum())
+                worth = float(gl) ** 2 / nl + float(total - gl) ** 2 / (n - nl)
+                whole = float(total) * float(total) / n
+                if worth > whole * (1 + 1e-12) and worth - whole > found[0]:
+                    found = (worth - whole, (f, b))
+        return found
+
+    leaves = {0: np.arange(len(bins))}
+    known = {0: best(leaves[0])}
+    while len(leaves) < params.leaves:
+        node = max(leaves, key=lambda k: (known[k][0], -k))
+        gain, cut = known[node]
+        if cut is None:
+            break
+        rows = leaves.pop(node)
+        go = bins[rows, cut[0]] <= cut[1]
+        for part in (rows[go], rows[~go]):
+            new = len(known)
+            leaves[new], known[new] = part, best(part)
+    moved = np.zeros(len(bins), np.int64)
+    for rows in leaves.values():
+        moved[rows] = int(np.floor(params.learning_rate * int(left_over[rows].sum()) / len(rows) + 0.5))
+    return moved, len(leaves)
+
+
+@pytest.mark.parametrize(("seed", "params"), [
+    (0, BoostingParams(trees=1, learning_rate=1.0, leaves=2, min_rows_per_leaf=5, bins=8)),
+    (1, BoostingParams(trees=3, learning_rate=0.3, leaves=7, min_rows_per_leaf=3, bins=8)),
+    (2, BoostingParams(trees=2, learning_rate=0.5, leaves=31, min_rows_per_leaf=1, bins=16)),
+])
+def test_against_brute_force(spark, seed, params):
+    draw = np.random.default_rng(seed)
+    values = np.round(draw.normal(size=(160, 5)), 1)
+    values[:, 4] = 1.0  # a feature that tells nothing
+    targets = np.stack([values[:, 0] * values[:, 1] + draw.normal(size=160), draw.integers(0, 10, 160) / 2], axis=1)
+    rows, names = frame_of(spark, values, targets)
+    model = fit(rows.repartition(3), names[:5], names[5:], params, rewrite_every=2)
+    bins = to_bins(values, model.cuts)
+    expected = []
+    for own in targets.T:
+        whole = units(own)
+        base = int(whole.sum()) // len(whole)
+        left_over = whole - base
+        for _ in range(params.trees):
+            moved, _ = brute_tree(bins, left_over, params)
+            left_over = left_over - moved
+        expected.append((whole - left_over) / UNIT)
+    found = predict(rows, "userId", names[:5], ["a", "b"], model).orderBy("userId").collect()
+    assert [(r.a, r.b) for r in found] == list(zip(*np.array(expected).tolist()))
+    # The model does not depend on how rows are dealt.
+    again = fit(rows.repartition(7), names[:5], names[5:], params, rewrite_every=1)
+    assert again == model
+
+
+def test_full_setting_learns_what_single_trees_cannot(spark):
+    draw = np.random.default_rng(4)
+    values = draw.normal(size=(3000, 6))
+    truth = np.sin(3 * values[:, 0]) + (values[:, 1] > 0) * values[:, 2]
+    rows, names = frame_of(spark, values, np.stack([truth, -truth], axis=1))
+    model = fit(rows, names[:6], names[6:], BoostingParams(trees=15, learning_rate=0.3, leaves=31))
+    assert all(tree.feature.count(-1) <= 31 for grown in model.trees for tree in grown)
+    scores = model.scores(values)
+    assert np.var(truth - scores[:, 0]) < 0.08 * np.var(truth) and np.var(-truth - scores[:, 1]) < 0.08 * np.var(truth)
+
+
+def test_cuts(spark):
+    rows = spark.createDataFrame([(float(i), 1.0, None, float(i % 3)) for i in range(100)], "a double, b double, c double, d double")
+    a, b, c, d = feature_cuts(rows, ["a", "b", "c", "d"], 4, per_pass=3)
+    assert a == [24.0, 49.0, 74.0] and b == [] and c == [] and d == [0.0, 1.0]
+    assert to_bins(np.array([[24.0, 0, 0, 1.0], [24.5, 9, 9, 5.0]]), [a, b, c, d]).tolist() == [[0, 0, 0, 1], [1, 0, 0, 2]]
+
+
+def test_odd_inputs(spark):
+    params = BoostingParams(trees=3, learning_rate=0.5, leaves=4, min_rows_per_leaf=1)
+    rows, names = frame_of(spark, np.zeros((0, 2)), np.zeros((0, 1)))
+    assert fit(rows, names[:2], names[2:], params) == Ensemble([[], []], [0], [])
+    # One row, and targets without any variance: the mean.
+    rows, names = frame_of(spark, np.array([[1.0, 2.0]]), np.array([[3.5]]))
+    model = fit(rows, names[:2], names[2:], params)
+    assert predict(rows, "userId", names[:2], ["p"], model).first().p == 3.5
+    rows, names = frame_of(spark, np.arange(40.0).reshape(20, 2), np.full((20, 1), 2.25))
+    model = fit(rows, names[:2], names[2:], params)
+    assert {r.p for r in predict(rows, "userId", names[:2], ["p"], model).collect()} == {2.25}
+    # Equal rows stay together; a leaf never gets fewer rows than asked for.
+    rows, names = frame_of(spark, np.repeat([[0.0], [1.0]], [3, 30], axis=0), np.repeat([[0.0], [4.0]], [3, 30], axis=0))
+    few = fit(rows, names[:1], names[1:], BoostingParams(trees=1, learning_rate=1.0, leaves=4, min_rows_per_leaf=4))
+    assert few.trees[0][0].feature == [-1]
+    enough = fit(rows, names[:1], names[1:], BoostingParams(trees=1, learning_rate=1.0, leaves=4, min_rows_per_leaf=3))
+    assert {r.p for r in predict(rows, "userId", names[:1], ["p"], enough).collect()} == {0.0, 4.0}
+
+
+def test_only_splits_reach_the_driver(spark, monkeypatch):
+    seen = []
+    best = boosting._best
+
+    def counted(*given):
+        found = best(*given)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(boosting, "_best", counted)
+    draw = np.random.default_rng(7)
+    values = draw.normal(size=(500, 40))
+    rows, names = frame_of(spark, values, values[:, :1] ** 2)
+    model = fit(rows, names[:40], names[40:], BoostingParams(trees=1, learning_rate=0.1, leaves=16))
+    # Passes are as many as the tree is deep, not as its splits, and none sends more than a row per leaf and chunk.
+    splits = sum(feature >= 0 for feature in model.trees[0][0].feature)
+    assert len(seen) < splits == 15 and max(seen) <= 2 * 16 * 2

@@ -81,8 +81,8 @@ def test_model_learns_and_survives_saving(built, models, tmp_path):
     model, per_genre, overall = models[GENERAL]
     assert {r.genre for r in per_genre.collect()} == set(GENRES)
     assert overall.first().rmse_overall < 1.5
-    model.save(str(tmp_path / "model"))
-    again = MultiOutputModel.load(str(tmp_path / "model"), GENRES)
+    model.save(store.spark, str(tmp_path / "model"))
+    again = MultiOutputModel.load(store.spark, str(tmp_path / "model"), GENRES)
     user_genre, profiles = store.read(settings.USER_GENRE_FEATURES), store.read(settings.USER_PROFILE_FEATURES)
     from palate.operators.model import batch_score
 
