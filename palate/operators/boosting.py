@@ -23,7 +23,6 @@ from contextlib import ExitStack
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -105,11 +104,14 @@ def feature_cuts(rows: DataFrame, columns: Sequence[str], bins: int, per_pass: i
     wanted = [i / bins for i in range(1, bins)]
     found: list[list[float]] = []
     for first in range(0, len(columns), per_pass):
-        own = [F.col(f"`{c}`") for c in columns[first : first + per_pass]]
-        cuts = F.array(*[F.percentile_approx(c, wanted, 10_000) for c in own])
-        row = rows.agg(cuts.alias("cuts"), F.array(*[F.max(c) for c in own]).alias("greatest")).first()
-        for values, greatest in zip(row["cuts"], row["greatest"], strict=True):
-            found.append(sorted({v for v in values or [] if v < greatest}))
+        # One aggregate over melted columns; few enough that their sketches stay in a hash table.
+        own = F.array(*[F.col(f"`{c}`") for c in columns[first : first + per_pass]])
+        melted = rows.select(F.posexplode(own).alias("position", "value")).groupBy("position")
+        result = melted.agg(F.percentile_approx("value", wanted, 10_000).alias("cuts"), F.max("value").alias("greatest"))
+        by_place = {row["position"]: row for row in result.collect()}
+        for place in range(len(columns[first : first + per_pass])):
+            row = by_place.get(place)
+            found.append(sorted({v for v in row["cuts"] or [] if v < row["greatest"]}) if row else [])
     return found
 
 
@@ -284,7 +286,7 @@ def _histograms(state, recent, growing: list[_Growth], wanted: list[list[int]],
                         pa.array([target] * len(chunks), pa.int32()),
                         pa.array([node] * len(chunks), pa.int32()),
                         pa.array([first // _CHUNK for first in chunks], pa.int32()),
-                        pa.array([own[:, slot, first : first + _CHUNK].tobytes() for first in chunks], pa.binary()),
+                        pa.array([_sums_packed(own[:, slot, first : first + _CHUNK]) for first in chunks], pa.binary()),
                     ],
                     ["target", "node", "chunk", "sums"],
                 )
@@ -292,6 +294,11 @@ def _histograms(state, recent, growing: list[_Growth], wanted: list[list[int]],
     return state.mapInArrow(run, _HISTOGRAM)
 
 
+def _sums_packed(sums: np.ndarray) -> bytes:
+    """A task has less than 2 ** 31 rows, so four bytes hold its counts."""
+    return sums[0].tobytes() + sums[1].astype(np.int32).tobytes()
+
+
 def best_split(residuals: np.ndarray, rows: np.ndarray, least: int) -> tuple[float, int, int]:
     """Gain, feature and bin of the best split of histograms by feature and bin; the first of equally good ones."""
     total, count = int(residuals[0].sum()), int(rows[0].sum())
@@ -311,19 +318,37 @@ def best_split(residuals: np.ndarray, rows: np.ndarray, least: int) -> tuple[flo
 
 
 def _best(histograms: DataFrame, n_features: int, bins: int, least: int) -> DataFrame:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        first = frame.iloc[0]
-        width = min(_CHUNK, n_features - int(first["chunk"]) * _CHUNK)
-        sums = np.zeros((2, width, bins), np.int64)
-        for own in frame["sums"]:
-            sums += np.frombuffer(own, np.int64).reshape(sums.shape)
+    """The best split of every node and chunk, once the sums of all tasks are added up; rows come sorted by these."""
+
+    def split(key: tuple[int, int, int], sums: np.ndarray) -> tuple:
         gain, feature, upto = best_split(*sums, least)
         left = sums[:, feature, : upto + 1].sum(axis=1) if feature >= 0 else (0, 0)
-        feature = int(first["chunk"]) * _CHUNK + feature if feature >= 0 else -1
-        row = (first["target"], first["node"], gain, feature, upto, *left, *sums[:, 0].sum(axis=1))
-        return pd.DataFrame([row], columns=[c.split()[0] for c in _SPLIT.split(", ")])
+        feature = key[2] * _CHUNK + feature if feature >= 0 else -1
+        return (key[0], key[1], gain, feature, upto, *left, *sums[:, 0].sum(axis=1))
 
-    return histograms.groupBy("target", "node", "chunk").applyInPandas(run, _SPLIT)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[int, int, int] | None = None
+        sums = np.zeros(0)
+        found = []
+        for batch in batches:
+            for *key, own in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if tuple(key) != held:
+                    if held is not None:
+                        found.append(split(held, sums))
+                    held = tuple(key)
+                    sums = np.zeros((2, min(_CHUNK, n_features - key[2] * _CHUNK), bins), np.int64)
+                cells = sums[0].size
+                sums[0] += np.frombuffer(own, np.int64, cells).reshape(sums[0].shape)
+                sums[1] += np.frombuffer(own, np.int32, cells, 8 * cells).reshape(sums[1].shape)
+        if held is not None:
+            found.append(split(held, sums))
+            names, kinds = zip(*(column.split() for column in _SPLIT.split(", ")), strict=True)
+            types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+            columns = [pa.array(values, types[kind]) for values, kind in zip(zip(*found), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, list(names))
+
+    keys = ["target", "node", "chunk"]
+    return histograms.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, _SPLIT)
 
 
 def _grow(state, recent, n_features: int, n_targets: int, params: BoostingParams) -> list[Tree]:
@@ -363,7 +388,7 @@ def fit(
         trees: list[list[Tree]] = []
         recent: list[list[Tree]] = []
         parallel = spark.sparkContext.defaultParallelism
-        tasks = max(min(parallel, -(-n // _BATCH)), -(-n // 100_000))
+        tasks = max(min(parallel, -(-n // 8192)), -(-n // 200_000))
         binned = _binned(own.repartition(tasks), features, targets, cuts, base)
         kept = ExitStack()
         try:
