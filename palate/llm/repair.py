@@ -2,15 +2,15 @@
 
 Every text is tokenized whole, an end id is appended, and the ids of all documents in ascending ``doc_id`` order
 (nulls first) are cut into shards of whole documents. Per shard, Re-Pair replaces frequent adjacent id pairs by
-new symbols, round after round: each round takes every pair that occurs often enough, and where chosen pairs
-overlap, the leftmost wins. A shard stores its rules, the length each rule expands to, and the remaining
+new symbols, round after round, until no pair occurs ``min_count`` times: each round takes every pair that does, and
+where chosen pairs overlap, the leftmost wins. A shard stores its rules, the length each rule expands to, and the remaining
 sequence, so a range of ids is decoded from the symbols that cover it.
 
 Work per task is one range of documents; a shard ends once it holds ``shard_tokens`` ids, so what a task holds is
 bounded by that and the longest document. Only one number per range of documents reaches the driver.
 
 Defined results: a null or empty text is its end id alone; rows with equal ids keep separate entries, in the order
-of their text; an empty table gives no shards; other columns are not read.
+of their first 64 characters and then of a hash of the text; an empty table gives no shards; other columns are not read.
 
 A shard file, little endian: ``RPG1``; uint64 documents, rules, symbols, ids, base (ids below it are tokens);
 uint8 bytes per symbol; per document int64 doc_id, uint8 null flag, uint64 end of its ids; per rule uint32 left,
@@ -19,6 +19,7 @@ uint32 right, uint64 expansion length; the symbols.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -37,6 +38,10 @@ _MAGIC = b"RPG1"
 _HEADER = "<4s5QB"
 _SPLIT = "<|startoftext|>"
 _TAILS = frozenset(".,")
+#: Letters that stay one letter in lower case; words of them become the same ids wherever they stand.
+_PLAIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+_PLAIN_WORD = re.compile(f"[{_PLAIN}]+").fullmatch
+_PLAIN_WORDS = re.compile(f"[{_PLAIN} ]+").fullmatch
 
 
 @dataclass(frozen=True)
@@ -46,7 +51,6 @@ class Settings:
     tokenizer: str
     end_id: int = 2
     shard_tokens: int = 1 << 19
-    rounds: int = 5
     min_count: int = 16
     cached_words: int = 1_000_000
 
@@ -76,7 +80,7 @@ class WordTokenizer:
 
     def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and how many each has."""
-        if all(map(str.isalpha, words)):
+        if _PLAIN_WORDS(" ".join(words)) and "" not in words:
             ids = self._joined(" ", words)
             ends = np.flatnonzero(self._ends_word[ids]) + 1
             if len(ends) == len(words):
@@ -92,7 +96,7 @@ class WordTokenizer:
         return np.array(self._tokenizer.encode_batch_fast([by.join(words)], add_special_tokens=False)[0].ids, np.int32)
 
     def _learn(self) -> None:
-        """Find the ids of new words. A word of letters and a full stop or comma is made of its two parts."""
+        """Find the ids of new words. A word of plain letters and a full stop or comma is made of its two parts."""
         new, first = self._codes.new, len(self._lengths)
         letters: list[int] = []
         others: list[int] = []
@@ -100,10 +104,10 @@ class WordTokenizer:
         at = 0
         while at < len(new):
             word = new[at]
-            if word[-1:] in _TAILS and word[:-1].isalpha():
+            if word[-1:] in _TAILS and _PLAIN_WORD(word[:-1]):
                 composed.append((first + at, self._codes[word[:-1]], self._codes[word[-1]]))
             else:
-                (letters if word.isalpha() else others).append(at)
+                (letters if _PLAIN_WORD(word) else others).append(at)
             at += 1
         self._starts = np.append(self._starts, np.zeros(len(new), np.int64))
         self._lengths = np.append(self._lengths, np.zeros(len(new), np.int64))
@@ -163,41 +167,77 @@ class _Codes(dict):
         return code
 
 
-def compress(ids: np.ndarray, base: int, rounds: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(rules, symbols)``: rule ``i`` is the pair of symbols that ``base + i`` stands for."""
-    bits = 18
+def compress(ids: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(rules, symbols)``: rule ``i`` is the pair of symbols that ``base + i`` stands for.
+
+    A round replaces every pair that occurs ``min_count`` times, until none does. Where chosen pairs overlap the
+    leftmost wins, and what loses is torn apart, so only pairs with a symbol of the last round can be frequent next.
+    """
     symbols = ids.astype(np.int64)
     rules: list[np.ndarray] = []
     top = base
-    for _ in range(rounds):
-        if len(symbols) < 2:
+    places = np.arange(len(symbols) - 1)
+    while len(places) >= min_count:
+        pairs, number = _frequent((symbols[places] << 32) | symbols[places + 1], min_count)
+        if not len(pairs):
             break
-        keys = (symbols[:-1] << 32) | symbols[1:]
-        slots = ((keys * np.int64(-7046029254386353131)) >> (64 - bits)) & ((1 << bits) - 1)
-        owner = np.zeros(1 << bits, np.int64)
-        owner[slots] = keys  # of the pairs that share a slot the last one counts, the others wait for a later round
-        own = owner[slots] == keys
-        counts = np.bincount(slots[own], minlength=1 << bits)
-        chosen = np.flatnonzero(counts >= min_count)
-        if not len(chosen):
-            break
-        chosen = chosen[np.argsort(-counts[chosen], kind="stable")]
-        symbol_of = np.zeros(1 << bits, np.int64)
-        symbol_of[chosen] = top + np.arange(len(chosen))
-        hits = np.flatnonzero(own & (symbol_of[slots] > 0))
+        chosen = number >= 0
+        hits, number = places[chosen], number[chosen]
         breaks = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
         run_start = np.repeat(hits[breaks], np.diff(np.append(breaks, len(hits))))
-        hits = hits[((hits - run_start) & 1) == 0]
+        first = ((hits - run_start) & 1) == 0
+        hits, number = hits[first], number[first]
+        symbols[hits] = top + number
         keep = np.ones(len(symbols), bool)
         keep[hits + 1] = False
-        symbols[hits] = symbol_of[slots[hits]]
         symbols = symbols[keep]
-        pairs = owner[chosen]
         rules.append(np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1))
-        top += len(chosen)
+        new = hits - np.arange(len(hits))  # where the new symbols are now
+        top += len(pairs)
+        around = np.zeros(len(symbols) + 1, bool)
+        around[new] = around[new - 1] = True  # the place before the first one is the spare last one
+        places = np.flatnonzero(around[: len(symbols) - 1])
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), symbols
 
 
+_SLOT_BITS = 18
+
+
+def _frequent(keys: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that occur often enough, and for each place the number of its key among them, or -1."""
+    number = np.full(len(keys), -1, np.int64)
+    found: list[np.ndarray] = []
+    total, turn = 0, 0
+    left = np.arange(len(keys))
+    own = keys
+    while len(left) >= min_count:
+        if len(left) < 1 << 12:
+            values, at, counts = np.unique(own, return_inverse=True, return_counts=True)
+            often = counts >= min_count
+            number[left] = np.where(often, total + np.cumsum(often) - 1, -1)[at]
+            found.append(values[often])
+            break
+        # Counts by slot; of the keys that share a slot one is counted, and the others go on to the next turn.
+        slots = ((own ^ (own >> np.int64(29 + turn))) * np.int64(-7046029254386353131 + 2 * turn)) >> (64 - _SLOT_BITS)
+        slots &= (1 << _SLOT_BITS) - 1
+        counts = np.bincount(slots, minlength=1 << _SLOT_BITS)
+        maybe = np.flatnonzero(counts[slots] >= min_count)
+        left, own, slots = left[maybe], own[maybe], slots[maybe]
+        owner = np.zeros(1 << _SLOT_BITS, np.int64)
+        owner[slots] = own
+        is_owner = owner[slots] == own
+        counts = np.bincount(slots[is_owner], minlength=1 << _SLOT_BITS)
+        often = np.flatnonzero(counts >= min_count)
+        name = np.full(1 << _SLOT_BITS, -1, np.int64)
+        name[often] = total + np.arange(len(often))
+        number[left[is_owner]] = name[slots[is_owner]]
+        found.append(owner[often])
+        total += len(often)
+        left, own = left[~is_owner], own[~is_owner]
+        turn += 1
+    return (np.concatenate(found) if found else np.zeros(0, np.int64)), number
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Length that each rule expands to; the parts of a rule are tokens or earlier rules."""
     lengths = np.ones(len(rules), np.int64)
@@ -228,7 +268,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
 
 
 def pack(doc_ids: Sequence[int | None], sizes: np.ndarray, ids: np.ndarray, base: int, settings: Settings) -> bytes:
-    rules, symbols = compress(ids, base, settings.rounds, settings.min_count)
+    rules, symbols = compress(ids, base, settings.min_count)
     width = 2 if base + len(rules) <= 1 << 16 else 4
     head = struct.pack(_HEADER, _MAGIC, len(doc_ids), len(rules), len(symbols), len(ids), base, width)
     return b"".join(
@@ -328,7 +368,11 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
         if doc_ids:
             yield close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id, or without one, may be many: their texts, and for equal rows their places, part them too.
+    keys = [F.col("doc_id"), F.substring("text", 1, 64), F.xxhash64("text"), F.xxhash64(F.monotonically_increasing_id())]
+    names = ["doc_id", "__head", "__hash", "__place"]
+    keyed = docs.select("doc_id", "text").select("text", *[key.alias(name) for key, name in zip(keys, names, strict=True)])
+    ordered = keyed.repartitionByRange(*names).sortWithinPartitions(*names)
     return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=512, arrow=True), "token-shards")
 
 

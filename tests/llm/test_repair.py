@@ -33,10 +33,61 @@ def test_words_give_the_ids_of_whole_texts(tokenizer):
             assert own.tolist() == ids_of(tokenizer, text), text
 
 
+def test_random_texts_give_the_ids_of_the_library(tokenizer):
+    draw = np.random.default_rng(3)
+    kinds = ("aB.,", "aİıŉß.,'", "éñüÆœŽ.,!", "ΣσςΑ.,", "日本語。、.", "e\u0301\u0308.,", "ǅǆſK.,", "x1#$%.,<|>", "ﬁﬂªº½²")
+    others = [chr(c) for c in draw.integers(0xA0, 0x3000, 400)]
+    texts = []
+    for i in range(10_000):
+        letters = list(kinds[i % len(kinds)]) + [" ", "\n", others[draw.integers(len(others))]]
+        texts.append("".join(draw.choice(letters, draw.integers(1, 14))))
+    words = repair.WordTokenizer(PATH, 100_000)
+    wanted = tokenizer.encode_batch(texts, add_special_tokens=False)
+    for first in range(0, len(texts), 500):
+        ids, counts = words.encode(pa.array(texts[first : first + 500]))
+        for text, own, whole in zip(texts[first:], np.split(ids, np.cumsum(counts)[:-1]), wanted[first:]):
+            assert own.tolist() == whole.ids, repr(text)
+
+
+def test_compression_goes_on_until_no_pair_is_frequent():
+    draw = np.random.default_rng(2)
+    period = draw.permutation(100)
+    rules, symbols = repair.compress(np.tile(period, 5000), 200, 16)
+    assert len(symbols) < 400  # no pair occurs 16 times in what is left
+    for ids in (np.tile(period, 5000), draw.integers(0, 5, 3000), draw.zipf(1.3, 40_000) % 3000, np.zeros(5000, int), np.tile(draw.integers(0, 9, 50), 90)):
+        rules, symbols = repair.compress(ids, 5000, 16)
+        assert repair.expand(symbols, rules, 5000).tolist() == ids.tolist()
+        pairs, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+        # A pair of one symbol overlaps itself, so half of its places may be left.
+        assert (counts[pairs[0] != pairs[1]] < 16).all() and (counts < 32).all()
+    many = draw.integers(0, 1 << 17, 1 << 19)  # far more pairs than slots, some of them frequent
+    many[::8], many[1::8] = 3, 4
+    rules, symbols = repair.compress(many, 1 << 18, 16)
+    assert (repair.expand(symbols, rules, 1 << 18) == many).all() and [3, 4] in rules.tolist()
+
+
+def test_equal_rows_are_dealt_to_several_ranges(spark, docs_of, tokenizer):
+    rows = [(None, "one and the same text")] * 4000 + [(7, f"text {i}") for i in range(2000)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        with_aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        shards = repair.write_shards(docs_of(*rows), repair.Settings(PATH))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_aqe)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert shards.groupBy("range").sum("n_docs").agg({"sum(n_docs)": "max"}).first()[0] < 2000
+    found = repair.read_documents(shards).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None] * 4000 + [7] * 2000 and found[-1].start + found[-1].n_tokens == sum(
+        r.n_tokens for r in found
+    )
+
+
 @pytest.mark.parametrize("ids", [[], [7], [1, 1, 1, 1, 1], [1, 2] * 500, list(range(300)) * 4])
 def test_round_trip_and_random_access(ids):
     ids = np.array(ids, np.int32)
-    settings = repair.Settings("", min_count=2, rounds=9)
+    settings = repair.Settings("", min_count=2)
     sizes = np.array([0, len(ids) // 3, len(ids) - len(ids) // 3])
     shard = repair.Shard(repair.pack([4, None, 9], sizes, ids, 50_000, settings))
     assert shard.doc_ids == [4, None, 9] and shard.n_ids == len(ids)
