@@ -33,12 +33,16 @@ from palate.llm.common import own_names, plain_names, stage
 
 @dataclass(frozen=True)
 class Rule:
-    """``group`` of ``pattern`` must have ``least`` characters; 0 is the whole match."""
+    """``group`` of ``pattern`` must have ``least`` characters; 0 is the whole match.
+
+    ``in_sql`` spells the pattern for databases whose expressions cannot look ahead or hold on to what they took.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    in_sql: str | None = None
 
 
 #: Fixed: the rules whose spans are always reported, in this order.
@@ -52,15 +56,21 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", r"[0-9a-f]{16,}", least=16),
 )
-# A private key goes from BEGIN to END, with no other BEGIN or END between; at most 99 runs of fewer dashes may stand
-# there (headers have some). Without END it goes to the last line of base64, which starts with a run of 16 signs or more
-# after the headers. Only signs are repeated without bound, not groups, which would use up the stack.
-_KEY_BEGIN = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
-_KEY_TO_END = r"[^-]*(?:-{1,4}[^-][^-]*){0,99}-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
-_KEY_WITHOUT_END = (
-    r"(?:\r?\n[A-Za-z][A-Za-z-]*:[^\n]*){0,16}(?:\\[rn]|[\x20\t\r\n]){0,16}[A-Za-z0-9+/]{16,}={0,2}"
+# A private key goes from BEGIN to END, with no other run of five dashes between. Without END it goes to the last line of
+# base64, which starts with a run of 16 signs or more after the headers. Groups that repeat without bound hold on to what
+# they took, as they would use up the stack otherwise.
+_KEY_KIND = r"[A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+_KEY_LINES = (
+    r"[A-Za-z0-9+/]{16,}={0,2}"
     r"(?:(?:\\[rn]|[\r\n])[A-Za-z0-9+/=\r\n\\]*(?:[A-Za-z0-9+/=](?:\r|(?m:$))|[A-Za-z0-9+/=]{16}))?"
 )
+_KEY_HEADERS, _KEY_SPACE = r"(?:\r?\n[A-Za-z][A-Za-z-]*:[^\n]*)*", r"(?:\\[rn]|[\x20\t\r\n])*"
+
+
+def _private_key(body: str, hold: str) -> str:
+    without_end = f"{_KEY_HEADERS}{hold}{_KEY_SPACE}{hold}{_KEY_LINES}"
+    return f"-----BEGIN {_KEY_KIND}(?:{body}-----END {_KEY_KIND}|{without_end})?"
+
 
 #: Fixed: further public token formats.
 MORE = (
@@ -68,7 +78,11 @@ MORE = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("private_key", _KEY_BEGIN + f"(?:{_KEY_TO_END}|{_KEY_WITHOUT_END})?"),
+    Rule(
+        "private_key",
+        _private_key(r"(?:(?!-----)[\s\S])*+", "+"),
+        in_sql=_private_key(r"[^-]*(?:-{1,4}[^-][^-]*)*", ""),
+    ),
 )
 
 _MOST_STRINGS = 64
@@ -179,10 +193,14 @@ def document_key(key: str = "doc_id") -> Column:
 def postings(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``trigram, key``: the index, of the trigrams that the rules' clauses name."""
     wanted = sorted(set().union(*(clause for rule in rules for clause in trigram_clauses(rule.pattern))))
-    lowered = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(t)), F.lit(t)) for t in wanted]))
+
+    def held(lowered: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(t)), F.lit(t)) for t in wanted]))
+
+    # Bound as a variable, the text is put in lower case once and not once per trigram.
+    found = F.element_at(F.transform(F.array(F.lower("text")), held), 1)
     return docs.where(F.col("text").isNotNull()).select(
-        F.explode(held.cast("array<string>")).alias("trigram"), document_key().alias("key")
+        F.explode(found.cast("array<string>")).alias("trigram"), document_key().alias("key")
     )
 
 
@@ -300,7 +318,7 @@ def oracle_sql() -> str:
     rules = BASE + MORE
     parts = []
     for place, rule in enumerate(rules):
-        pattern = f"(?s)(.*?)({rule.pattern})".replace("'", "''")
+        pattern = f"(?s)(.*?)({rule.in_sql or rule.pattern})".replace("'", "''")
         pieces = ", ".join(
             f"unnest(regexp_extract_all(text, '{pattern}', {group})) AS {name}"
             for group, name in ((1, "gap"), (2, "hit"), (2 + rule.group, "secret"))

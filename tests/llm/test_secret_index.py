@@ -74,6 +74,10 @@ KEYS = [
     f"-----BEGIN PRIVATE KEY-----\n{KEY}", f"-----BEGIN PRIVATE KEY-----\n{LINE}\nabcd", f"-----BEGIN PRIVATE KEY-----\n{LINE}",
     f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{KEY}", "-----BEGIN PRIVATE KEY-----\n" + (LINE + "\n") * 5000 + LINE,
     "-----BEGIN PRIVATE KEY-----\n" + (LINE + "\n") * 5000 + "-----END PRIVATE KEY-----",
+    "-----BEGIN PRIVATE KEY-----\n" + f"{LINE}\n--\n" * 150 + "-----END PRIVATE KEY-----",
+    "-----BEGIN PRIVATE KEY-----\n" + "\U0001f511-é " * 20_000 + "-----END PRIVATE KEY-----",
+    "-----BEGIN PRIVATE KEY-----" + "\nSome-Header: value" * 40 + f"\n\n{KEY}",
+    "-----BEGIN " + "LONG KIND OF " * 9 + f"PRIVATE KEY-----{chr(10) * 50}{KEY}",
 ]
 
 
@@ -93,6 +97,6 @@ def test_sql_finds_the_same_private_keys():
     duckdb = pytest.importorskip("duckdb")
     db = duckdb.connect()
     db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    db.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(KEYS[:10])))
+    db.executemany("INSERT INTO documents VALUES (?, ?)", [(i, key) for i, key in enumerate(KEYS) if len(key) < 100_000])
     for doc_id, *_, spans in db.execute(si.oracle_sql()).fetchall():
         assert spans == expected(KEYS[doc_id])[-1]
