@@ -220,19 +220,29 @@ class Learner:
         return best
 
 
+def _smallest(hashed: DataFrame, n: int) -> DataFrame:
+    """Rows that hold the ``n`` smallest of ``order``, and not many more, so that no task sends ``n`` rows of its own."""
+    total = hashed.count()
+    share = 1.25 * n / max(total, 1)
+    while share < 1:
+        few = hashed.where(F.col("order") < F.lit(int((share - 0.5) * 2**64)))
+        if few.count() >= n:
+            return few
+        share *= 2
+    return hashed
+
+
 def learn(counts: DataFrame, labels: DataFrame, learner: Learner) -> list[Rule]:
     """The decision list for ``labels(doc_id, quality)``, 0 being low quality, behind the base rules."""
     known = labels.where(F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 0).alias("low"))
     own = features()
-    rows = (
-        counts.where(~base_failed())
-        .join(known, "doc_id")
-        .select("low", *(column.alias(name) for name, column in own.items()), F.xxhash64("doc_id").alias("order"))
-        .orderBy("order", "low", *own)
-        .limit(learner.max_labelled)
-        .drop("order")
-        .toPandas()
+    labelled = counts.where(~base_failed()).join(known, "doc_id")
+    hashed = stage(
+        labelled.select("low", *(column.alias(name) for name, column in own.items()), F.xxhash64("doc_id").alias("order")),
+        "labelled-counts",
     )
+    rows = _smallest(hashed, learner.max_labelled).orderBy("order", "low", *own).limit(learner.max_labelled)
+    rows = rows.drop("order").toPandas()
     if rows["low"].nunique() < 2:
         return []
     return learner.fit(list(own), rows[list(own)].to_numpy(float), rows["low"].to_numpy(bool))

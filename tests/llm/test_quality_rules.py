@@ -77,3 +77,15 @@ def test_labels_with_nulls_and_empty_tables(docs_of, spark):
     labels = spark.createDataFrame([(1, None), (2, 0), (2, 1), (99, 0), (None, 0)], "doc_id long, quality int")
     assert all(r.kept for r in judge(docs, labels).collect())
     assert measure(docs.limit(0)).count() == 0
+
+
+def test_a_bounded_part_of_the_labelled_rows_is_the_same_as_the_first_of_all(spark):
+    from palate.llm.quality_rules import _smallest
+
+    hashed = spark.range(20_000).select("id", F.xxhash64("id").alias("order"))
+    few = _smallest(hashed, 500)
+    assert 500 <= few.count() < 800
+    expected = hashed.orderBy("order").limit(500).collect()
+    assert few.orderBy("order").limit(500).collect() == expected
+    hot = spark.range(3000).select("id", F.when(F.col("id") < 1000, 0).otherwise(F.xxhash64("id")).cast("long").alias("order"))
+    assert _smallest(hot, 2900).count() >= 2900 and _smallest(hot, 5000).count() == 3000
