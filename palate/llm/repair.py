@@ -373,7 +373,7 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
     names = ["doc_id", "__head", "__hash", "__place"]
     keyed = docs.select("doc_id", "text").select("text", *[key.alias(name) for key, name in zip(keys, names, strict=True)])
     ordered = keyed.repartitionByRange(*names).sortWithinPartitions(*names)
-    return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=512, arrow=True), "token-shards")
+    return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=2048, arrow=True), "token-shards")
 
 
 _DOCUMENTS = pa.schema(
