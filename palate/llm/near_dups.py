@@ -8,14 +8,16 @@ and the ``k`` smallest of a set are its sketch. Documents with equal sets are on
   stays only in its rarest lists, all but ``least_shared - 1``, and similar sets still meet in one. That empties the
   lists of values that half the corpus retains. Sets no larger than their sketch need no such chance.
 * **Stars.** Every list tests its members against one of them, which is linear in the list. Links found so far join
-  classes to components, whose members need no test among each other; a second round takes its pivot from the
-  component that is most frequent in the list.
-* **The rest, exactly.** In lists that still hold several components, members outside the most frequent one are
-  sent to every block of members of similar size with which they share a list. Blocks have a bounded size.
+  classes to components, whose members need no test among each other; further rounds take their pivots from the
+  component that is most frequent in the list, as long as they still link.
+* **The rest, exactly.** Lists that still hold several components name members outside the most frequent one. These
+  are put into blocks of similar size, as are the other members, and blocks that share a list are compared: one row per
+  pair of blocks, so rows do not multiply with the members that are alike but not linked.
 * **Tests.** Sizes, then the estimate from the sketch of the union, then the Jaccard similarity of the full sets,
   which are computed anew from the texts concerned. Links inside a component are not repeated.
 
-Hot lists and groups are pre-aggregated, blocked or joined by splittable joins; nothing is collected but counts.
+Hot lists and groups are pre-aggregated or blocked; where rows meet an aggregate of themselves it is staged first, so
+that adaptive execution may split a hot value. Nothing is collected but counts.
 
 Defined results: a text that is null or has no word has no shingles and its own component; rows with equal
 ``doc_id`` are one document; a row without ``doc_id`` has no component and is kept; other columns are not read.
@@ -38,6 +40,10 @@ from palate.llm.components import connected_components
 from palate.sources.scratch import staged
 
 
+#: Rounds of stars go on while so many of their tests link something.
+LEAST_LINKED = 0.1
+
+
 @dataclass(frozen=True)
 class Settings:
     """Sets are linked from ``percent`` similarity on; shingles have ``words`` words."""
@@ -46,8 +52,9 @@ class Settings:
     percent: int = 80
     k: int = 48
     least_shared: int = 20
-    rounds: int = 2
+    rounds: int = 12
     block: int = 256
+    block_shingles: int = 1 << 17
     queries: int = 1024
     broadcast_rows: int = 500_000
 
@@ -148,7 +155,7 @@ def inverted_lists(classes: DataFrame, settings: Settings) -> DataFrame:
         settings.least_shared
     )
     entries = classes.select("id", "n", (size - need + 1).alias("keep"), size.alias("k"), F.explode("sketch").alias("value"))
-    shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = stage(entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-values")
     own = Window.partitionBy("id", "n")
     return (
         entries.join(shared, "value")
@@ -294,11 +301,11 @@ def _links_in_block(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _verify(jobs: DataFrame, docs: DataFrame, classes: DataFrame, components: DataFrame | None, settings: Settings):
-    """``a, b`` that are similar, as far as they join components, for jobs of ``block, id, others``."""
-    jobs = stage(jobs, "jobs")
-    wanted = classes.select("id", "h1").join(jobs.select("id").distinct(), "id")
-    wanted = stage(wanted.select(F.col("id").alias("__id"), F.col("h1").alias("__h1")), "wanted")
+def _sets(ids: DataFrame, docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """``id, values``: the full sets of ``ids``, computed anew from their texts."""
+    wanted = stage(
+        classes.select("id", "h1").join(ids, "id").select(F.col("id").alias("__id"), F.col("h1").alias("__h1")), "wanted"
+    )
     if wanted.count() <= settings.broadcast_rows:
         wanted = F.broadcast(wanted)
     texts = docs.join(wanted, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "__h1")
@@ -315,7 +322,13 @@ def _verify(jobs: DataFrame, docs: DataFrame, classes: DataFrame, components: Da
             ]
             yield {"id": [f[0] for f in found], "values": [f[1] for f in found]}
 
-    sets = map_batches(texts, ["doc_id", "text", "__h1"], run, schema, rows=256)
+    return map_batches(texts, ["doc_id", "text", "__h1"], run, schema, rows=256)
+
+
+def _verify(jobs: DataFrame, docs: DataFrame, classes: DataFrame, components: DataFrame | None, settings: Settings):
+    """``a, b`` that are similar, as far as they join components, for jobs of ``block, id, others``."""
+    jobs = stage(jobs, "jobs")
+    sets = _sets(jobs.select("id").distinct(), docs, classes, settings)
     rows = _with_component(_salted(jobs, settings), components).join(sets, "id")
     percent = settings.percent
     found = rows.groupBy("block", "part").applyInPandas(lambda f: _links_in_block(f, percent), "a long, b long")
@@ -328,78 +341,145 @@ def _with_component(rows: DataFrame, components: DataFrame | None) -> DataFrame:
     return rows.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def _close_in_block(frame: pd.DataFrame, settings: Settings) -> pd.DataFrame:
-    """Queries with the members of other components whose sizes and sketches are close, and these members."""
-    members, queries = frame[~frame["is_query"]], frame[frame["is_query"]]
-    k = settings.k
-    width = max(map(len, members["sketch"]), default=0)
-    sketches = np.full((len(members), max(width, 1)), np.iinfo(np.int64).max)
-    for i, sketch in enumerate(members["sketch"]):
-        sketches[i, : len(sketch)] = sketch
-    lengths = np.array(list(map(len, members["sketch"])))
+def _close(xs: list[dict], ys: list[dict] | None, settings: Settings) -> tuple[list[int], list[int]]:
+    """Members of ``xs`` outside their lists' main components and those of ``ys`` (None: of ``xs``) that come close.
+
+    Close in size and sketch, and of another component; ids in pairs.
+    """
+    k, members = settings.k, xs if ys is None else ys
+    sketches = np.full((len(members), max((len(m["sketch"]) for m in members), default=1)), np.iinfo(np.int64).max)
+    for i, member in enumerate(members):
+        sketches[i, : len(member["sketch"])] = member["sketch"]
+    lengths = np.array([len(m["sketch"]) for m in members])
     valid = np.arange(sketches.shape[1]) < lengths[:, None]
-    ids, sizes, components = (members[c].to_numpy() for c in ("id", "n", "component"))
-    used = np.zeros(len(members), bool)
-    out = []
-    for query in queries.itertuples():
-        own = np.asarray(query.sketch)
+    ids, sizes, components = (np.array([m[c] for m in members], np.int64) for c in ("id", "n", "component"))
+    left, right = [], []
+    for place, query in enumerate(xs):
+        if not query["outside"]:
+            continue
+        own = np.asarray(query["sketch"])
         at = np.searchsorted(own, sketches)
         hit = (own[at.clip(max=len(own) - 1)] == sketches) & valid
         before = np.cumsum(hit, axis=1) - hit
         common = (hit & (at + np.arange(sketches.shape[1]) - before < k)).sum(axis=1)
         union = np.minimum(k, lengths + len(own) - hit.sum(axis=1))
-        close = (components != query.component) & (common * k >= union * settings.least_shared)
-        close &= np.minimum(sizes, query.n) * 100 >= np.maximum(sizes, query.n) * settings.percent
-        if close.any():
-            used |= close
-            out.append((query.id, np.unique(ids[close])))
-    block = frame["block"].iloc[0]
-    rows = [(block, own, others) for own, others in out] + [(block, own, None) for own in np.unique(ids[used])]
-    return pd.DataFrame(rows, columns=["block", "id", "others"])
+        close = (components != query["component"]) & (common * k >= union * settings.least_shared)
+        close &= np.minimum(sizes, query["n"]) * 100 >= np.maximum(sizes, query["n"]) * settings.percent
+        if ys is None:
+            close[: place + 1] = False
+        near = ids[close].tolist()
+        left += [query["id"]] * len(near)
+        right += near
+    return left, right
 
 
-def _left_over(lists: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Jobs for all pairs of different components that still share one of ``lists(value, id, n, component)``.
+_CLOSE = pa.schema(
+    [("x", pa.int64()), ("y", pa.int64()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))]
+)
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_OUTSIDE = 1 << 32  # set in the number of a block of members outside main components; its size class is above
 
-    Blocks hold sets of one size class; similar sets are in the same or in neighbouring classes.
+
+def _mixed_blocks(entries: DataFrame, settings: Settings) -> DataFrame | None:
+    """``id, n, component, outside, block`` of the members of mixed lists; none if there are none.
+
+    Blocks hold members of one size class, a bounded number of them and of their shingles.
     """
+    size_class = F.floor(F.log("n") / math.log(100 / settings.percent)).cast("long")
+    members = entries.groupBy("id", "n", "component").agg(F.max("outside").alias("outside"))
+    kind = (size_class * 2 + F.col("outside").cast("long")).alias("kind")
+    members = stage(members.select("*", kind), "mixed-members")
+    sizes = members.groupBy("kind").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("shingles")).collect()
+    if not sizes:
+        return None
+    parts = {
+        r["kind"]: max(math.ceil(r["count"] / settings.block), math.ceil(r["shingles"] / settings.block_shingles))
+        for r in sizes
+    }
+    of_kind = F.create_map(*[F.lit(x) for own in parts.items() for x in own])
+    block = F.col("kind") * _OUTSIDE + F.pmod(F.xxhash64("id"), of_kind[F.col("kind")])
+    return members.select("id", "n", "component", "outside", block.alias("block"))
+
+
+def _block_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
+    """``x, y``: a block of outside members and one that shares a list with it, of similar size; each pair once."""
+    held = members.select("id", "block")
+    is_outside = F.col("block").bitwiseAND(F.lit(_OUTSIDE)) != 0
+    lists = entries.select("value", "id").join(held, "id").groupBy("value").agg(
+        F.array_sort(F.collect_set(F.when(is_outside, F.col("block")))).alias("outside"),
+        F.array_sort(F.collect_set(F.when(~is_outside, F.col("block")))).alias("others"),
+    )
+    # Lists of one group mostly lead to the same blocks.
+    lists = lists.select("outside", "others").distinct()
+    pairs = lists.select(F.explode("outside").alias("x"), F.concat("outside", "others").alias("all"))
+    pairs = pairs.select("x", F.explode("all").alias("y"))
+    classes = [F.shiftright(F.col(c), 33) for c in ("x", "y")]
+    both_outside = F.col("y").bitwiseAND(F.lit(_OUTSIDE)) != 0
+    pairs = pairs.where(F.abs(classes[0] - classes[1]) <= 1).where(~both_outside | (F.col("x") <= F.col("y")))
+    return stage(pairs.distinct(), "block-pairs")
+
+
+def _meet(pairs: DataFrame, blocks: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of pairs of blocks with what either holds, as ``held_x`` and ``held_y``; a block alone has no second."""
+    x, y = (blocks.select(F.col("block").alias(c), F.col("held").alias(f"held_{c}")) for c in ("x", "y"))
+    other = F.when(F.col("x") != F.col("y"), F.col("y"))
+    joined = pairs.join(x, "x").withColumn("__y", other).join(y.withColumnRenamed("y", "__y"), "__y", "left")
+    return joined.select(*columns, "held_x", "held_y")
+
+
+def _left_over(
+    lists: DataFrame, docs: DataFrame, classes: DataFrame, settings: Settings
+) -> DataFrame | None:
+    """Links between members of different components that still share one of ``lists(value, id, n, component)``."""
     per_component = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("members"))
     mixed = per_component.groupBy("value").agg(
         F.max(F.struct("members", "component")).alias("top"), F.count(F.lit(1)).alias("components")
     )
-    mixed = mixed.where("components > 1").select("value", F.col("top.component").alias("main"))
-    size_class = F.floor(F.log("n") / math.log(100 / settings.percent)).cast("int")
-    lists = stage(lists.join(mixed, "value").withColumn("class", size_class), "mixed-lists")
-    members = stage(lists.select("id", "component", "class").distinct(), "mixed-members")
-    sizes = {row["class"]: row["count"] for row in members.groupBy("class").count().collect()}
-    if not sizes:
-        return lists.sparkSession.createDataFrame([], _JOB)
-    blocks = F.create_map(*[F.lit(x) for own, n in sizes.items() for x in (own, math.ceil(n / settings.block))])
-    block = (F.col("class").cast("long") * (1 << 32) + F.pmod(F.xxhash64("id"), blocks[F.col("class")])).alias("block")
-    near = F.explode(F.array(*[F.col("class") + i for i in (-1, 0, 1)])).alias("class")
-    # Lists of one group mostly lead to the same blocks, so a list hands them on as arrays of bounded length, and a
-    # query meets each block once.
-    chunk = F.floor(F.pmod(F.col("block"), F.lit(1 << 32)) / 1024).alias("chunk")
-    places = lists.select("value", "class", block).groupBy("value", "class", chunk)
-    places = places.agg(F.collect_set("block").alias("blocks"))
-    routes = (
-        lists.where("component <> main")
-        .select("value", "id", "component", near)
-        .join(places, ["value", "class"])
-        .groupBy("id", "component", "class", "chunk")
-        .agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
-        .select(F.explode("blocks").alias("block"), "id", "component")
-        .withColumn("is_query", F.lit(True))
-    )
-    rows = routes.unionByName(members.select(block, "id", "component", F.lit(False).alias("is_query")))
-    rows = stage(rows.join(classes.select("id", "n", "sketch"), "id"), "mixed-rows")
-    most = rows.where("is_query").groupBy("block").count().agg(F.max("count")).first()[0] or 0
-    parts = max(1, math.ceil(most / settings.queries))
-    own = F.array(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
-    rows = rows.withColumn("part", F.explode(F.when(F.col("is_query"), own).otherwise(every)))
-    jobs = stage(rows.groupBy("block", "part").applyInPandas(lambda f: _close_in_block(f, settings), _JOB), "close")
-    return jobs.where("others is not null").unionByName(jobs.where("others is null").distinct())
+    mixed = stage(mixed.where("components > 1").select("value", F.col("top.component").alias("main")), "mixed-values")
+    entries = lists.join(mixed, "value").withColumn("outside", F.col("component") != F.col("main"))
+    entries = stage(entries.select("value", "id", "n", "component", "outside"), "mixed-lists")
+    members = _mixed_blocks(entries, settings)
+    if members is None:
+        return None
+    pairs = _block_pairs(entries, members)
+    sketched = members.join(classes.select("id", "sketch"), "id").groupBy("block")
+    held = F.collect_list(F.struct("id", "n", "component", "outside", "sketch")).alias("held")
+    blocks = stage(sketched.agg(held), "sketch-blocks")
+
+    def compare(parts: Iterator[dict[str, list]]) -> Iterator[dict]:
+        for part in parts:
+            for x, y, xs, ys in zip(*(part[c] for c in ("x", "y", "held_x", "held_y")), strict=True):
+                left, right = _close(xs, ys, settings)
+                if left:
+                    yield {"x": [x], "y": [y], "left": [left], "right": [right]}
+
+    columns = ["x", "y"]
+    close = map_batches(_meet(pairs, blocks, columns), [*columns, "held_x", "held_y"], compare, _CLOSE, rows=8)
+    close = stage(close, "close-blocks")
+    concerned = close.select(F.explode(F.array("x", "y")).alias("block")).distinct()
+    wanted = stage(members.join(concerned, "block").select("id", "component", "block"), "close-members")
+    sets = _sets(wanted.select("id"), docs, classes, settings).groupBy("id").agg(F.first("values").alias("values"))
+    packed = wanted.join(sets, "id").groupBy("block")
+    blocks = stage(packed.agg(F.collect_list(F.struct("id", "component", "values")).alias("held")), "set-blocks")
+    percent = settings.percent
+
+    def confirm(parts: Iterator[dict[str, list]]) -> Iterator[dict]:
+        for part in parts:
+            for left, right, xs, ys in zip(*(part[c] for c in ("left", "right", "held_x", "held_y")), strict=True):
+                own = {m["id"]: m for m in [*xs, *(ys or [])]}
+                others: dict[int, list[int]] = {}
+                for a, b in zip(left, right, strict=True):
+                    others.setdefault(a, []).append(b)
+                rows = [(own[b]["id"], own[b]["component"], None, own[b]["values"]) for b in sorted(set(right))]
+                rows += [(a, own[a]["component"], near, own[a]["values"]) for a, near in others.items()]
+                frame = pd.DataFrame(rows, columns=["id", "component", "others", "values"])
+                links = _links_in_block(frame, percent)
+                if len(links):
+                    yield {"a": links["a"].tolist(), "b": links["b"].tolist()}
+
+    columns = ["x", "y", "left", "right"]
+    links = map_batches(_meet(close, blocks, columns), [*columns, "held_x", "held_y"], confirm, _LINKS, rows=4)
+    return stage(links, "found-links")
 
 
 def classes_of(found: DataFrame) -> DataFrame:
@@ -436,9 +516,11 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         # A pivot has met all of its list.
         lists = lists.join(pivots, ["value", "id"], "left_anti")
         lists = stage(lists, "lists-left")
-    jobs = _left_over(_with_component(lists, joined), classes, settings)
-    links = links.unionByName(_verify(jobs, docs, classes, joined, settings))
-    joined = stage(connected_components(links), "components")
+        if turn and new.count() < LEAST_LINKED * pairs.count():
+            break
+    more = _left_over(_with_component(lists, joined), docs, classes, settings)
+    if more is not None:
+        joined = stage(connected_components(links.unionByName(more)), "components")
     named = classes.select("n", "h1", "h2", "id").join(joined, "id", "left")
     named = named.select("n", "h1", "h2", F.coalesce("component", "id").alias("component"))
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))

@@ -99,3 +99,35 @@ def test_components_of_chains_and_stars(spark):
     found = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_of_alike_but_unlinked_documents_grow_with_them(docs_of, monkeypatch):
+    """However many documents share half of their words, no step makes more than a few rows for each."""
+    from palate.llm import near_dups
+
+    draw = random.Random(6)
+    template = [f"t{i}" for i in range(80)]
+    rows = {}
+    stage = near_dups.stage
+
+    def counted(df, label):
+        found = stage(df, label)
+        rows[label] = max(rows.get(label, 0), found.count())
+        return found
+
+    monkeypatch.setattr(near_dups, "stage", counted)
+    seen = []
+    for n in (200, 400, 800):
+        rows.clear()
+        texts = []
+        for _ in range(n):
+            own = list(template)
+            for at in draw.sample(range(80), 14):
+                own[at] = f"w{draw.randrange(10**6)}"
+            texts.append(" ".join(own))
+        found = components(docs_of(*enumerate(texts)), Settings(words=2, block=64))
+        assert found.where("kept").count() == n
+        assert rows["mixed-members"] > 0.9 * n
+        seen.append({label: count / n for label, count in rows.items()})
+    for label, per_document in seen[-1].items():
+        assert per_document <= 1.6 * seen[0].get(label, 0) + 1, (label, seen)
