@@ -19,6 +19,7 @@ uint32 right, uint64 expansion length; the symbols.
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 import zlib
@@ -37,10 +38,13 @@ from palate.llm.common import map_batches, stage
 _MAGIC = b"RPG1"
 _HEADER = "<4s5QB"
 _SPLIT = "<|startoftext|>"
-_TAILS = frozenset(".,")
+#: Words that are encoded as one string.
+_PIECE = 500
 #: Letters that stay one letter in lower case; words of them become the same ids wherever they stand.
 _PLAIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
-_PLAIN_WORD = re.compile(f"[{_PLAIN}]+").fullmatch
+#: A word of such letters, and signs behind it that are one piece of their own; quotes and what special tokens are made
+#: of are left to the library.
+_PARTS = re.compile(rf"([{_PLAIN}]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{{}}~]+)?").fullmatch
 _PLAIN_WORDS = re.compile(f"[{_PLAIN} ]+").fullmatch
 
 
@@ -78,6 +82,13 @@ class WordTokenizer:
         self._starts = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.int32)
 
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of ASCII letters, which no rule splits or rewrites: merges are all there is to do."""
+        tokenize = self._tokenizer.model.tokenize
+        found = [[token.id for token in tokenize(word)] for word in map(str.lower, words)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+
     def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and how many each has."""
         if _PLAIN_WORDS(" ".join(words)) and "" not in words:
@@ -93,27 +104,36 @@ class WordTokenizer:
         return ids[~is_split], np.diff(np.flatnonzero(np.append(is_split, True)), prepend=-1) - 1
 
     def _joined(self, by: str, words: list[str]) -> np.ndarray:
-        return np.array(self._tokenizer.encode_batch_fast([by.join(words)], add_special_tokens=False)[0].ids, np.int32)
+        # One long string costs more than the same in pieces. A piece ends with what joins it to the next.
+        pieces = [words[at : at + _PIECE] for at in range(0, len(words), _PIECE)]
+        texts = [by.join(piece) + by for piece in pieces[:-1]] + [by.join(piece) for piece in pieces[-1:]]
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return np.concatenate([np.array(e.ids, np.int32) for e in found])
 
     def _learn(self) -> None:
-        """Find the ids of new words. A word of plain letters and a full stop or comma is made of its two parts."""
+        """Find the ids of new words. A word of plain letters with signs behind it is made of its two parts."""
         new, first = self._codes.new, len(self._lengths)
         letters: list[int] = []
+        more_letters: list[int] = []
         others: list[int] = []
         composed: list[tuple[int, int, int]] = []
         at = 0
         while at < len(new):
             word = new[at]
-            if word[-1:] in _TAILS and _PLAIN_WORD(word[:-1]):
-                composed.append((first + at, self._codes[word[:-1]], self._codes[word[-1]]))
+            parts = _PARTS(word)
+            if parts is None:
+                others.append(at)
+            elif parts[2]:
+                composed.append((first + at, self._codes[parts[1]], self._codes[parts[2]]))
             else:
-                (letters if _PLAIN_WORD(word) else others).append(at)
+                (letters if word.isascii() else more_letters).append(at)
             at += 1
         self._starts = np.append(self._starts, np.zeros(len(new), np.int64))
         self._lengths = np.append(self._lengths, np.zeros(len(new), np.int64))
-        for group in (letters, others):
+        encoders = (self._encode_letters, self._encode_all, self._encode_all)
+        for group, encode in zip((letters, more_letters, others), encoders, strict=True):
             if group:
-                ids, lengths = self._encode_all([new[i] for i in group])
+                ids, lengths = encode([new[i] for i in group])
                 self._add(np.array(group) + first, ids, lengths)
         if composed:
             codes, *parts = np.array(composed).T

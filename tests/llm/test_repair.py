@@ -35,7 +35,7 @@ def test_words_give_the_ids_of_whole_texts(tokenizer):
 
 def test_random_texts_give_the_ids_of_the_library(tokenizer):
     draw = np.random.default_rng(3)
-    kinds = ("aB.,", "aİıŉß.,'", "éñüÆœŽ.,!", "ΣσςΑ.,", "日本語。、.", "e\u0301\u0308.,", "ǅǆſK.,", "x1#$%.,<|>", "ﬁﬂªº½²")
+    kinds = ("aB.,", "aİıŉß.,'", "éñüÆœŽ.,!", "ΣσςΑ.,", "日本語。、.", "e\u0301\u0308.,", "ǅǆſK.,", "x1#$%.,<|>", "ﬁﬂªº½²", "abS'.,", "tS'&-###", "é[]{}`~\\^_@?", "ü:;=+*()\"/!")
     others = [chr(c) for c in draw.integers(0xA0, 0x3000, 400)]
     texts = []
     for i in range(10_000):
