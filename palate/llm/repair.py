@@ -85,9 +85,12 @@ class WordTokenizer:
     def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words of ASCII letters, which no rule splits or rewrites: merges are all there is to do."""
         tokenize = self._tokenizer.model.tokenize
-        found = [[token.id for token in tokenize(word)] for word in map(str.lower, words)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+        ids, lengths = [], []
+        for at in range(0, len(words), 10 * _PIECE):
+            found = [[token.id for token in tokenize(word)] for word in map(str.lower, words[at : at + 10 * _PIECE])]
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths[-1].sum())))
+        return np.concatenate(ids), np.concatenate(lengths)
 
     def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and how many each has."""
@@ -393,7 +396,7 @@ def write_shards(docs: DataFrame, settings: Settings) -> DataFrame:
     names = ["doc_id", "__head", "__hash", "__place"]
     keyed = docs.select("doc_id", "text").select("text", *[key.alias(name) for key, name in zip(keys, names, strict=True)])
     ordered = keyed.repartitionByRange(*names).sortWithinPartitions(*names)
-    return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=2048, arrow=True), "token-shards")
+    return stage(map_batches(ordered, ["doc_id", "text"], run, _SHARDS, rows=512, arrow=True), "token-shards")
 
 
 _DOCUMENTS = pa.schema(
