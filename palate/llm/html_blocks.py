@@ -50,12 +50,16 @@ _CONTAINER = frozenset(
     "article aside blockquote details dialog div dl fieldset figure footer form header main menu nav ol section "
     "table td ul".split()
 )
+#: Blocks without blocks inside, whose own names count for their text alone.
+_LEAF = frozenset("address caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre summary".split())
 _CONTENT_TAGS = frozenset({"article", "main"})
+#: A header that names one of these is that of the article.
+_ARTICLE_NAMES = frozenset("article entry post story".split())
 _FURNITURE_TAGS = frozenset({"nav", "aside", "footer", "form", "menu", "dialog", "header"})
 #: What an element of these names holds is never content, whatever is inside.
 _STRICT_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs aside footer comment comments disqus reply replies respond "
-    "related recommended".split()
+    "related recommended advert adverts advertisement sponsored cookie cookies consent gdpr".split()
 )
 #: A name with one of these parts tells the state of a layout or the topic of a post, not what the element is.
 _STATE_NAMES = frozenset(
@@ -97,6 +101,19 @@ LABELLED = (
     (-0.5, 90, 0.7, 3, 1.0, 30, 0.9, 0), (-0.5, 60, 0.5, 5, 0.0, 4, 1.0, 0), (-0.5, 5, 0.0, 5, 0.0, 5, 0.0, 0),
     (-0.5, 62, 0.0, 8, 0.0, 65, 0.0, 1), (-0.5, 80, 0.05, 62, 0.0, 5, 0.0, 1), (-0.5, 120, 0.1, 3, 1.0, 3, 1.0, 1),
     (-0.5, 150, 0.0, 30, 0.0, 90, 0.0, 1), (-0.5, 70, 0.2, 0, 0.0, 0, 0.0, 1), (-0.5, 95, 0.0, 80, 0.0, 70, 0.0, 1),
+    (1, 2, 0.0, 2, 0.0, 14, 0.0, 1), (1, 2, 0.0, 9, 0.3, 2, 0.0, 1), (1, 3, 0.0, 2, 0.0, 3, 1.0, 1),
+    (1, 2, 0.0, 1, 1.0, 2, 0.0, 1), (1, 5, 0.0, 2, 0.0, 8, 0.4, 1), (1, 4, 0.0, 5, 0.0, 4, 0.0, 1),
+    (1, 2, 0.0, 0, 0.0, 0, 0.0, 1), (1, 6, 0.5, 3, 1.0, 5, 0.0, 1), (1, 14, 0.0, 2, 1.0, 9, 0.0, 1),
+    (1, 3, 0.0, 14, 0.0, 12, 0.0, 1), (1, 11, 0.9, 20, 0.0, 22, 0.0, 1), (1, 2, 1.0, 12, 0.0, 0, 0.0, 1),
+    (-1, 26, 0.0, 0, 0.0, 0, 0.0, 0), (-1, 18, 0.0, 20, 0.0, 22, 0.0, 0), (-1, 60, 0.0, 3, 0.0, 1, 0.0, 0),
+    (-1, 110, 0.0, 0, 0.0, 30, 0.0, 0), (-1, 15, 0.0, 15, 0.0, 15, 0.0, 0), (-1, 33, 0.1, 26, 0.0, 26, 0.0, 0),
+    (-0.5, 26, 0.0, 0, 0.0, 0, 0.0, 0), (-0.5, 26, 0.0, 26, 0.0, 26, 0.0, 0), (-0.5, 16, 0.0, 14, 0.0, 12, 0.0, 0),
+    (0, 1, 0.0, 0, 0.0, 0, 0.0, 0), (0, 4, 0.0, 0, 0.0, 0, 0.0, 0), (0, 2, 0.0, 50, 0.0, 0, 0.0, 0),
+    (0, 4, 0.0, 26, 0.0, 0, 0.0, 0), (0, 3, 0.0, 15, 0.0, 0, 0.0, 0), (0, 6, 0.0, 90, 0.0, 0, 0.0, 0),
+    (0, 26, 0.0, 0, 0.0, 0, 0.0, 1), (0, 12, 0.0, 0, 0.0, 0, 0.0, 1), (0, 26, 0.0, 3, 0.0, 1, 0.0, 1),
+    (0, 26, 0.0, 1, 0.0, 0, 0.0, 1), (0, 3, 0.0, 0, 0.0, 26, 0.0, 1), (0, 1, 0.0, 26, 0.0, 1, 0.0, 1),
+    (0, 1, 0.0, 1, 0.0, 26, 0.0, 1), (0, 14, 0.0, 16, 0.0, 12, 0.0, 1), (0, 16, 0.0, 12, 0.0, 14, 0.0, 1),
+    (0, 12, 0.0, 14, 0.0, 0, 0.0, 1), (0, 13, 0.0, 0, 0.0, 15, 0.0, 1), (0, 20, 0.1, 18, 0.0, 22, 0.0, 1),
     (0, 2, 0.0, 4, 0.0, 5, 0.0, 0), (0, 12, 0.6, 8, 0.4, 9, 1.0, 0), (0, 40, 0.7, 4, 1.0, 30, 0.9, 0),
 )
 
@@ -118,7 +135,7 @@ class Tree:
         return node.keep
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 9) -> Tree:
     """A binary tree by Gini impurity; of equal splits the first feature and the lowest threshold win."""
     leaf = Tree(-1, keep=bool(labels.mean() >= 0.5))
     if depth == 0 or labels.min() == labels.max():
@@ -140,7 +157,8 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6) -> Tree:
 
 
 def train(labelled: tuple = LABELLED) -> Tree:
-    data = np.array(labelled, float)
+    """Blocks in elements that name themselves are the most common by far, so their rows count four times."""
+    data = np.array([row for row in labelled for _ in range(4 if abs(row[0]) == 1 else 1)], float)
     return grow(data[:, :-1], data[:, -1])
 
 
@@ -156,14 +174,29 @@ def _own_hint(tag: str, attributes: str) -> tuple[float, bool]:
     if tag in _CONTENT_TAGS:
         return (-1, False) if any(len(n) == 1 and n <= _STRICT_NAMES for n in names) else (1, False)
     names = [n for n in names if len(n) == 1 or not n & _STATE_NAMES]
+    if tag == "header" and any(n & _ARTICLE_NAMES for n in names):
+        return 1, False
     if tag in _FURNITURE_TAGS or any(n & _STRICT_NAMES for n in names):
         return -1, False
     furniture = [n for n in names if n & _FURNITURE_NAMES]
+    if furniture and any(n <= _CONTENT_NAMES for n in names):
+        return 0, False  # names itself both
     if furniture:
         return -0.5, not any(n <= _FURNITURE_NAMES for n in furniture)
     return (1 if any(n & _CONTENT_NAMES for n in names) else 0), False
 
 
+def _leaf_hint(attributes: str) -> float:
+    """The hint of a paragraph, list item, heading or span by its own names, as far as all of a name is furniture."""
+    if _HIDDEN.search(attributes):
+        return -1
+    found = [set(_NAME_PART.findall(n)) for own in _HINT_ATTRIBUTE.findall(attributes) for n in "".join(own).lower().split()]
+    names = [n for n in found if n and (len(n) == 1 or not n & _STATE_NAMES)]
+    if any(n & _STRICT_NAMES for n in names):
+        return -1
+    return -0.5 if any(n <= _FURNITURE_NAMES for n in names) else 0
+
+
 def _closes_itself(attributes: str) -> bool:
     return bool(_SELF_CLOSED.search(attributes)) and not _UNQUOTED_END.search(attributes)
 
@@ -193,6 +226,8 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
     stack: list[tuple[str, float, bool, bool]] = []
     endless: set[str] = set()  # silent tags that no closing tag follows
     in_link = False
+    own_hint = 0.0  # of the paragraph or the like that is open
+    forms: list[tuple[int, int]] = []  # blocks that only a form around them makes furniture: number, words
     at = 0
 
     def text_until(end: int) -> None:
@@ -202,13 +237,16 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
                 linked.append(page[at:end])
 
     def close_block() -> None:
-        nonlocal pieces, linked
+        nonlocal pieces, linked, own_hint
         if pieces:
             words = html.unescape("".join(pieces)).split()
             if words:
                 links = len(html.unescape(" ".join(linked)).split()) if linked else 0
-                found.append((" ".join(words), len(words), min(links, len(words)), stack[-1][1] if stack else 0))
-        pieces, linked = [], []
+                hint = min(own_hint, stack[-1][1] if stack else 0) if own_hint else (stack[-1][1] if stack else 0)
+                if hint == -1 and own_hint == 0 and _only_a_form(stack):
+                    forms.append((len(found), len(words)))
+                found.append((" ".join(words), len(words), min(links, len(words)), hint))
+        pieces, linked, own_hint = [], [], 0.0
 
     def close_element(tag: str) -> None:
         for depth in range(len(stack) - 1, -1, -1):
@@ -238,6 +276,17 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
             in_link = not closing
         elif tag == "br":
             pieces.append(" ")
+        elif tag == "span":
+            if closing:
+                if any(own[0] == "span" for own in stack):
+                    close_block()
+                    close_element(tag)
+            elif stack and any(own[0] == "span" for own in stack):
+                stack.append((tag, *stack[-1][1:]))
+            elif not (stack and stack[-1][3]) and (own := _leaf_hint(match.group(4))) < 0:
+                close_block()
+                outer = stack[-1] if stack else ("", 0, False, False)
+                stack.append((tag, min(own, outer[1]), outer[2], False))
         elif tag in _SILENT:
             if closing:
                 close_element(tag)
@@ -254,6 +303,8 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
                 close_block()
                 in_link = False
             if tag not in _CONTAINER:
+                if tag in _LEAF and not closing and not silent:
+                    own_hint = _leaf_hint(match.group(4))
                 continue
             if closing:
                 close_element(tag)
@@ -273,9 +324,23 @@ def blocks(page: str) -> list[tuple[str, int, int, float]]:
                 else:
                     stack.append((tag, outer, open_to_names, False))
     close_block()
+    # A form that holds nearly all of a page is a frame around it.
+    others = sum(words for i, (_, words, _, hint) in enumerate(found) if hint >= 0)
+    if forms and sum(words for _, words in forms) > 2 * others:
+        for i, _ in forms:
+            found[i] = (*found[i][:3], 0)
     return found
 
 
+def _only_a_form(stack: list[tuple[str, float, bool, bool]]) -> bool:
+    """Whether the outermost furniture around is a form, and nothing inside it is furniture by itself."""
+    hints = [(tag, hint) for tag, hint, _, _ in stack]
+    first = next((i for i, (_, hint) in enumerate(hints) if hint < 0), None)
+    if first is None or hints[first][0] != "form":
+        return False
+    return all(tag not in _FURNITURE_TAGS and hint == hints[first][1] for tag, hint in hints[first + 1 :])
+
+
 def main_text(page: str | None, tree: Tree) -> str:
     if not page:
         return ""

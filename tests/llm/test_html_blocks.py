@@ -117,3 +117,29 @@ def test_words_and_links_decide_in_furniture_by_name():
 )
 def test_only_what_is_closed_is_skipped(page, text):
     assert main_text(f"<article>{page}</article>", TREE) == text
+
+
+P = "This sentence has many plain words that follow each other as they do in the text of an article, and it ends after twenty-six of them."
+
+
+@pytest.mark.parametrize(
+    ("page", "parts"),
+    [
+        (f"<body><p>{P}</p></body>", [P]),
+        (f"<h1>A title here</h1><p>{P}</p><p>Yes.</p><p>No.</p><p>{P}</p>", ["A title here", P, "Yes.", "No.", P]),
+        (f"<body><form id=f action=x><div><h1>A title here</h1><p>{P}</p><p>{P}</p></div></form></body>", ["A title here", P, P]),
+        (f'<div class="post widget"><p>{P}</p></div>', [P]),
+        (f'<header class="entry-header"><h1>A title here</h1></header><div class="entry-content"><p>{P}</p></div>', ["A title here", P]),
+        (f'<article><p>{P}</p><p class="advert">{P}</p><p>{P}</p></article>', [P, P]),
+        (f'<article><p>{P}</p><ul><li class="advert">{P}<li>One more</ul></article>', [P, "One more"]),
+        (f'<article><p>{P}</p><p class="notice">Please note this.</p></article>', [P]),
+        (f'<article><p>{P} <span class="ad">Buy <span>this</span> now!</span></p><p>{P}</p></article>', [P, P]),
+        (f'<article><p>{P} <span class="x">kept</span></p></article>', [P + " kept"]),
+        (f'<article><p>{P}</p></article><h2 class="comments-title">Three comments</h2>', [P]),
+        (f'<div class="cookie-bar"><p>{P} {P} {P} {P}</p></div><article><p>{P}</p></article>', [P]),
+        (f'<article><p>{P}</p><form><p>Your name</p></form></article>', [P]),
+        (f'<div><form class="search"><p>Search the whole of this site for words</p></form></div><div><p>{P}</p><p>{P}</p></div>', [P, P]),
+    ],
+)
+def test_shapes_of_pages(page, parts):
+    assert main_text(page, TREE).split("\n\n") == parts
