@@ -266,6 +266,8 @@ def _radix_pass(rows: DataFrame, digit: str, label: str) -> tuple[DataFrame, Dat
         .where("n > 1")
         .select(digit, (F.col("low") != F.col("high")).alias("mixed"))
     )
+    # Staged, so that adaptive execution may split the rows of a hot digit.
+    digits = stage(digits, f"{label}-digits")
     again = stage(rows.join(digits, digit), f"{label}-again")
     plain = again.where("not mixed and alone").select("key", "start", "windows")
     mixed = again.where("mixed")
@@ -293,6 +295,7 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .where("n > 1 and open")
         .select("window")
     )
+    twice = stage(twice, "suffix-twice")
     single = windows.where("alone").join(twice, "window").select("key", "start", F.lit(1).alias("windows"))
     found = by_run.select("key", "start", "windows").unionByName(by_block).unionByName(single)
     end = F.col("start") + F.col("windows") + settings.length - 1
