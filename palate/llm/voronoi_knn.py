@@ -12,8 +12,10 @@ Only pivots and block summaries reach the driver. Pivots are bounded by ``pivots
 the data as any exact join in high dimension needs, so bounds are computed in the cluster, block by block.
 
 Defined results: vectors that are null or hold a null or a number that is not finite take no part; vectors of
-different length are not compared; an empty vector scores 0; equal rows count once; rows of one ``vec_id`` never find
-each other; components are clipped at +-2**26 so that scores fit; other columns are not read.
+different length are not compared; an empty vector scores 0; every row is a candidate, so equal rows are listed as
+often as they are there, and rows of one ``vec_id`` never find each other; query rows of one ``vec_id`` share one list,
+of what any of them finds; components are exact, and those beyond 2**62 or a listed score beyond 64 bits fail the job;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,18 +42,19 @@ class Settings:
     seed: int = 3
 
 
-_CLIP = 1 << 26
+_MOST = 2.0**62
 
 
 def whole_numbers(vectors: DataFrame, settings: Settings) -> DataFrame:
     """``vec_id, vector`` of the vectors that take part."""
     real = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    scaled = F.transform(
-        "embedding",
-        lambda x: F.greatest(F.least(F.floor(x.cast("double") * settings.scale), F.lit(_CLIP)), F.lit(-_CLIP)).cast("int"),
-    )
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * settings.scale
+        return F.when(F.abs(scaled) < _MOST, F.floor(scaled)).otherwise(F.raise_error(F.lit("a component reaches 2**62")))
+
     takes_part = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & real
-    return vectors.where(takes_part).select("vec_id", scaled.alias("vector"))
+    return vectors.where(takes_part).select("vec_id", F.transform("embedding", whole).alias("vector"))
 
 
 def _pivots(vectors: DataFrame, settings: Settings) -> dict[int, np.ndarray]:
@@ -69,7 +72,7 @@ def _pivots(vectors: DataFrame, settings: Settings) -> dict[int, np.ndarray]:
 
 
 _CELLS = pa.schema(
-    [("vec_id", pa.int64()), ("vector", pa.binary()), ("size", pa.int32()), ("cell", pa.int32()), ("far", pa.float64())]
+    [("vec_id", pa.int64()), ("vector", pa.binary()), ("size", pa.int32()), ("cell", pa.int32()), ("far", pa.float64()), ("copies", pa.int64())]
 )
 
 
@@ -86,10 +89,11 @@ def _cells(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 cell = square.argmin(axis=1)
                 yield {
                     "vec_id": [part["vec_id"][i] for i in chosen],
-                    "vector": [row.tobytes() for row in rows.astype("<i4")],
+                    "vector": [np.array(part["vector"][i], "<i8").tobytes() for i in chosen],
                     "size": [size] * len(chosen),
                     "cell": cell,
                     "far": np.sqrt(square[np.arange(len(rows)), cell]),
+                    "copies": np.ones(len(chosen), np.int64),
                 }
 
     return map_batches(vectors, ["vec_id", "vector"], run, _CELLS, rows=512)
@@ -105,20 +109,28 @@ def _cut(cells: DataFrame, rows: int, name: str) -> DataFrame:
         .agg(
             F.max("far").alias("radius"),
             F.count(F.lit(1)).alias("n"),
-            F.collect_list("vec_id").alias("ids"),
-            F.collect_list("vector").alias("values"),
+            F.collect_list(F.struct("vec_id", "vector", "copies")).alias("rows"),
+        )
+        .select(
+            "size",
+            *[F.col(c).alias(f"{name}_{c}") for c in ("cell", "part", "radius", "n")],
+            *[F.col(f"rows.{c}").alias(f"{name}_{as_}") for c, as_ in (("vec_id", "ids"), ("vector", "values"), ("copies", "copies"))],
         )
-        .select("size", *[F.col(c).alias(f"{name}_{c}") for c in ("cell", "part", "radius", "n", "ids", "values")])
     )
 
 
-def _needed(queries: DataFrame, data: DataFrame, pivots: dict[int, np.ndarray], settings: Settings) -> DataFrame:
-    """``size, q_cell, q_part, d_cell, d_part`` of the pairs of blocks that may hold neighbours."""
+def _needed(
+    queries: DataFrame, data: DataFrame, pivots: dict[int, np.ndarray], settings: Settings, own: int = 1
+) -> DataFrame:
+    """``size, q_cell, q_part, d_cell, d_part`` of the pairs of blocks that may hold neighbours.
+
+    No ``vec_id`` has more than ``own`` vectors.
+    """
     table = [
         (size, i, j, float(a @ b), float(np.sqrt(a @ a)), float(np.sqrt(b @ b)))
-        for size, own in pivots.items()
-        for i, a in enumerate(own)
-        for j, b in enumerate(own)
+        for size, centers in pivots.items()
+        for i, a in enumerate(centers)
+        for j, b in enumerate(centers)
     ]
     between = queries.sparkSession.createDataFrame(
         table, "size int, q_cell int, d_cell int, dot double, q_length double, d_length double"
@@ -138,11 +150,11 @@ def _needed(queries: DataFrame, data: DataFrame, pivots: dict[int, np.ndarray],
         .withColumn("low", F.col("dot") - slack - margin)
         .withColumn("high", F.col("dot") + slack + margin)
     )
-    # The k + 1 best guaranteed vectors may include the query itself.
+    # The best guaranteed vectors may include those of the query's own id.
     best_first = Window.partitionBy("size", "q_cell", "q_part").orderBy(F.desc("low"), "d_cell", "d_part")
     counted = pairs.withColumn("upto", F.sum("d_n").over(best_first.rowsBetween(Window.unboundedPreceding, 0)))
     all_pairs = Window.partitionBy("size", "q_cell", "q_part")
-    floor = F.max(F.when(F.col("upto") >= settings.k + 1, F.col("low"))).over(all_pairs)
+    floor = F.max(F.when(F.col("upto") >= settings.k + own, F.col("low"))).over(all_pairs)
     return (
         counted.withColumn("floor", floor)
         .where(F.col("floor").isNull() | (F.col("high") >= F.col("floor")))
@@ -154,18 +166,20 @@ _BEST = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 
 
 def _scores(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Exact inner products: floats hold them below 2**53, else integers."""
+    """Exact inner products: floats hold them below 2**53, 64-bit integers below 2**63, else Python's integers."""
     if not queries.size or not data.size:
         return np.zeros((len(queries), len(data)), np.int64)
-    most = [int(np.abs(m.astype(np.int64)).max()) for m in (queries, data)]
-    if most[0] * most[1] * queries.shape[1] < 1 << 53:
+    most = int(np.abs(queries).max()) * int(np.abs(data).max()) * queries.shape[1]
+    if most < 1 << 53:
         return (queries.astype(float) @ data.astype(float).T).astype(np.int64)
-    return queries.astype(np.int64) @ data.astype(np.int64).T
+    if most < 1 << 63:
+        return queries @ data.T
+    return queries.astype(object) @ data.astype(object).T
 
 
 def _merge(held: tuple | None, new: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
     scores, ids = new if held is None else (np.concatenate([held[0], new[0]]), np.concatenate([held[1], new[1]]))
-    order = np.lexsort((ids, -scores))[:k]
+    order = np.lexsort((ids, -scores))[:k] if scores.dtype != object else sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
     return scores[order], ids[order]
 
 
@@ -181,40 +195,47 @@ def _solve(pairs: DataFrame, settings: Settings) -> DataFrame:
             return {
                 "query_id": np.repeat(np.array([q for q, _ in rows], np.int64), counts),
                 "vec_id": np.concatenate([i for _, (_, i) in rows]),
-                "score": np.concatenate([s for _, (s, _) in rows]),
+                "score": np.concatenate([s for _, (s, _) in rows]).tolist(),
             }
 
         for part in parts:
-            for size, q_ids, q_values, d_ids, d_values in zip(*part.values(), strict=True):
-                queries, data = (np.frombuffer(b"".join(v), "<i4").reshape(len(v), size) for v in (q_values, d_values))
-                ids = np.array(d_ids, np.int64)
+            for size, q_ids, q_values, q_copies, d_ids, d_values, d_copies in zip(*part.values(), strict=True):
+                queries, data = (np.frombuffer(b"".join(v), "<i8").reshape(len(v), size) for v in (q_values, d_values))
+                ids, copies = np.array(d_ids, np.int64), np.array(d_copies, np.int64)
                 scores = _scores(queries, data)
                 for i, query in enumerate(q_ids):
-                    own, other = scores[i], ids
+                    apart = ids != query
+                    own, other, times = scores[i][apart], ids[apart], copies[apart] * q_copies[i]
                     if len(own) > 4 * k:
-                        # Everything above the (k + 1)-th score, and all ties with it: the query may be among them.
-                        edge = np.partition(own, len(own) - k - 1)[len(own) - k - 1]
-                        near = own >= edge
-                        own, other = own[near], ids[near]
-                    apart = other != query
-                    best[query] = _merge(best.get(query), (own[apart], other[apart]), k)
+                        # Everything above the k-th score, and all ties with it.
+                        near = own >= np.partition(own, len(own) - k)[len(own) - k]
+                        own, other, times = own[near], other[near], times[near]
+                    # More than k copies of one row cannot be among the best k.
+                    times = np.minimum(times, k)
+                    best[query] = _merge(best.get(query), (np.repeat(own, times), np.repeat(other, times)), k)
             if len(best) > 50_000:
                 yield flush()
                 best.clear()
         if best:
             yield flush()
 
-    return map_batches(pairs, ["size", "q_ids", "q_values", "d_ids", "d_values"], run, _BEST, rows=1)
+    columns = ["size", "q_ids", "q_values", "q_copies", "d_ids", "d_values", "d_copies"]
+    return map_batches(pairs, columns, run, _BEST, rows=1)
 
 
 def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()) -> DataFrame:
     """``query_id, rank, vec_id, score``: the best ``k`` of all other vectors for each query."""
     numbers = whole_numbers(vectors, settings)
     pivots = _pivots(numbers, settings)
-    cells = stage(_cells(numbers, pivots).dropDuplicates(["vec_id", "vector"]), "knn-cells")
+    # Equal rows are one from here on, with a count.
+    distinct = _cells(numbers, pivots).groupBy("vec_id", "vector").agg(
+        F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in ("size", "cell", "far")]
+    )
+    cells = stage(distinct, "knn-cells")
+    own = cells.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 1
     data = stage(_cut(cells, settings.block, "d"), "knn-data")
     queries = stage(_cut(cells.where(is_query), settings.query_block, "q"), "knn-queries")
-    wanted = _needed(queries, data, _known(pivots, cells), settings)
+    wanted = _needed(queries, data, _known(pivots, cells), settings, own)
     pairs = wanted.join(queries.drop("q_radius", "q_n"), ["size", "q_cell", "q_part"]).join(
         data.drop("d_radius", "d_n"), ["size", "d_cell", "d_part"]
     )

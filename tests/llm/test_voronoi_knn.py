@@ -39,10 +39,50 @@ def test_same_as_brute_force(spark, settings):
     assert sorted(map(tuple, found.collect())) == brute_force(rows, settings)
 
 
-def test_equal_rows_count_once(spark):
-    rows = [(i, [i / 8, 1.0], 1, "") for i in range(12)] + [(11, [11 / 8, 1.0], 1, "again")] * 9
-    found = search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 3 == 0, Settings(k=4, every=3))
-    assert sorted(map(tuple, found.collect())) == brute_force(rows, Settings(k=4, every=3))
+def brute_force_of_rows(rows, settings):
+    """Every row counts, as in the query's SQL: repeated ones, and several vectors of one id."""
+    import math
+
+    whole = [(i, [math.floor(settings.scale * x) for x in v]) for i, v, *_ in rows]
+    out = []
+    for q in sorted({i for i, _ in whole if i % settings.every == 0}):
+        scored = sorted(
+            (-sum(a * b for a, b in zip(own, v, strict=True)), j)
+            for i, own in whole
+            for j, v in whole
+            if i == q and j != q and len(own) == len(v)
+        )
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[: settings.k], 1)]
+    return sorted(out)
+
+
+def test_every_row_is_a_candidate(spark):
+    rows = [(i, [i / 8, 1.0], 1, "") for i in range(12)] + [(11, [11 / 8, 1.0], 1, "again")] * 2 + [(6, [0.75, 1.0], 1, "")]
+    settings = Settings(k=4, every=3)
+    found = search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 3 == 0, settings)
+    assert sorted(map(tuple, found.collect())) == brute_force_of_rows(rows, settings)
+
+
+def test_several_vectors_of_one_id_never_find_each_other(spark):
+    draw = random.Random(8)
+    rows = [(0, [50.0 + draw.random(), 50.0], 1, "") for _ in range(30)]
+    rows += [(i, [draw.uniform(-9, 9), draw.uniform(-9, 9)], 1, "") for i in range(1, 60)]
+    settings = Settings(k=5, every=20, block=4, query_block=4, pivots=9)
+    found = search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, settings)
+    assert sorted(map(tuple, found.collect())) == brute_force_of_rows(rows, settings)
+
+
+def test_large_components_are_exact(spark):
+    rows = [(0, [1.0], 1, ""), (1, [3e6], 1, ""), (2, [2e6], 1, ""), (3, [5.0], 1, ""), (3, [5.0], 1, "")]
+    found = search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, Settings())
+    assert sorted(map(tuple, found.collect())) == [
+        (0, 1, 1, 12_288_000_000), (0, 2, 2, 8_192_000_000), (0, 3, 3, 64 * 320), (0, 4, 3, 64 * 320),
+    ]
+    large = [(i, [float(1 << 34) * (-1) ** i, float(i)], 1, "") for i in range(50)]
+    found = search(spark.createDataFrame(large, "vec_id LONG, embedding ARRAY<DOUBLE>, label INT, score STRING"), F.lit(False), Settings())
+    assert found.count() == 0
+    with pytest.raises(Exception, match="2\\*\\*62"):
+        search(spark.createDataFrame([(0, [1e30], 1, ""), (1, [1.0], 1, "")], SCHEMA), F.lit(True)).collect()
 
 
 def test_bounds_leave_out_far_cells(spark):
