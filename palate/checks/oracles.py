@@ -360,6 +360,7 @@ _QUERIES = {
     FROM ({_count_rows({t: t for t in _BRONZE})})""",
     "links_text_keys": "SELECT movieId, imdbId, tmdbId FROM links",
     "clean_ratings": f"SELECT {_RATING_COLUMNS} FROM clean",
+    "arrived_clean": f"SELECT {_RATING_COLUMNS} FROM clean",
     "explode_genres": "SELECT movieId, title, genre FROM exploded",
     "variant_filter": "SELECT movieId, title, genre FROM kept",
     "genome_agg": "SELECT movieId, genre, round(avg_genome_relevance + 1e-9, 6) AS avg_genome_relevance FROM genome",

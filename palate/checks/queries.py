@@ -32,7 +32,7 @@ from palate.settings import BoostingParams, Variant
 from palate.sources import csv
 from palate.sources.scratch import new_dir, stage
 from palate.sources.tables import TableStore
-from palate.streaming import replay
+from palate.streaming import arrivals, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -429,6 +429,27 @@ def incremental_profiles(bed: Testbed) -> DataFrame:
     return _replayed(bed).read(settings.USER_PROFILE_FEATURES)
 
 
+# --- arrivals -------------------------------------------------------------------------------------
+
+
+def _arrived(bed: Testbed) -> TableStore:
+    """All ratings as files of four arrivals: late ones among them, and a part of them twice; the stream is started anew each time."""
+    store, landing, checkpoint = _store(bed), new_dir(bed.spark, "arrivals"), new_dir(bed.spark, "stream")
+    ratings = stage(bed.ratings, "arriving")
+    quarter = F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(4))
+    parts = [ratings.where(quarter == number) for number in (3, 2)]
+    parts += [ratings.where(quarter.isin(1, 2)), ratings.where(quarter == 0)]
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        arrivals.take_up(store, landing, checkpoint, files_per_batch=3)
+    return store
+
+
+@query
+def arrived_clean(bed: Testbed) -> DataFrame:
+    return arrivals.settled(_arrived(bed))
+
+
 # --- order ----------------------------------------------------------------------------------------
 
 

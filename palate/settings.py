@@ -37,6 +37,8 @@ BRONZE_FILES = {
 }
 RATINGS_CLEAN = "silver.ratings_clean"
 RATINGS_HOLDOUT = "silver.ratings_holdout"
+RATINGS_ARRIVED = "bronze.ratings_arrived"
+ARRIVAL_PROGRESS = "bronze.arrival_progress"
 HOLDOUT_PROGRESS = "silver.holdout_progress"
 FEATURES_PROGRESS = "gold.features_progress"
 MOVIES_EXPLODED = "silver.movies_genre_exploded"
