@@ -10,9 +10,10 @@ and the ``k`` smallest of a set are its sketch. Documents with equal sets are on
 * **Stars.** Every list tests its members against one of them, which is linear in the list. Links found so far join
   classes to components, whose members need no test among each other; further rounds take their pivots from the
   component that is most frequent in the list, as long as they still link.
-* **The rest, exactly.** Lists that still hold several components name members outside the most frequent one. These
-  are put into blocks of similar size, as are the other members, and blocks that share a list are compared: one row per
-  pair of blocks, so rows do not multiply with the members that are alike but not linked.
+* **The rest, exactly.** Lists that still hold several components name members outside the most frequent one. Short
+  lists are compared as a whole. Members of long ones are put into blocks, by longest list and size, and blocks that
+  share a list are compared: one row per pair of blocks, so rows do not multiply with members that are alike but not
+  linked.
 * **Tests.** Sizes, then the estimate from the sketch of the union, then the Jaccard similarity of the full sets,
   which are computed anew from the texts concerned. Links inside a component are not repeated.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -377,46 +379,61 @@ _CLOSE = pa.schema(
     [("x", pa.int64()), ("y", pa.int64()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))]
 )
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_OUTSIDE = 1 << 32  # set in the number of a block of members outside main components; its size class is above
 
 
-def _mixed_blocks(entries: DataFrame, settings: Settings) -> DataFrame | None:
-    """``id, n, component, outside, block`` of the members of mixed lists; none if there are none.
+def _close_in_lists(entries: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """``id, pivot`` of what comes close in lists of a block's size at most; each list is compared as a whole."""
+    sketched = entries.join(classes.select("id", "sketch"), "id").groupBy("value")
+    held = sketched.agg(F.collect_list(F.struct("id", "n", "component", "outside", "sketch")).alias("held"))
+    schema = pa.schema([("id", pa.int64()), ("pivot", pa.int64())])
 
-    Blocks hold members of one size class, a bounded number of them and of their shingles.
+    def compare(parts: Iterator[dict[str, list]]) -> Iterator[dict]:
+        for part in parts:
+            for xs in part["held"]:
+                # Members outside first: a pair is compared from the first of its two.
+                left, right = _close(sorted(xs, key=lambda m: (not m["outside"], m["id"])), None, settings)
+                yield {"id": left, "pivot": right}
+
+    return stage(map_batches(held, ["held"], compare, schema, rows=64).distinct(), "close-in-lists")
+
+
+def _mixed_blocks(entries: DataFrame, settings: Settings) -> DataFrame:
+    """``id, n, component, outside, kind, block`` of the members of long lists.
+
+    Blocks hold members of one size class whose longest list is the same, a bounded number of them and of their
+    shingles; ``kind`` tells the size class and whether they are outside of main components.
     """
     size_class = F.floor(F.log("n") / math.log(100 / settings.percent)).cast("long")
-    members = entries.groupBy("id", "n", "component").agg(F.max("outside").alias("outside"))
+    members = entries.groupBy("id", "n", "component").agg(
+        F.max("outside").alias("outside"), F.max(F.struct("size", "value")).alias("longest")
+    )
     kind = (size_class * 2 + F.col("outside").cast("long")).alias("kind")
-    members = stage(members.select("*", kind), "mixed-members")
-    sizes = members.groupBy("kind").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("shingles")).collect()
-    if not sizes:
-        return None
-    parts = {
-        r["kind"]: max(math.ceil(r["count"] / settings.block), math.ceil(r["shingles"] / settings.block_shingles))
-        for r in sizes
-    }
-    of_kind = F.create_map(*[F.lit(x) for own in parts.items() for x in own])
-    block = F.col("kind") * _OUTSIDE + F.pmod(F.xxhash64("id"), of_kind[F.col("kind")])
-    return members.select("id", "n", "component", "outside", block.alias("block"))
+    members = stage(members.select("*", F.col("longest.value").alias("home"), kind).drop("longest"), "mixed-members")
+    room = F.greatest(
+        F.ceil(F.count(F.lit(1)) / settings.block), F.ceil(F.sum("n") / settings.block_shingles)
+    )
+    parts = stage(members.groupBy("home", "kind").agg(room.alias("parts")), "mixed-parts")
+    part = F.pmod(F.xxhash64("id"), F.col("parts"))
+    block = F.xxhash64("home", "kind", part).alias("block")
+    return members.join(parts, ["home", "kind"]).select("id", "n", "component", "outside", "kind", block)
 
 
 def _block_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
     """``x, y``: a block of outside members and one that shares a list with it, of similar size; each pair once."""
-    held = members.select("id", "block")
-    is_outside = F.col("block").bitwiseAND(F.lit(_OUTSIDE)) != 0
+    held = members.select("id", F.struct("kind", "block").alias("at"))
+    is_outside = F.col("at.kind") % 2 == 1
     lists = entries.select("value", "id").join(held, "id").groupBy("value").agg(
-        F.array_sort(F.collect_set(F.when(is_outside, F.col("block")))).alias("outside"),
-        F.array_sort(F.collect_set(F.when(~is_outside, F.col("block")))).alias("others"),
+        F.array_sort(F.collect_set(F.when(is_outside, F.col("at")))).alias("outside"),
+        F.array_sort(F.collect_set(F.when(~is_outside, F.col("at")))).alias("others"),
     )
     # Lists of one group mostly lead to the same blocks.
     lists = lists.select("outside", "others").distinct()
     pairs = lists.select(F.explode("outside").alias("x"), F.concat("outside", "others").alias("all"))
     pairs = pairs.select("x", F.explode("all").alias("y"))
-    classes = [F.shiftright(F.col(c), 33) for c in ("x", "y")]
-    both_outside = F.col("y").bitwiseAND(F.lit(_OUTSIDE)) != 0
+    classes = [F.floor(F.col(f"{c}.kind") / 2) for c in ("x", "y")]
+    both_outside = F.col("y.kind") % 2 == 1
     pairs = pairs.where(F.abs(classes[0] - classes[1]) <= 1).where(~both_outside | (F.col("x") <= F.col("y")))
-    return stage(pairs.distinct(), "block-pairs")
+    return stage(pairs.select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "block-pairs")
 
 
 def _meet(pairs: DataFrame, blocks: DataFrame, columns: list[str]) -> DataFrame:
@@ -428,19 +445,30 @@ def _meet(pairs: DataFrame, blocks: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _left_over(
-    lists: DataFrame, docs: DataFrame, classes: DataFrame, settings: Settings
-) -> DataFrame | None:
+    lists: DataFrame, docs: DataFrame, classes: DataFrame, components: DataFrame, settings: Settings
+) -> list[DataFrame]:
     """Links between members of different components that still share one of ``lists(value, id, n, component)``."""
     per_component = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("members"))
     mixed = per_component.groupBy("value").agg(
-        F.max(F.struct("members", "component")).alias("top"), F.count(F.lit(1)).alias("components")
+        F.max(F.struct("members", "component")).alias("top"),
+        F.sum("members").alias("size"),
+        F.count(F.lit(1)).alias("components"),
     )
-    mixed = stage(mixed.where("components > 1").select("value", F.col("top.component").alias("main")), "mixed-values")
-    entries = lists.join(mixed, "value").withColumn("outside", F.col("component") != F.col("main"))
-    entries = stage(entries.select("value", "id", "n", "component", "outside"), "mixed-lists")
+    mixed = mixed.where("components > 1").select("value", "size", F.col("top.component").alias("main"))
+    entries = lists.join(stage(mixed, "mixed-values"), "value").withColumn("outside", F.col("component") != F.col("main"))
+    entries = stage(entries.select("value", "size", "id", "n", "component", "outside"), "mixed-lists")
+    short, long = entries.where(F.col("size") <= settings.block), entries.where(F.col("size") > settings.block)
+    found = []
+    pairs = _close_in_lists(short, classes, settings)
+    if not pairs.isEmpty():
+        found.append(_verify(_jobs(pairs, settings), docs, classes, components, settings))
+    if not long.isEmpty():
+        found.append(_links_between_blocks(long, docs, classes, settings))
+    return found
+
+
+def _links_between_blocks(entries: DataFrame, docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     members = _mixed_blocks(entries, settings)
-    if members is None:
-        return None
     pairs = _block_pairs(entries, members)
     sketched = members.join(classes.select("id", "sketch"), "id").groupBy("block")
     held = F.collect_list(F.struct("id", "n", "component", "outside", "sketch")).alias("held")
@@ -518,9 +546,9 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         lists = stage(lists, "lists-left")
         if turn and new.count() < LEAST_LINKED * pairs.count():
             break
-    more = _left_over(_with_component(lists, joined), docs, classes, settings)
-    if more is not None:
-        joined = stage(connected_components(links.unionByName(more)), "components")
+    more = _left_over(_with_component(lists, joined), docs, classes, joined, settings)
+    if more:
+        joined = stage(connected_components(reduce(DataFrame.unionByName, more, links)), "components")
     named = classes.select("n", "h1", "h2", "id").join(joined, "id", "left")
     named = named.select("n", "h1", "h2", F.coalesce("component", "id").alias("component"))
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
