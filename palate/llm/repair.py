@@ -20,6 +20,7 @@ uint32 right, uint64 expansion length; the symbols.
 from __future__ import annotations
 
 import itertools
+import os
 import re
 import struct
 import zlib
@@ -68,6 +69,8 @@ class WordTokenizer:
     def __init__(self, path: str, cached_words: int):
         from tokenizers import Tokenizer
 
+        # Tasks are parallel already; threads of its own cost each worker a heap per thread.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
         self._split_id = self._tokenizer.token_to_id(_SPLIT)
         self._limit = cached_words
