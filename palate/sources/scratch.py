@@ -46,12 +46,6 @@ def clear(spark: SparkSession) -> None:
     delete(spark, _application_dir(spark))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let iterative fits cut their lineage; leaves a folder that is already set alone."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table that several later steps read, and return a scan of it.
 
