@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.functions.expressions import epoch
+from palate.functions.expressions import after, epoch
+from palate.operators.silver import per_genre
 from palate.settings import SECONDS_PER_DAY
 from palate.sources.scratch import stage
 
@@ -120,14 +121,14 @@ def interval_join(
     return joined.where(inside).drop("__level", "__block", "__until")
 
 
-def feature_history(ratings: DataFrame, exploded: DataFrame) -> DataFrame:
+def feature_history(ratings: DataFrame, exploded: DataFrame | None = None) -> DataFrame:
     """``userId, genre, watched, mean_rating, last_rated, valid_from, valid_until`` of what was known each day.
 
     A version holds all ratings up to the end of a day with a rating and is valid from the next midnight until the next
     version. Running sums go over days of a user and genre, not over ratings.
     """
     daily = (
-        ratings.join(exploded.select("movieId", "genre"), "movieId")
+        per_genre(ratings, exploded)
         .withColumn("seconds", epoch())
         .groupBy("userId", "genre", F.floor(F.col("seconds") / SECONDS_PER_DAY).alias("day"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"), F.max("seconds").alias("last"))
@@ -146,12 +147,11 @@ def feature_history(ratings: DataFrame, exploded: DataFrame) -> DataFrame:
     )
 
 
-def training_set_asof(ratings: DataFrame, exploded: DataFrame, boundary: int) -> DataFrame:
+def training_set_asof(ratings: DataFrame, exploded: DataFrame | None, boundary: int) -> DataFrame:
     """Every rating after ``boundary`` per genre, with its user's features of that genre as known the midnight before."""
     labelled = (
-        ratings.withColumn("rated_at", epoch())
-        .where(F.col("rated_at") > boundary)
-        .join(exploded.select("movieId", "genre"), "movieId")
+        per_genre(ratings.where(after(boundary)), exploded)
+        .withColumn("rated_at", epoch())
         .select("userId", "movieId", "genre", F.col("rating").alias("label"), "rated_at")
     )
     history = feature_history(ratings, exploded)
