@@ -86,7 +86,7 @@ def asof_join(
 
 
 def interval_join(
-    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, step: int = 2
+    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, step: int = 4
 ) -> DataFrame:
     """Pairs of points and intervals of equal ``keys`` with ``start <= at < end``; an interval without end goes on.
 

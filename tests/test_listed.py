@@ -93,3 +93,14 @@ def test_a_model_of_single_leaves_writes_no_rows(spark, monkeypatch):
     rows = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "x DOUBLE, y DOUBLE")
     fitted = boosting.fit(rows, ["x"], ["y"], BoostingParams(trees=1, learning_rate=0.1, leaves=1))
     assert fitted.base == [3 * boosting.UNIT] and fitted.trees == []
+
+
+def test_points_are_listed_on_few_levels(spark):
+    """Lengths from a day to four years lie on three levels, so a point is listed at most three times."""
+    lengths = [86_400 * 2**n for n in range(11)]
+    intervals = spark.createDataFrame([(1, 0, n) for n in lengths], "key INT, start LONG, end LONG")
+    points = spark.createDataFrame([(1, 5), (1, 100_000)], "key INT, at LONG")
+    found = temporal.interval_join(points, intervals, ["key"], "at", "start", "end")
+    assert found.count() == 21
+    levels = {a or b for a, b in re.findall(r"__level, (\d+)|(\d+) AS __level", found._jdf.queryExecution().analyzed().toString())}
+    assert levels == {"20", "24", "28"}
