@@ -433,7 +433,7 @@ def _block_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
     classes = [F.floor(F.col(f"{c}.kind") / 2) for c in ("x", "y")]
     both_outside = F.col("y.kind") % 2 == 1
     pairs = pairs.where(F.abs(classes[0] - classes[1]) <= 1).where(~both_outside | (F.col("x") <= F.col("y")))
-    return stage(pairs.select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "block-pairs")
+    return stage(pairs.select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "pairs-of-blocks")
 
 
 def _meet(pairs: DataFrame, blocks: DataFrame, columns: list[str]) -> DataFrame:
