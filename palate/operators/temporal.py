@@ -19,6 +19,13 @@ from palate.sources.scratch import stage
 
 #: Seconds of a block: about twelve days.
 BLOCK = 1 << 20
+#: Rows that a task sorts at once, some hundred bytes each.
+ROWS_OF_A_TASK = 250_000
+
+
+def _tasks_for(rows: DataFrame) -> int:
+    """How many tasks a table is dealt to: one per core at least, more as it grows."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_OF_A_TASK))
 
 
 def _block(seconds: str) -> Column:
@@ -164,12 +171,16 @@ def moving_means(ratings: DataFrame, days: int = 30) -> DataFrame:
     """Per user and day with ratings: how many, the longest wait for one of them, and count and mean of ``days`` days.
 
     ``longest_gap`` is in seconds since the rating before, of the same day or the last one with any, null for the first.
+    Ratings are counted first, which costs nothing where they come from parquet, and dealt to as many tasks as keep the
+    memory of one from growing with the table. A day of a user has at most as many rows as there are movies.
     """
+    tasks = _tasks_for(ratings)
+    at = epoch()
+    dealt = ratings.select("userId", "rating", at.alias("seconds"), F.floor(at / SECONDS_PER_DAY).alias("day"))
     seconds = (
-        ratings.withColumn("seconds", epoch())
-        .groupBy("userId", "seconds")
+        dealt.repartition(tasks, "userId", "day")
+        .groupBy("userId", "day", "seconds")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"))
-        .withColumn("day", F.floor(F.col("seconds") / SECONDS_PER_DAY))
     )
     within = Window.partitionBy("userId", "day").orderBy("seconds")
     daily = (
@@ -184,6 +195,7 @@ def moving_means(ratings: DataFrame, days: int = 30) -> DataFrame:
             F.min("seconds").alias("first"),
             F.max("seconds").alias("last"),
         )
+        .repartition(tasks, "userId")
     )
     by_day = Window.partitionBy("userId").orderBy("day")
     frame = by_day.rangeBetween(1 - days, 0)

@@ -5,6 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from palate.checks import testbed
+from palate.checks.testbed import Testbed
 from palate.operators import boosting, features, labels, matrix, silver, temporal
 from palate.settings import GENRE_FEATURES, PROFILE_FEATURES, BoostingParams
 from palate.sources.scratch import stage
@@ -104,3 +106,14 @@ def test_points_are_listed_on_few_levels(spark):
     assert found.count() == 21
     levels = {a or b for a, b in re.findall(r"__level, (\d+)|(\d+) AS __level", found._jdf.queryExecution().analyzed().toString())}
     assert levels == {"20", "24", "28"}
+
+
+def test_larger_tables_meet_in_more_tasks(spark, monkeypatch):
+    few = Testbed(spark, "/root/testdata/sf0.001").ratings
+    monkeypatch.setattr(testbed, "ROWS_OF_A_TASK", 400)
+    more = Testbed(spark, "/root/testdata/sf0.001").ratings
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = more.select("*")._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\([lo]_orderkey#\d+L, (\d+)\)", plan)
+    assert len(dealt) == 2 and all(int(tasks) >= 15 for tasks in dealt)
+    assert rows_of(more) == rows_of(few)

@@ -4,6 +4,7 @@ from bisect import bisect_left
 import pytest
 from pyspark.sql import functions as F
 
+from palate.operators import temporal
 from palate.operators.temporal import (
     BLOCK,
     asof_join,
@@ -156,3 +157,13 @@ def test_sessions_against_brute_force(spark):
                 expected.append((key, start, own[upto - 1], upto - first))
         assert rows_of(sessions(df, "k", "t", gap)) == sorted(expected, key=repr), gap
     assert sessions(df.limit(0), "k", "t", 5).count() == 0
+
+
+def test_moving_means_deal_more_ratings_to_more_tasks(frames, spark, monkeypatch):
+    rows = [(user, movie, 1.0, movie * 7200) for user in range(10) for movie in range(40)]
+    expected = sorted(map(tuple, moving_means(frames.ratings(*rows)).collect()))
+    monkeypatch.setattr(temporal, "ROWS_OF_A_TASK", 25)
+    dealt = moving_means(frames.ratings(*rows))
+    assert dealt.rdd.getNumPartitions() == 16
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, dealt.collect())) == expected
