@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palate.checks import testbed
+from palate.checks.queries import QUERIES
 from palate.checks.testbed import Testbed
 from palate.operators import boosting, features, labels, matrix, silver, temporal
 from palate.settings import GENRE_FEATURES, PROFILE_FEATURES, BoostingParams
@@ -108,6 +109,11 @@ def test_points_are_listed_on_few_levels(spark):
     assert levels == {"20", "24", "28"}
 
 
+def test_profiles_read_ratings_that_were_joined_once(spark):
+    plan = QUERIES["user_profile_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join", plan.split("== Initial Plan ==")[0])) == 1
+
+
 def test_larger_tables_meet_in_more_tasks(spark, monkeypatch):
     few = Testbed(spark, "/root/testdata/sf0.001").ratings
     monkeypatch.setattr(testbed, "ROWS_OF_A_TASK", 400)
