@@ -5,8 +5,8 @@ stored under the same id, so a repeated run replaces what it wrote and adds noth
 are ever read. Features follow from the stored sums. ``compact`` puts the sums of all slices together under the last
 of their ids; slices up to that one count as done.
 
-Each user and movie has one clean rating, so ratings are only ever added. Tags and relevance are those of the store
-when a slice is summed; after they change, start anew with ``rebuild``.
+Each user and movie has one clean rating, so ratings are only ever added. Tags are counted when sums start anew, and
+relevance is that of the store when a slice is summed; after they change, start anew with ``rebuild``.
 """
 
 from __future__ import annotations
@@ -83,8 +83,13 @@ def _sums_of(store: TableStore, ratings: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _tag_counts(store: TableStore) -> DataFrame:
+    return tag_counts(store.read("bronze.tags"), store.read(settings.MOVIES_EXPLODED))
+
+
 def rebuild(store: TableStore) -> None:
-    """Start anew with the sums of all clean ratings there are."""
+    """Start anew with the sums of all clean ratings and the tag counts there are."""
+    store.overwrite(settings.USER_TAG_STATE, _tag_counts(store))
     last = store.slices(settings.RATINGS_CLEAN)[-1]
     for name, sums in _sums_of(store, store.read(settings.RATINGS_CLEAN)).items():
         store.overwrite_sliced(name, sums, last)
@@ -93,7 +98,7 @@ def rebuild(store: TableStore) -> None:
 def absorb(store: TableStore) -> list[int]:
     """Store the sums of the slices of clean ratings that have none yet; returns their ids."""
     names = (settings.USER_GENRE_STATE, settings.USER_STATE)
-    if not all(map(store.slices, names)):
+    if not all(map(store.slices, names)) or not store.exists(settings.USER_TAG_STATE):
         rebuild(store)
         return store.slices(settings.RATINGS_CLEAN)
     added = set()
@@ -118,7 +123,7 @@ def compact(store: TableStore) -> None:
 def features(store: TableStore) -> tuple[DataFrame, DataFrame]:
     """Features per (user, genre) and profiles, from the stored sums."""
     of_genres = store.read(settings.USER_GENRE_STATE)
-    tagged = tag_counts(store.read("bronze.tags"), store.read(settings.MOVIES_EXPLODED))
+    tagged = store.read(settings.USER_TAG_STATE)
     return genre_features(of_genres, tagged), profile_features(store.read(settings.USER_STATE), of_genres)
 
 

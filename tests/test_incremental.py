@@ -85,3 +85,14 @@ def test_a_slice_is_read_alone(filled):
     with pytest.raises(LookupError):
         filled.read_slice(settings.RATINGS_CLEAN, -1)
     assert filled.slices("no.table") == []
+
+
+def test_tags_are_counted_when_sums_start_anew(filled, monkeypatch):
+    incremental.rebuild(filled)
+    opened, read = [], filled.read
+    monkeypatch.setattr(filled, "read", lambda name: opened.append(name) or read(name))
+    incremental.simulate_day(filled, days=30)
+    assert settings.USER_TAG_STATE in opened and "bronze.tags" not in opened
+    monkeypatch.undo()
+    stored = [filled.read(name) for name in (settings.USER_GENRE_FEATURES, settings.USER_PROFILE_FEATURES)]
+    assert tables(*stored) == from_scratch(filled)
