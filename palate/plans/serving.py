@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palate import settings
 from palate.operators.drift import drift_report, drift_summary
 from palate.operators.model import MultiOutputModel, batch_score
-from palate.plans.bootstrap import build_user_genre_features, build_user_profile_features
+from palate.plans.bootstrap import build_user_features
 from palate.settings import Variant
 from palate.sources.tables import TableStore
 from palate.streaming.replay import NO_HOLDOUT_DATA, advance, moved_through
@@ -54,8 +54,7 @@ def simulate_day(store: TableStore, days: int = settings.REPLAY_DAYS, fraction:
     if moved is None or moved == _features_through(store):
         moved = advance(store, days)
     if moved != NO_HOLDOUT_DATA:
-        build_user_genre_features(store, fraction)
-        build_user_profile_features(store, fraction)
+        build_user_features(store, fraction)
         reached = store.spark.createDataFrame([(moved,)], "features_through BIGINT")
         store.overwrite(settings.FEATURES_PROGRESS, reached)
     return moved

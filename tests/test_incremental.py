@@ -96,3 +96,14 @@ def test_tags_are_counted_when_sums_start_anew(filled, monkeypatch):
     monkeypatch.undo()
     stored = [filled.read(name) for name in (settings.USER_GENRE_FEATURES, settings.USER_PROFILE_FEATURES)]
     assert tables(*stored) == from_scratch(filled)
+
+
+def test_both_feature_tables_are_built_from_one_reading(filled, monkeypatch):
+    opened, read = [], filled.read
+    monkeypatch.setattr(filled, "read", lambda name: opened.append(name) or read(name))
+    bootstrap.build_features(filled)
+    # Once for the features, once for the time boundaries.
+    assert opened.count(settings.RATINGS_CLEAN) == 2
+    monkeypatch.undo()
+    stored = [filled.read(name) for name in (settings.USER_GENRE_FEATURES, settings.USER_PROFILE_FEATURES)]
+    assert tables(*stored) == from_scratch(filled)
