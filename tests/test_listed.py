@@ -109,6 +109,23 @@ def test_points_are_listed_on_few_levels(spark):
     assert levels == {"20", "24", "28"}
 
 
+def test_a_pivot_groups_cells_once_and_averages_repeated_ones(spark):
+    once = training_cells(spark)
+    again = once.where("userId % 2 = 0").withColumn("label", F.col("label") + 3)
+    gaps = once.where("userId = 4").withColumn("genre_share", F.lit(None).cast("double")).withColumn("genre", F.lit("C"))
+    cells = stage(once.unionAll(again).unionAll(gaps), "repeated")
+    ours = matrix.pivot_training(cells, "ABC", by=["split_flag"])
+    assert "pivotfirst" not in ours._jdf.queryExecution().executedPlan().toString()
+    keys, values = ["userId", "split_flag", *PROFILE_FEATURES], [*GENRE_FEATURES, "label"]
+    plain = cells.groupBy(*keys).pivot("genre", ["A", "B", "C"]).agg(*[F.avg(v).alias(v) for v in values])
+    expected = plain.na.fill(0.0).select(
+        "userId", "split_flag", *PROFILE_FEATURES, *[f"{g}_{v}" for v in values for g in "ABC"]
+    )
+    assert list(map(str, rows_of(ours))) == list(map(str, rows_of(expected)))
+    unlisted = matrix.pivot_training(cells, "D")
+    assert unlisted.count() == 20 and not unlisted.where("target_D != 0").count()
+
+
 def test_profiles_read_ratings_that_were_joined_once(spark):
     plan = QUERIES["user_profile_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join", plan.split("== Initial Plan ==")[0])) == 1
