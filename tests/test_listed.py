@@ -140,3 +140,11 @@ def test_larger_tables_meet_in_more_tasks(spark, monkeypatch):
     dealt = re.findall(r"hashpartitioning\([lo]_orderkey#\d+L, (\d+)\)", plan)
     assert len(dealt) == 2 and all(int(tasks) >= 15 for tasks in dealt)
     assert rows_of(more) == rows_of(few)
+
+
+def test_ratings_are_worked_out_before_items_are_shuffled(spark):
+    ratings = Testbed(spark, "/root/testdata/sf0.001").ratings
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = ratings.select("*")._jdf.queryExecution().executedPlan().toString()
+    after_exchange = plan.split("Exchange")[0]
+    assert "l_quantity" not in after_exchange and "l_discount" not in after_exchange
