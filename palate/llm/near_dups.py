@@ -214,16 +214,29 @@ def _star_tests(lists: DataFrame, classes: DataFrame, settings: Settings, turn:
         .select("id", "pivot")
         .distinct()
     )
-    sketches = classes.select("id", "sketch")
+    pairs = stage(pairs, "untested-pairs")
+    sketches = _sketches_of(pairs.select(F.explode(F.array("id", "pivot")).alias("id")), classes, settings)
+    # Both sides read the sketches under the same names, so that they are moved once for the two joins.
+    own, other = sketches.alias("own"), sketches.alias("other")
     pairs = (
-        pairs.join(sketches, "id")
-        .join(sketches.select(F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-        .where(_close_sketches("sketch", "pivot_sketch", settings))
-        .select("id", "pivot")
+        pairs.select(F.col("id").alias("query"), "pivot")
+        .join(own, F.col("query") == F.col("own.id"))
+        .join(other, F.col("pivot") == F.col("other.id"))
+        .where(_close_sketches("own.sketch", "other.sketch", settings))
+        .select(F.col("query").alias("id"), "pivot")
     )
     return stage(pairs, "star-pairs"), pivots.select("value", F.col("pivot").alias("id"))
 
 
+def _sketches_of(ids: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """``id, sketch`` of the classes in ``ids``; of all classes where these are too many to be told to every task."""
+    sketches = classes.select("id", "sketch")
+    wanted = stage(ids.select("id").distinct(), "wanted-sketches")
+    if wanted.count() > settings.broadcast_rows:
+        return sketches
+    return sketches.join(F.broadcast(wanted), "id", "left_semi")
+
+
 def _blocks(ids: DataFrame, settings: Settings) -> int:
     return max(1, math.ceil(ids.count() / settings.block))
 
@@ -243,12 +256,14 @@ def _jobs(pairs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _salted(jobs: DataFrame, settings: Settings) -> DataFrame:
-    """Blocks with many queries are cut by query, and their members go to every part."""
-    most = jobs.where("others is not null").groupBy("block").count().agg(F.max("count")).first()[0] or 0
-    parts = max(1, math.ceil(most / settings.queries))
-    own = F.array(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
-    return jobs.withColumn("part", F.explode(F.when(F.col("others").isNull(), every).otherwise(own)))
+    """Blocks with many queries are cut by query, and their members go to every part of the block."""
+    parts = F.ceil(F.count("others") / settings.queries).cast("long")
+    sizes = jobs.groupBy("block").agg(F.greatest(parts, F.lit(1).cast("long")).alias("parts"))
+    own = F.array(F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    # One row per block of some hundred pivots.
+    sized = jobs.join(F.broadcast(sizes), "block")
+    return sized.withColumn("part", F.explode(F.when(F.col("others").isNull(), every).otherwise(own))).drop("parts")
 
 
 class _Union:
@@ -383,7 +398,7 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 def _close_in_lists(entries: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     """``id, pivot`` of what comes close in lists of a block's size at most; each list is compared as a whole."""
-    sketched = entries.join(classes.select("id", "sketch"), "id").groupBy("value")
+    sketched = entries.join(_sketches_of(entries, classes, settings), "id").groupBy("value")
     held = sketched.agg(F.collect_list(F.struct("id", "n", "component", "outside", "sketch")).alias("held"))
     schema = pa.schema([("id", pa.int64()), ("pivot", pa.int64())])
 
@@ -470,7 +485,7 @@ def _left_over(
 def _links_between_blocks(entries: DataFrame, docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     members = _mixed_blocks(entries, settings)
     pairs = _block_pairs(entries, members)
-    sketched = members.join(classes.select("id", "sketch"), "id").groupBy("block")
+    sketched = members.join(_sketches_of(members, classes, settings), "id").groupBy("block")
     held = F.collect_list(F.struct("id", "n", "component", "outside", "sketch")).alias("held")
     blocks = stage(sketched.agg(held), "sketch-blocks")
 
@@ -521,10 +536,18 @@ def classes_of(found: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its group."""
+    """The rows of ``docs`` whose document is the first of its group.
+
+    Those to drop are looked up, as they are fewer, so that texts are moved only where they are too many to be told to
+    every task. Rows without id are first of a group each.
+    """
     groups = components(docs, settings)
-    kept = stage(groups.where("kept").select("doc_id").distinct(), "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    dropped = groups.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select("doc_id")
+    dropped = stage(dropped, "dropped")
+    if dropped.count() <= settings.broadcast_rows:
+        dropped = F.broadcast(dropped)
+    # A join by a condition, as null ids match nothing and the columns keep their order.
+    return docs.join(dropped, docs["doc_id"] == dropped["doc_id"], "left_anti")
 
 
 def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

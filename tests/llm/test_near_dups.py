@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from palate.llm.components import connected_components
-from palate.llm.near_dups import Settings, components, keep_first, shingle_sets
+from palate.llm.near_dups import Settings, _salted, _sketches_of, components, keep_first, shingle_sets
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -131,3 +131,36 @@ def test_rows_of_alike_but_unlinked_documents_grow_with_them(docs_of, monkeypatc
         seen.append({label: count / n for label, count in rows.items()})
     for label, per_document in seen[-1].items():
         assert per_document <= 1.6 * seen[0].get(label, 0) + 1, (label, seen)
+
+
+def test_keeping_the_first_moves_no_texts(docs_of, spark):
+    docs = docs_of((2, "a b c d e f"), (1, "a b c d e f"), (3, "x y z"), (1, "other words here"), (None, "a b c d e f"))
+    docs = docs.select("text", "doc_id", docs["source"].alias("from.where"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        told = keep_first(docs, Settings(words=2))
+        moved = keep_first(docs, Settings(words=2, broadcast_rows=0))
+        assert "Exchange hashpartitioning" not in told._jdf.queryExecution().executedPlan().toString()
+        for kept in (told, moved):
+            assert kept.columns == docs.columns
+            rows = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+            assert rows == [(0, "a b c d e f"), (1, "a b c d e f"), (1, "other words here"), (3, "x y z")]
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_only_sketches_of_pairs_are_moved(spark):
+    classes = spark.createDataFrame([(i, [i]) for i in range(10)], "id LONG, sketch ARRAY<LONG>")
+    wanted = spark.createDataFrame([(3,), (3,), (7,)], "id LONG")
+    assert sorted(r.id for r in _sketches_of(wanted, classes, Settings()).collect()) == [3, 7]
+    assert _sketches_of(wanted, classes, Settings(broadcast_rows=0)).count() == 10
+
+
+def test_only_blocks_with_many_queries_are_cut(spark):
+    rows = [(1, i, [0]) for i in range(9)] + [(2, 20, [0]), (1, 0, None), (2, 0, None)]
+    cut = _salted(spark.createDataFrame(rows, "block LONG, id LONG, others ARRAY<LONG>"), Settings(queries=3))
+    members = sorted((r.block, r.part) for r in cut.where("others is null").collect())
+    assert members == [(1, 0), (1, 1), (1, 2), (2, 0)]
+    assert cut.where("others is not null").count() == 10
