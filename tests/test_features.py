@@ -117,3 +117,12 @@ def test_sampling_keeps_whole_users_and_agrees_across_tables(spark, frames):
     assert {r.userId for r in features.sample_users(ratings.repartition(7), 0.5).collect()} == users
     assert {r.userId for r in features.sample_users(ratings, 0.5, seed=1).collect()} != users
     assert features.sample_users(ratings, 1.0) is ratings
+
+
+def test_tags_of_a_user_are_moved_once(frames):
+    tags = frames.tags((1, 1, "x", 1), (1, 2, "x", 2), (1, 1, "y", 3), (1, 2, None, 4), (2, 1, None, 5), (2, 9, "x", 6), (1, 1, "x", 7))
+    counted = features.tag_counts(tags, frames.exploded((1, "A"), (1, "B"), (1, "B"), (2, "A"), (3, "C")))
+    assert rows_of(counted, "userId", "genre", "tag_count") == [(1, "A", 2), (1, "B", 2), (2, "A", 0), (2, "B", 0)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(userId" in plan
+    assert not any("hashpartitioning(" in line and "genre" in line for line in plan.splitlines())
