@@ -4,6 +4,7 @@ import pytest
 from palate.operators import boosting
 from palate.operators.boosting import UNIT, Ensemble, feature_cuts, fit, predict, to_bins, units
 from palate.settings import BoostingParams
+from palate.sources.scratch import staged
 
 
 def frame_of(spark, values, targets):
@@ -132,3 +133,22 @@ def test_only_splits_reach_the_driver(spark, monkeypatch):
     # Passes are as many as the tree is deep, not as its splits, and none sends more than a row per leaf and chunk.
     splits = sum(feature >= 0 for feature in model.trees[0][0].feature)
     assert len(seen) < splits == 15 and max(seen) <= 2 * 16 * 2
+
+
+def test_rows_are_binned_before_they_are_dealt(spark, monkeypatch):
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, label)
+
+    monkeypatch.setattr(boosting, "staged", noted)
+    rows = spark.range(50).selectExpr("cast(id as double) as f", "cast(id % 3 as double) as y")
+    boosting.fit(rows, ["f"], ["y"], BoostingParams(trees=1, learning_rate=0.1, leaves=2))
+    plan = plans["boosting-state"]
+    assert plan.index("Repartition") < plan.index("MapInArrow")
+
+
+def test_tasks_of_a_pass_fill_all_cores():
+    assert [boosting._tasks(n, 12) for n in (1, 8192, 8193, 12 * 8192, 12 * 8192 + 1)] == [1, 1, 2, 12, 12]
+    assert [boosting._tasks(n, 12) for n in (2_400_000, 2_400_001, 5_400_000)] == [12, 24, 36]
