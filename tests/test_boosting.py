@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
 
+from palate.checks import queries
 from palate.operators import boosting
 from palate.operators.boosting import UNIT, Ensemble, feature_cuts, fit, predict, to_bins, units
-from palate.settings import BoostingParams
+from palate.settings import BOOSTING_DEV, BoostingParams
 from palate.sources.scratch import staged
 
 
@@ -149,6 +150,43 @@ def test_rows_are_binned_before_they_are_dealt(spark, monkeypatch):
     assert plan.index("Repartition") < plan.index("MapInArrow")
 
 
+def test_many_trees_are_grown_apart_to_the_same_numbers(spark, monkeypatch):
+    draw = np.random.default_rng(11)
+    values = np.round(draw.normal(size=(400, 35)), 1)
+    targets = np.stack([values[:, 0] * values[:, 33] + draw.normal(size=400), draw.integers(0, 3, 400) / 2, np.full(400, 1.5)], axis=1)
+    rows, names = frame_of(spark, values, targets)
+    params = BoostingParams(trees=12, learning_rate=0.3, leaves=6, min_rows_per_leaf=5, bins=16)
+    passes = []
+    histograms = boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda *given: passes.append(1) or histograms(*given))
+    apart = fit(rows.repartition(3), names[:35], names[35:], params)
+    assert not passes
+    monkeypatch.setattr(boosting, "_CELLS_OF_A_TASK", 400 * 35 - 1)
+    assert fit(rows.repartition(5), names[:35], names[35:], params) == apart
+    assert passes and len(apart.trees) == 12
+
+
+def test_growing_apart_stops_where_passes_do(spark, monkeypatch):
+    rows, names = frame_of(spark, np.arange(40.0).reshape(20, 2), np.full((20, 1), 2.25))
+    params = BoostingParams(trees=12, learning_rate=0.5, leaves=4, min_rows_per_leaf=1)
+    apart = fit(rows, names[:2], names[2:], params)
+    monkeypatch.setattr(boosting, "_CELLS_OF_A_TASK", 0)
+    assert len(apart.trees) == 1 and fit(rows, names[:2], names[2:], params) == apart
+
+
+def test_batch_score_fits_all_trees_of_its_setting(spark, monkeypatch):
+    fitted = []
+
+    def noted(rows, genres, params):
+        fitted.append(params)
+        return fit_rows(rows, genres, BoostingParams(trees=1, learning_rate=0.1, leaves=1))
+
+    fit_rows = queries.model.fit_rows
+    monkeypatch.setattr(queries.model, "fit_rows", noted)
+    queries.QUERIES["batch_score"](spark, "/root/testdata/sf0.001")
+    assert fitted == [BOOSTING_DEV] and BOOSTING_DEV.trees == 200
+
+
 def test_tasks_of_a_pass_fill_all_cores():
     assert [boosting._tasks(n, 12) for n in (1, 8192, 8193, 12 * 8192, 12 * 8192 + 1)] == [1, 1, 2, 12, 12]
     assert [boosting._tasks(n, 12) for n in (2_400_000, 2_400_001, 5_400_000)] == [12, 24, 36]
