@@ -2,7 +2,8 @@
 
 Time is whole seconds. Rows are reduced to one per key and second (or day), and time is cut into blocks, so a window
 holds one key within one block: at most ``BLOCK`` rows by construction, whatever the data. What one block needs of the
-ones before is carried over in a second window, which sees one or two rows per key and block.
+ones before is carried over in a second window, which sees one or two rows per key and block. Where it is known that no
+key has more rows than a task sorts anyway, rows are dealt by key once instead.
 """
 
 from __future__ import annotations
@@ -28,6 +29,14 @@ def _tasks_for(rows: DataFrame) -> int:
     return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_OF_A_TASK))
 
 
+def tasks_by_key(rows: DataFrame, key: str = "userId") -> int | None:
+    """To how many tasks ``rows`` are dealt by a key, none if one task could not hold all rows of some key."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    if (counts["most"] or 0) > ROWS_OF_A_TASK:
+        return None
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-(counts["n"] or 0) // (ROWS_OF_A_TASK // 2)))
+
+
 def _block(seconds: str) -> Column:
     return F.floor(F.col(seconds) / F.lit(BLOCK)).cast("long")
 
@@ -40,11 +49,13 @@ def asof_join(
     valid_from: str,
     columns: Sequence[str],
     strict: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``events`` with ``columns`` of the latest of ``versions`` of equal ``keys`` not after (``strict``: before) ``at``.
 
     Events without such a version, or with a null in a key or time, get nulls. Of versions of one key and second the
-    greatest ``columns`` count. Lookups are made once per key and second and joined back.
+    greatest ``columns`` count. Lookups are made once per key and second and joined back. ``tasks`` is given where the
+    rows of a key are few enough for one task (:func:`tasks_by_key`): events then meet versions without a join.
     """
     keys, columns = list(keys), list(columns)
     known = [F.col(c).isNotNull() for c in keys]
@@ -55,6 +66,8 @@ def asof_join(
             df = df.where(condition)
         return df
 
+    if tasks:
+        return _asof_by_key(events, usable(versions, valid_from), value, keys, at, valid_from, columns, strict, tasks)
     asked = usable(events, at).select(*keys, F.col(at).alias("__at")).distinct().withColumn("__block", _block("__at"))
     asked = stage(asked, "asof-asked")
     facts = usable(versions, valid_from).groupBy(*keys, F.col(valid_from).alias("__at")).agg(F.max(value).alias("__value"))
@@ -92,15 +105,45 @@ def asof_join(
     return joined.select(*events.columns, *[F.col("__found")[c].alias(c) for c in columns])
 
 
+def _asof_by_key(events, versions, value: Column, keys, at: str, valid_from: str, columns, strict: bool, tasks: int) -> DataFrame:
+    """Both sides are dealt by ``keys`` once, versions not at all where they come so, and meet in one window per key."""
+    rest = [c for c in events.columns if c not in (*keys, at)]
+    facts = versions.repartition(tasks, *keys).select(
+        *keys, F.col(valid_from).alias("__at"), F.lit(3 if strict else 1).alias("__kind"), value.alias("__value")
+    )
+    asked = events.repartition(tasks, *keys).select(
+        *keys, F.col(at).alias("__at"), F.lit(2).alias("__kind"), F.struct(F.lit(True), *rest).alias("__event")
+    )
+    # Of versions of one second the greatest comes last.
+    upto = Window.partitionBy(*keys).orderBy("__at", "__kind", "__value")
+    upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        facts.unionByName(asked, allowMissingColumns=True)
+        .withColumn("__found", F.last("__value", ignorenulls=True).over(upto))
+        .where(F.col("__kind") == 2)
+    )
+    own = {k: F.col(k) for k in keys} | {at: F.col("__at").cast(events.schema[at].dataType).alias(at)}
+    own |= {c: F.col("__event")[c].alias(c) for c in rest}
+    return found.select(*[own[c] for c in events.columns], *[F.col("__found")[c].alias(c) for c in columns])
+
+
 def interval_join(
-    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, step: int = 4
+    points: DataFrame,
+    intervals: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    start: str,
+    end: str,
+    step: int = 4,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Pairs of points and intervals of equal ``keys`` with ``start <= at < end``; an interval without end goes on.
 
     An interval is listed in the one or two blocks it meets on the level of blocks that are as long as it is; points
     are listed once per level that occurs, of which there are at most ``64 / step``. So neither side multiplies with
     the length of intervals, and an equi-join on key, level and block finds all pairs. Nulls in keys, ``at`` or
-    ``start`` meet nothing.
+    ``start`` meet nothing. ``tasks`` is given where the rows of a key are few enough for one task
+    (:func:`tasks_by_key`): both sides are then dealt by ``keys`` before they are listed, so levels are not moved.
     """
     keys = list(keys)
     last = points.agg(F.max(at)).first()[0]
@@ -111,33 +154,56 @@ def interval_join(
     # A double may round the logarithm of a long length down; the next level is always long enough.
     too_short = F.expr("shiftleft(1L, __level)") < length
     ends = [F.expr(f"shiftright({time}, __level)") for time in (f"`{start}`", "__until - 1")]
-    listed = (
-        intervals.where(F.col(start).isNotNull() & (until > F.col(start)))
-        .withColumn("__until", until)
-        .withColumn("__level", (F.ceil(F.log2(length.cast("double")) / step) * step).cast("int"))
-        .withColumn("__level", F.col("__level") + F.when(too_short, step).otherwise(0))
-        .withColumn("__block", F.explode(F.array_distinct(F.array(*ends))))
-    )
+
+    def listed_in_blocks(intervals: DataFrame) -> DataFrame:
+        return (
+            intervals.where(F.col(start).isNotNull() & (until > F.col(start)))
+            .withColumn("__until", until)
+            .withColumn("__level", (F.ceil(F.log2(length.cast("double")) / step) * step).cast("int"))
+            .withColumn("__level", F.col("__level") + F.when(too_short, step).otherwise(0))
+            .withColumn("__block", F.explode(F.array_distinct(F.array(*ends))))
+        )
+
+    listed = listed_in_blocks(intervals)
     levels = sorted(row[0] for row in listed.select("__level").distinct().collect())
+    if tasks:
+        points = points.where(F.col(at).isNotNull()).repartition(tasks, *keys)
+        intervals = listed_in_blocks(intervals.repartition(tasks, *keys))
     places = F.array(*[F.struct(F.lit(n).alias("__level"), F.shiftright(at, n).alias("__block")) for n in levels])
     probing = points.select("*", F.inline(places)) if levels else points.limit(0).select(
         "*", F.lit(0).alias("__level"), F.lit(0).cast("long").alias("__block")
     )
-    joined = probing.join(listed, [*keys, "__level", "__block"])
+    cell = [*keys, "__level", "__block"]
+    joined = _joined_in_place(probing, intervals, keys, cell) if tasks else probing.join(listed, cell)
     inside = (F.col(at) >= F.col(start)) & (F.col(at) < F.col("__until"))
     return joined.where(inside).drop("__level", "__block", "__until")
 
 
-def feature_history(ratings: DataFrame, exploded: DataFrame | None = None) -> DataFrame:
+def _joined_in_place(points: DataFrame, intervals: DataFrame, keys: Sequence[str], cell: Sequence[str]) -> DataFrame:
+    """The inner join by ``cell`` of two sides dealt by ``keys`` alone: a join would move them again, a window does not."""
+    for key in keys:
+        points, intervals = points.where(F.col(key).isNotNull()), intervals.where(F.col(key).isNotNull())
+    point, interval = ([c for c in df.columns if c not in cell] for df in (points, intervals))
+    both = points.select(*cell, F.struct(*point).alias("__point")).unionByName(
+        intervals.select(*cell, F.struct(*interval).alias("__interval")), allowMissingColumns=True
+    )
+    met = F.collect_list("__interval").over(Window.partitionBy(*cell))
+    found = both.withColumn("__met", met).where(F.col("__point").isNotNull() & (F.size("__met") > 0))
+    return found.select(*cell, "__point", F.inline("__met")).select(*cell, "__point.*", *interval)
+
+
+def feature_history(ratings: DataFrame, exploded: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """``userId, genre, watched, mean_rating, last_rated, valid_from, valid_until`` of what was known each day.
 
     A version holds all ratings up to the end of a day with a rating and is valid from the next midnight until the next
-    version. Running sums go over days of a user and genre, not over ratings.
+    version. Running sums go over days of a user and genre, not over ratings. With ``tasks`` (:func:`tasks_by_key`) ratings
+    are dealt by user and genre once; without, sums per day are moved twice.
     """
+    rated = per_genre(ratings, exploded).select("userId", "genre", "rating", epoch().alias("seconds"))
+    if tasks:
+        rated = rated.repartition(tasks, "userId", "genre")
     daily = (
-        per_genre(ratings, exploded)
-        .withColumn("seconds", epoch())
-        .groupBy("userId", "genre", F.floor(F.col("seconds") / SECONDS_PER_DAY).alias("day"))
+        rated.groupBy("userId", "genre", F.floor(F.col("seconds") / SECONDS_PER_DAY).alias("day"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"), F.max("seconds").alias("last"))
     )
     days = Window.partitionBy("userId", "genre").orderBy("day")
@@ -161,10 +227,10 @@ def training_set_asof(ratings: DataFrame, exploded: DataFrame | None, boundary:
         .withColumn("rated_at", epoch())
         .select("userId", "movieId", "genre", F.col("rating").alias("label"), "rated_at")
     )
-    history = feature_history(ratings, exploded)
-    return asof_join(
-        labelled, history, ["userId", "genre"], "rated_at", "valid_from", ["watched", "mean_rating", "last_rated"]
-    )
+    tasks = tasks_by_key(ratings)
+    history = feature_history(ratings, exploded, tasks)
+    found = ["watched", "mean_rating", "last_rated"]
+    return asof_join(labelled, history, ["userId", "genre"], "rated_at", "valid_from", found, tasks=tasks)
 
 
 def moving_means(ratings: DataFrame, days: int = 30) -> DataFrame:

@@ -167,3 +167,52 @@ def test_moving_means_deal_more_ratings_to_more_tasks(frames, spark, monkeypatch
     assert dealt.rdd.getNumPartitions() == 16
     assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, dealt.collect())) == expected
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_join_by_key_gives_the_same_rows(spark, strict):
+    rng = random.Random(6)
+    grid = [rng.randrange(-3 * BLOCK, 9 * BLOCK) for _ in range(40)]
+    events = [(i, rng.choice([0, 0, 1, 2, 3]), rng.choice("ab"), rng.choice(grid)) for i in range(300)]
+    events += [(900, None, "a", 5), (901, 0, None, 5), (902, 0, "a", None), (903, 77, "a", 5), (903, 77, "a", 5)]
+    versions = [(rng.choice([0, 1, 2]), rng.choice("ab"), rng.choice(grid), rng.choice([None, 1.0, 2.0])) for _ in range(200)]
+    versions += [(None, "a", 5, 1.0), (0, None, 5, 1.0), (0, "a", None, 2.0)]
+    sides = (
+        spark.createDataFrame(events, "id long, k long, g string, t int"),
+        spark.createDataFrame(versions, "k long, g string, since long, value double"),
+    )
+    given = (["k", "g"], "t", "since", ["value", "since"], strict)
+    expected, found = asof_join(*sides, *given), asof_join(*sides, *given, tasks=3)
+    assert found.schema.simpleString() == expected.schema.simpleString()
+    assert rows_of(found) == rows_of(expected)
+
+
+def test_interval_join_by_key_gives_the_same_rows(spark):
+    rng = random.Random(7)
+    points = [(i, rng.choice([0, 1, 2]), rng.randrange(-500, 5000)) for i in range(300)] + [(500, None, 1), (501, 1, None), (501, 1, 3), (501, 1, 3)]
+    intervals = [(i, rng.choice([0, 1, 3]), a := rng.randrange(-600, 5000), rng.choice([None, a, a + 1, a + 70, a + 3000])) for i in range(100)]
+    intervals += [(200, None, 0, 9), (201, 0, None, 9), (202, 0, -(1 << 40), 1 << 41), (202, 0, -(1 << 40), 1 << 41)]
+    sides = (spark.createDataFrame(points, "p long, k long, t long"), spark.createDataFrame(intervals, "i long, k long, a long, b long"))
+    given = (["k"], "t", "a", "b")
+    expected, found = interval_join(*sides, *given), interval_join(*sides, *given, tasks=3)
+    assert found.columns == expected.columns and rows_of(found) == rows_of(expected)
+    assert interval_join(sides[0], sides[1].limit(0), *given, tasks=3).count() == 0
+    # Rows are moved by key alone, before a point is listed on every level.
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning(k#") == plan.count("Exchange ") == 2
+
+
+def test_lookups_move_ratings_of_a_user_and_genre_once(frames, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.randrange(6), movie, rng.randrange(1, 11) / 2, rng.randrange(0, 90 * DAY)) for movie in range(200)]
+    exploded = frames.exploded(*[(movie, genre) for movie in range(200) for genre in ("AB" if movie % 3 else "A")])
+    ratings = frames.ratings(*rows)
+    found = training_set_asof(ratings, exploded, 30 * DAY)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning(userId#") == 2
+    # A user with more rows than a task should hold is left to the blocks.
+    monkeypatch.setattr(temporal, "ROWS_OF_A_TASK", 20)
+    assert temporal.tasks_by_key(ratings) is None
+    assert rows_of(training_set_asof(ratings, exploded, 30 * DAY)) == rows_of(found)
+    assert temporal.tasks_by_key(ratings.limit(0)) == 8
